@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("substring_dedup",)
+MODULES = ("chat_format", "language_id", "secret_scan", "mixing", "packing", "substring_dedup")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
