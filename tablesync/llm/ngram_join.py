@@ -214,9 +214,10 @@ def _cross(num: int, den: int):
 
 
 def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, row_key, n_shingles, component_id): near duplicates where den * |x and y| >= num * |x or y|.
+    """(doc_id, row_key, n_shingles, component_id, part): near duplicates where den * |x and y| >= num * |x or y|.
 
-    ``row_key`` names the row by id and text; ``component_id`` is the smallest id reachable by links.
+    ``row_key`` names the row by id and text; ``component_id`` is the smallest id reachable by links, ``part``
+    a name of its group that also tells apart groups without an id.
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
@@ -260,12 +261,20 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     lone = F.col("size") == 0
     least = every.filter(~lone).groupBy("component").agg(F.min("doc_id").alias("component_id"))
     out = every.join(least, "component", "left")
-    return out.select("doc_id", "row_key", F.col("size").alias("n_shingles"), F.when(lone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "row_key", F.col("size").alias("n_shingles"), F.when(lone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(lone, F.col("row_key")).otherwise(F.col("component")).alias("part"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that of the least id (null last), then key."""
+    groups = ngram_join(docs, n, num, den, doc_id, text)
+    first = groups.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"))
+    kept = first.select(F.col("first.row_key").alias("__row_key"))
+    return docs.withColumn("__row_key", row_key(doc_id, text)).join(kept, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return ngram_join(docs, n=3, num=90, den=100).drop("row_key")
+    return ngram_join(docs, n=3, num=90, den=100).drop("row_key", "part")
 
 
 SQL = r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chat_format", "language_id", "secret_scan", "mixing", "packing", "ngram_join", "substring_dedup")
+MODULES = ("pitman_yor", "chat_format", "language_id", "multi_index", "mtree", "secret_scan", "mixing", "packing", "ngram_join", "substring_dedup")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
