@@ -1,10 +1,10 @@
 """N-gram Jaccard join by T-occurrence search (DivideSkip), as Spark jobs.
 
 A document's set: its distinct word n-grams. Sets x, y with Jaccard J >= s share at least T grams, with T at
-least ceil(s |x|) for either; so if x sets its T - 1 longest inverted lists aside, every partner appears in
-one of its short lists. Both sides keep their short lists only: the shuffle by gram merges them, and what it
-lets through is verified by probing the partner's sorted set (the long lists) with binary search until T is
-reached or out of reach.
+least ceil(s |x|) for either; so if x sets its L longest inverted lists aside, every partner appears in
+T - L of its short lists at least. L is chosen so that T - L is |x| - T + 1. Both sides keep their short
+lists only: the shuffle by gram merges and counts them, and pairs that reach T - L are verified by probing
+the partner's sorted set (the long lists) with binary search.
 
 Which lists are long is told by document frequencies over all documents, kept in ``1 << FREQ_BITS`` hashed
 counters; they only order a set's grams (ties by gram), so collisions cost time, never links.
@@ -34,7 +34,7 @@ from tablesync.llm.common import bucket_count, components, materialise, pack, ro
 from tablesync.llm.words import Words, grams, inside, mix
 
 FREQ_BITS = 20
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 CHUNKS = 64
 
 
@@ -120,7 +120,7 @@ def _short_lists(n: int, num: int, den: int, buckets: int, freq_of):
             g = g[by]
             begin = np.searchsorted(doc, doc)
             s = size[doc]
-            short = np.arange(len(g)) - begin < s - (-(-num * s // den)) + 1
+            short = np.arange(len(g)) - begin < 2 * (s - (-(-num * s // den))) + 1
             g, doc = g[short], doc[short]
             bucket = ((mix(g) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -136,7 +136,7 @@ def _short_lists(n: int, num: int, den: int, buckets: int, freq_of):
 
 
 def _merge(table: pa.Table) -> pa.Table:
-    """(gram, node, size) of the lists with more than one node."""
+    """(list, node, size, weight) of the lists with more than one node; equal lists are one, with a weight."""
     got: list[list] = [[], [], []]
     for r in table.to_pylist():
         many = unpack(r["many"], np.int32)
@@ -153,17 +153,17 @@ def _merge(table: pa.Table) -> pa.Table:
     more = np.zeros(len(g), bool)
     more[1:] |= same
     more[:-1] |= same
-    # equal lists of different grams (near copies have many) say the same once
     g, node, size = g[more], node[more], size[more]
     r = runs(g)
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(node.view(np.uint64)))))
     end = np.concatenate((r[1:], [len(g)])).astype(np.int64)
     name = total[end] - total[r]
-    _, first = np.unique(name, return_index=True)
-    pick = np.zeros(len(r), bool)
-    pick[first] = True
-    keep = np.repeat(pick, end - r)
-    return pa.table({"list": pa.array(np.repeat(name, end - r)[keep].view(np.int64)), "node": pa.array(node[keep]), "size": pa.array(size[keep])})
+    _, first, weight = np.unique(name, return_index=True, return_counts=True)
+    times = np.zeros(len(r), np.int64)
+    times[first] = weight
+    times = np.repeat(times, end - r)
+    keep = times > 0
+    return pa.table({"list": pa.array(np.repeat(name, end - r)[keep].view(np.int64)), "node": pa.array(node[keep]), "size": pa.array(size[keep]), "weight": pa.array(times[keep])})
 
 
 def _verify(num: int, den: int):
@@ -200,15 +200,17 @@ def _cross(num: int, den: int):
         node, size, comp = (table.column(c).to_numpy() for c in ("node", "size", "component"))
         by = np.argsort(size, kind="stable")
         node, size, comp = node[by], size[by], comp[by]
-        left, right = [], []
+        left, right, low = [], [], []
         for i in range(len(node)):
             j = int(np.searchsorted(size, size[i] * den // num, "right"))
             at = i + 1 + np.flatnonzero(comp[i + 1 : j] != comp[i])
             left.append(np.full(len(at), node[i]))
             right.append(node[at])
+            low.append(np.full(len(at), size[i]))
         a = np.concatenate(left) if left else np.zeros(0, np.int64)
         b = np.concatenate(right) if right else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        low_size = np.concatenate(low) if low else np.zeros(0, np.int64)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "low_size": pa.array(low_size), "weight": pa.array(np.full(len(a), table.column("weight")[0].as_py()), pa.int64())})
 
     return run
 
@@ -232,8 +234,13 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     schema = "bucket int, row_key long, node long, size long, gram binary, nodes binary, sizes binary, many binary"
     made = materialise(own.mapInArrow(_short_lists(n, num, den, buckets, freq_of), schema), "short-lists")
     rows = made.filter("bucket IS NULL").select("row_key", "node", "size").distinct()
-    merged = made.filter("bucket IS NOT NULL").select("bucket", "gram", "nodes", "sizes", "many").groupBy("bucket").applyInArrow(_merge, "list long, node long, size long")
-    lists = materialise(merged.distinct(), "lists")
+    merged = made.filter("bucket IS NOT NULL").select("bucket", "gram", "nodes", "sizes", "many").groupBy("bucket").applyInArrow(_merge, "list long, node long, size long, weight long")
+    lists = merged.groupBy("list", "node", "size").agg(F.sum("weight").alias("weight"))
+    least = lambda size: F.expr(f"({num} * {size} + {den - 1}) div {den}")  # noqa: E731  T of a set
+    need = lambda size: F.col(size) - least(size) + 1  # noqa: E731  T - L of a set
+    # short lists that a set shares with any other, all counted: its smallest partner needs as many
+    enough = lists.groupBy("node", "size").agg(F.sum("weight").alias("all")).withColumn("low_size", least("size")).filter(F.col("all") >= need("low_size")).select("node")
+    lists = materialise(lists.join(enough, "node"), "lists")
 
     # one row of each node that has a candidate, and from its text the set to verify with
     wanted = lists.select("node").distinct()
@@ -247,12 +254,14 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
 
     lead = lists.groupBy("list").agg(F.min("node").alias("a"), F.min_by("size", "node").alias("lead_size"))
     fits = (den * F.least("size", "lead_size") >= num * F.greatest("size", "lead_size")) & (F.col("node") != F.col("a"))
-    stars = lists.join(lead, "list").filter(fits).select("a", F.col("node").alias("b")).distinct()
+    seen = lists.join(lead, "list").filter(fits).withColumn("low_size", F.least("size", "lead_size")).select("a", F.col("node").alias("b"), "low_size", "weight")
+    often = lambda pairs: pairs.groupBy("a", "b", "low_size").agg(F.sum("weight").alias("have")).filter(F.col("have") >= need("low_size")).select("a", "b")
+    stars = materialise(often(seen), "stars")
     links = verified(stars)
     labels = components(links)
-    tagged = lists.join(labels, "node", "left").select("list", "node", "size", F.coalesce("component", "node").alias("component"))
+    tagged = lists.join(labels, "node", "left").select("list", "node", "size", "weight", F.coalesce("component", "node").alias("component"))
     mixed = tagged.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("list")
-    rest = tagged.join(mixed, "list", "left_semi").groupBy("list").applyInArrow(_cross(num, den), "a long, b long").distinct()
+    rest = often(tagged.join(mixed, "list", "left_semi").groupBy("list").applyInArrow(_cross(num, den), "a long, b long, low_size long, weight long"))
     labels = components(links.union(verified(rest.join(stars, ["a", "b"], "left_anti"))))
 
     named = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
