@@ -9,9 +9,12 @@ the partner's sorted set (the long lists) with binary search.
 Which lists are long is told by document frequencies over all documents, kept in ``1 << FREQ_BITS`` hashed
 counters; they only order a set's grams (ties by gram), so collisions cost time, never links.
 
-Documents with equal sets are one node. Within a list, a first round tests each node with one leader only;
-pairs that this already joins are never formed, so a group of near copies costs its size, not its square.
-All remaining pairs of different components whose sizes can reach T are then tested. No pair is capped.
+Documents with equal sets are one node. Within a list, a first round tests each node with one leader only, a
+second one with ``LEADERS`` others that lie in other components so far; pairs that these join are never
+formed, so a tight group of near copies costs about its size, not its square. All remaining pairs of different
+components are then compared, in blocks of bounded size, by parity signatures: the bits in which two differ are
+no more than the grams that only one set has, so the test never loses a link. What passes is verified. No
+pair is capped.
 
 A gram is a 64-bit fingerprint, and so is a set (with its size): sets of n documents are mistaken for equal
 with a probability of about n**2 / 2**65.
@@ -36,6 +39,9 @@ from tablesync.llm.words import Words, grams, inside, mix
 FREQ_BITS = 20
 BLOCK = 8 << 20
 CHUNKS = 64
+LEADERS = 12
+SIGN_BITS = 2048
+SPLIT = 2048
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -185,32 +191,46 @@ def _verify(num: int, den: int):
 
 
 def _sets(n: int):
+    """Each node's sorted set, and for every bit whether an odd number of its grams fall on it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node, texts in _blocks(batches):
             g, first = gram_sets(texts, n)
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([g[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())], names=["node", "grams"])
+            each = [g[i:j] for i, j in zip(first[:-1], first[1:])]
+            sign = [np.packbits((np.bincount((x % np.uint64(SIGN_BITS)).astype(np.int64), minlength=SIGN_BITS) & 1).astype(np.uint8)).tobytes() for x in each]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([x.tobytes() for x in each], pa.binary()), pa.array(sign, pa.binary())], names=["node", "grams", "sign"])
 
     return run
 
 
-def _cross(num: int, den: int):
-    """Of a list: pairs of nodes of different components whose sizes fit, the smaller node first."""
+def _cross(num: int, den: int, leaders: int | None = None):
+    """Between two blocks of a cluster (or in one): pairs of different components that may be links.
+
+    ``leaders``: only pairs with one of so many nodes, those least by a hash.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        node, size, comp = (table.column(c).to_numpy() for c in ("node", "size", "component"))
+        node, size, comp, part = (table.column(c).to_numpy() for c in ("node", "size", "component", "part"))
+        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint64).reshape(len(node), -1)
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        rank = np.argsort(np.argsort(mix(node.view(np.uint64))))
         by = np.argsort(size, kind="stable")
-        node, size, comp = node[by], size[by], comp[by]
-        left, right, low = [], [], []
+        node, size, comp, part, sign, rank = node[by], size[by], comp[by], part[by], sign[by], rank[by]
+        left, right = [], []
         for i in range(len(node)):
             j = int(np.searchsorted(size, size[i] * den // num, "right"))
-            at = i + 1 + np.flatnonzero(comp[i + 1 : j] != comp[i])
+            apart = comp[i + 1 : j] != comp[i]
+            if low != high:
+                apart &= part[i + 1 : j] != part[i]
+            if leaders is not None and rank[i] >= leaders:
+                apart &= rank[i + 1 : j] < leaders
+            at = i + 1 + np.flatnonzero(apart)
+            differ = np.bitwise_count(sign[at] ^ sign[i]).sum(1, dtype=np.int64)
+            at = at[differ * (den + num) <= (size[at] + size[i]) * (den - num)]
             left.append(np.full(len(at), node[i]))
             right.append(node[at])
-            low.append(np.full(len(at), size[i]))
-        a = np.concatenate(left) if left else np.zeros(0, np.int64)
-        b = np.concatenate(right) if right else np.zeros(0, np.int64)
-        low_size = np.concatenate(low) if low else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b)), "low_size": pa.array(low_size), "weight": pa.array(np.full(len(a), table.column("weight")[0].as_py()), pa.int64())})
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
     return run
 
@@ -246,7 +266,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     wanted = lists.select("node").distinct()
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key"))
     texts = keyed.select("row_key", "text").join(one, "row_key").select("node", "text")
-    sets = materialise(texts.mapInArrow(_sets(n), "node long, grams binary").dropDuplicates(["node"]), "sets")
+    sets = materialise(texts.mapInArrow(_sets(n), "node long, grams binary, sign binary").dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         x, y = sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
@@ -257,12 +277,20 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     seen = lists.join(lead, "list").filter(fits).withColumn("low_size", F.least("size", "lead_size")).select("a", F.col("node").alias("b"), "low_size", "weight")
     often = lambda pairs: pairs.groupBy("a", "b", "low_size").agg(F.sum("weight").alias("have")).filter(F.col("have") >= need("low_size")).select("a", "b")
     stars = materialise(often(seen), "stars")
-    links = verified(stars)
+    links, tried = verified(stars), stars
+    # nodes that share a list share its leader's cluster; a large cluster is compared block by block
+    clusters = lists.join(lead.select("list", F.col("a").alias("lead")), "list").select("lead", "node", "size").distinct()
+    clusters = materialise(clusters.join(sets.select("node", "sign"), "node"), "clusters")
+    for leaders in (LEADERS, None):
+        labels = components(links)
+        tagged = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = tagged.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).filter("lo <> hi").select("lead", "parts")
+        dealt = tagged.join(mixed, "lead").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        blocks = dealt.select("lead", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "size", "component", "sign")
+        pairs = blocks.groupBy("lead", "low", "high").applyInArrow(_cross(num, den, leaders), "a long, b long").distinct()
+        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links, tried = links.union(verified(new)), tried.union(new)
     labels = components(links)
-    tagged = lists.join(labels, "node", "left").select("list", "node", "size", "weight", F.coalesce("component", "node").alias("component"))
-    mixed = tagged.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("list")
-    rest = often(tagged.join(mixed, "list", "left_semi").groupBy("list").applyInArrow(_cross(num, den), "a long, b long, low_size long, weight long"))
-    labels = components(links.union(verified(rest.join(stars, ["a", "b"], "left_anti"))))
 
     named = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
     every = keyed.select("doc_id", "row_key").join(named, "row_key")
