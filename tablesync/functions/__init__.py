@@ -1 +1 @@
-
+"""Column functions: masking, names, coercions and anonymisation."""

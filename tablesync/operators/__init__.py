@@ -1 +1 @@
-
+"""Operators on tables: batches, deltas, projections, views, merges."""

@@ -1 +1 @@
-
+"""Profiles, readers and tables in a shared folder."""
