@@ -1 +1 @@
-
+"""Change capture and incremental runs as streams."""
