@@ -119,7 +119,7 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Sorted structs (start, order, end, kind) of a rule's matches in ``text``."""
-    pattern = f"(?s)(.*?)({rule.regex})"
+    pattern = rf"(?s)\G(.*?)({rule.regex})"  # \G: no new start after the last match
     part = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
     zipped = F.arrays_zip(part(1).alias("gap"), part(2).alias("hit"), part(2 + rule.group).alias("own"))
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
