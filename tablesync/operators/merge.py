@@ -57,6 +57,8 @@ def tables_to_clear(target_tables: DataFrame, included: DataFrame) -> DataFrame:
 
 def merge_statement(dialect: str, target: str, staging: str, keys: list[str], columns: list[str]) -> str:
     """One set-based statement: MERGE, ON CONFLICT (postgresql) or ON DUPLICATE KEY (mysql)."""
+    quoted = lambda c: f"`{c}`" if dialect == "mysql" else f'"{c}"'  # noqa: E731  as Spark's writer names them
+    keys, columns = [quoted(c) for c in keys], [quoted(c) for c in columns]
     rest = [c for c in columns if c not in keys]
     names = ", ".join(columns)
     if dialect == "postgresql":
@@ -90,4 +92,5 @@ def upsert_jdbc(df: DataFrame, profile: Profile, target: str, keys: list[str]) -
 def delete_jdbc(markers: DataFrame, profile: Profile, target: str, key: str, marker_key: str = "p_itempk") -> None:
     staging = f"{target}_deleted"
     markers.select(F.col(marker_key).alias(key)).write.format("jdbc").options(**profile.jdbc_options(), dbtable=staging).mode("overwrite").save()
-    _execute(markers.sparkSession, profile, f"DELETE FROM {target} WHERE {key} IN (SELECT {key} FROM {staging})")
+    name = f"`{key}`" if profile.url.startswith("jdbc:mysql") else f'"{key}"'
+    _execute(markers.sparkSession, profile, f"DELETE FROM {target} WHERE {name} IN (SELECT {name} FROM {staging})")
