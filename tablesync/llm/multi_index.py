@@ -132,7 +132,7 @@ def fit_grid(vectors: DataFrame, least: float, recall: float = 0.999, most_codes
         _, more = grid.excess(q)
         at = np.arange(len(q))
         need = more[0][at, own[0]] + more[1][at, own[1]]
-        grid.reach = float(min(bound, max(0.02, 1.5 * np.quantile(need, recall))))
+        grid.reach = float(min(bound, max(0.002, 3 * np.quantile(need, recall))))
     return grid
 
 
@@ -142,8 +142,8 @@ def _place(grid_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid: Grid = grid_of.value
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1024):
-                b = batch.slice(lo, 1024)
+            for lo in range(0, batch.num_rows, 128):
+                b = batch.slice(lo, 128)
                 unit = _unit(_matrix(b.column(3)))
                 own, more = grid.excess(unit)
                 row, i, j = [], [], []
