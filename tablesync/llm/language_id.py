@@ -30,6 +30,7 @@ BUCKETS = 1 << 16
 CHUNKS = 16
 MOST_LANGUAGES = 250
 BATCH = 6 << 20
+CHUNK = 1 << 20
 #: First code points of script ranges and their scripts, from the Unicode block list (fixed values).
 SCRIPTS = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -48,8 +49,8 @@ NAMES = sorted({s for _, s in SCRIPTS})
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Of every code point: its lower case if it is a letter, else 0; its script's bit."""
-    chars = [chr(i) for i in range(0x110000)]
-    low = np.array([(ord(c.lower()) if len(c.lower()) == 1 else i) if c.isalpha() else 0 for i, c in enumerate(chars)], np.uint32)
+    chars = map(chr, range(0x110000))
+    low = np.fromiter(((ord(c.lower()) if len(c.lower()) == 1 else ord(c)) if c.isalpha() else 0 for c in chars), np.uint32, 0x110000)
     begin = np.array([b for b, _ in SCRIPTS])
     bit = np.array([1 << NAMES.index(s) for _, s in SCRIPTS], np.int32)
     return low, np.repeat(bit, np.diff(begin, append=0x110000))
@@ -85,7 +86,7 @@ def _count(languages: list[str]):
             texts = b.column(0).to_pylist()
             for k, name in enumerate(languages):
                 at = np.flatnonzero(lang == name)
-                for part in _parts([texts[i] for i in at]):
+                for part in _parts([texts[i] for i in at], CHUNK):
                     seen = True
                     w = _Letters(part)
                     grams[k] += np.bincount(w.gram[w.used], minlength=BUCKETS)
@@ -100,12 +101,12 @@ def _count(languages: list[str]):
     return run
 
 
-def _parts(texts: list[str]) -> Iterator[list[str]]:
+def _parts(texts: list[str], limit: int) -> Iterator[list[str]]:
     now, size = [], 0
     for t in texts:
         now.append(t)
         size += len(t or "")
-        if size >= BATCH:
+        if size >= limit:
             yield now
             now, size = [], 0
     if now:
@@ -176,22 +177,38 @@ def viterbi(score: np.ndarray, first: np.ndarray, penalty: float) -> np.ndarray:
     return label
 
 
+def _words(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word its start and end in its text and its scores; each text's first word, with their number.
+
+    Letters take much more memory than words, so they go ``CHUNK`` at a time.
+    """
+    start, end, scores, many = [], [], [], []
+    for part in _parts(texts, CHUNK):
+        w = _Letters(part)
+        many.append(np.diff(w.first))
+        begin = np.repeat(w.doc_at[:-1], many[-1])
+        start.append(w.start - begin)
+        end.append(w.end - begin)
+        scores.append(model.scores(w) if model.languages else np.zeros((len(begin), 0), np.float32))
+    return np.concatenate(start), np.concatenate(end), np.concatenate(scores), np.concatenate(([0], np.cumsum(np.concatenate(many))))
+
+
 def _predict(model_of, penalty: float, spans: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = model_of.value
         for b in batches:
             names = list(b.schema.names)
             lo = 0
-            for part in _parts(b.column(names.index("__text")).to_pylist()):
+            for part in _parts(b.column(names.index("__text")).to_pylist(), BATCH):
                 own = b.slice(lo, len(part))
                 lo += len(part)
-                w = _Letters(part)
+                start, end, scores, first = _words(model, part)
                 langs = len(model.languages)
                 many = len(part)
-                doc = np.repeat(np.arange(many), np.diff(w.first))
+                doc = np.repeat(np.arange(many), np.diff(first))
                 if langs and len(doc):
-                    label = viterbi(model.scores(w), w.first, penalty)
-                    share = np.bincount(doc * langs + label, (w.end - w.start).astype(float), many * langs).reshape(many, langs)
+                    label = viterbi(scores, first, penalty)
+                    share = np.bincount(doc * langs + label, (end - start).astype(float), many * langs).reshape(many, langs)
                 else:
                     label, share = np.zeros(len(doc), np.int32), np.zeros((many, max(langs, 1)))
                 top, total = share.argmax(1), share.sum(1)
@@ -204,7 +221,7 @@ def _predict(model_of, penalty: float, spans: bool):
                     new = np.flatnonzero((np.diff(doc, prepend=-1) != 0) | (np.diff(label, prepend=-1) != 0)) if total.any() else []
                     for i, j in zip(new, [*new[1:], len(doc)]):
                         d = int(doc[i])
-                        each[d].append({"start": int(w.start[i] - w.doc_at[d]), "end": int(w.end[j - 1] - w.doc_at[d]), "lang": model.languages[label[i]]})
+                        each[d].append({"start": int(start[i]), "end": int(end[j - 1]), "lang": model.languages[label[i]]})
                     cols.append(pa.array(each, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))))
                     out.append("lang_spans")
                 yield pa.RecordBatch.from_arrays(cols, names=out)
