@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.words import Words
 
-KEEP = 1 << 20
-BATCH = 6 << 20
+KEEP = 1 << 19
+BATCH = 2 << 20
 END_ID = 2
 MOST = 4096
 
