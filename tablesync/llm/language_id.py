@@ -29,8 +29,8 @@ from tablesync.llm.common import crc_mod
 BUCKETS = 1 << 16
 CHUNKS = 16
 MOST_LANGUAGES = 250
-BATCH = 6 << 20
-CHUNK = 1 << 20
+BATCH = 4 << 20
+CHUNK = 1 << 19
 #: First code points of script ranges and their scripts, from the Unicode block list (fixed values).
 SCRIPTS = (
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
