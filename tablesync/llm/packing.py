@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tablesync.llm.words import Words
 
 KEEP = 1 << 19
+AT_ONCE = 1 << 13
 BATCH = 2 << 20
 END_ID = 2
 MOST = 4096
@@ -58,11 +59,11 @@ class _Encoder:
         if len(new):
             texts = [w.data[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace") for i in first[new]]
             encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            got = [e.ids for e in encode(texts, add_special_tokens=False)]
+            got = [np.array(e.ids, np.uint32) for lo in range(0, len(texts), AT_ONCE) for e in encode(texts[lo : lo + AT_ONCE], add_special_tokens=False)]
             size = np.array([len(x) for x in got], np.int64)
             begin = len(self.ids) + np.cumsum(size) - size
             at[new] = len(self.begin) + np.arange(len(new))
-            self.ids = np.concatenate((self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))))
+            self.ids = np.concatenate((self.ids, *got))
             self.begin, self.size = np.concatenate((self.begin, begin)), np.concatenate((self.size, size))
             self.place.update(zip(own[new].tolist(), at[new].tolist()))
         return at[back]
