@@ -43,8 +43,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two pieces with their token ids."""
-    return pack(docs, default_tokenizer())
+    """Power-of-two pieces with their token ids; workers, kept from stage to stage, hold little."""
+    return pack(docs, default_tokenizer(), keep=1 << 18, batch=2 << 20)
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("mix_sources", mix_sources), ("pack_documents", pack_documents)]

@@ -6,7 +6,8 @@ no sequence crosses documents. ``bucket`` is the length's exponent; batches are
 (``write_buckets`` lays the pieces out so).
 
 Tokens are those of a whole text. The vocabulary's pre-tokenizer never joins across white space, so a text
-is encoded word by word, and each worker keeps the ids of words it has met, up to ``KEEP`` of them.
+is encoded word by word, and each worker keeps the ids of words it has met, ``keep`` of them before it
+begins anew, and works on ``batch`` bytes of text at a time; neither changes the pieces.
 
 Nulls and empties: a null or empty text is the end token alone. A null id is kept; rows that repeat id or
 text are documents of their own. Empty input gives no pieces. Other columns are left out.
@@ -26,9 +27,9 @@ from pyspark.sql import functions as F
 
 from tablesync.llm.words import Words
 
-KEEP = 1 << 19
+KEEP = 1 << 20
 AT_ONCE = 1 << 13
-BATCH = 2 << 20
+BATCH = 6 << 20
 END_ID = 2
 MOST = 4096
 
@@ -49,9 +50,9 @@ class _Encoder:
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
 
-    def places(self, w: Words) -> np.ndarray:
+    def places(self, w: Words, keep: int) -> np.ndarray:
         """For each word, where its ids are kept."""
-        if len(self.place) > KEEP:
+        if len(self.place) > keep:
             self.clear()
         own, first, back = np.unique(w.hashes(lower=False), return_index=True, return_inverse=True)
         at = np.array([self.place.get(h, -1) for h in own.tolist()], np.int64)
@@ -59,18 +60,18 @@ class _Encoder:
         if len(new):
             texts = [w.data[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace") for i in first[new]]
             encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            got = [np.array(e.ids, np.uint32) for lo in range(0, len(texts), AT_ONCE) for e in encode(texts[lo : lo + AT_ONCE], add_special_tokens=False)]
+            got = [e.ids for lo in range(0, len(texts), AT_ONCE) for e in encode(texts[lo : lo + AT_ONCE], add_special_tokens=False)]
             size = np.array([len(x) for x in got], np.int64)
             begin = len(self.ids) + np.cumsum(size) - size
             at[new] = len(self.begin) + np.arange(len(new))
-            self.ids = np.concatenate((self.ids, *got))
+            self.ids = np.concatenate((self.ids, np.fromiter((i for x in got for i in x), np.uint32, int(size.sum()))))
             self.begin, self.size = np.concatenate((self.begin, begin)), np.concatenate((self.size, size))
             self.place.update(zip(own[new].tolist(), at[new].tolist()))
         return at[back]
 
-    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[bytes | None], keep: int) -> list[np.ndarray]:
         w = Words(texts)
-        at = self.places(w)
+        at = self.places(w, keep)
         size = self.size[at]
         over = np.concatenate(([0], np.cumsum(size)))
         flat = self.ids[np.repeat(self.begin[at] - over[:-1], size) + np.arange(over[-1])] if len(at) else np.zeros(0, np.uint32)
@@ -89,13 +90,13 @@ def lengths(n: int, most: int = MOST) -> list[int]:
     return [most] * (n // most) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def _pieces(path: str, most: int, end: int, with_ids: bool):
+def _pieces(path: str, most: int, end: int, with_ids: bool, keep: int, batch: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path)
 
         def out(ids: list, texts: list) -> pa.RecordBatch:
             doc, start, length, crc, total, own = [], [], [], [], [], []
-            for i, t in zip(ids, enc.encode(texts)):
+            for i, t in zip(ids, enc.encode(texts, keep)):
                 t = np.append(t, np.uint32(end)).astype("<u4")
                 at = 0
                 for n in lengths(len(t), most):
@@ -120,7 +121,7 @@ def _pieces(path: str, most: int, end: int, with_ids: bool):
                 ids.append(i)
                 texts.append(t)
                 size += len(t or b"")
-                if size >= BATCH:
+                if size >= batch:
                     yield out(ids, texts)
                     ids, texts, size = [], [], 0
         if ids:
@@ -129,14 +130,14 @@ def _pieces(path: str, most: int, end: int, with_ids: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, most: int = MOST, end: int = END_ID, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, most: int = MOST, end: int = END_ID, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True, keep: int = KEEP, batch: int = BATCH) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids], bucket, sequence_id, offset): a row for each piece.
 
     ``tokenizer`` is the path of a vocabulary file, the same on every machine. Sequence ids are unique, not
     dense: a partition's number and a place in it.
     """
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_pieces(tokenizer, most, end, with_ids), schema)
+    cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_pieces(tokenizer, most, end, with_ids, keep, batch), schema)
     return cut.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 
