@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import materialise
+from tablesync.llm.common import materialise, named, numbered, place
 from tablesync.llm.language_id import fit, label
 from tablesync.llm.mixing import mix
 from tablesync.llm.ngram_join import keep_one
@@ -23,8 +23,8 @@ TEMPERATURE = 0.85
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents with letters and a main language; the model is learned from all labelled rows."""
-    known = label(docs, fit(docs))
-    return known.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*docs.columns)
+    known = label(numbered(docs), fit(docs), place(docs, "text"))
+    return known.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*named(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +39,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; those of sources below their weight come in more epochs."""
-    return mix(docs, temperature=TEMPERATURE).select(*docs.columns)
+    keys = [place(docs, c) for c in ("doc_id", "text")]
+    return mix(numbered(docs), temperature=TEMPERATURE, source=place(docs, "source"), rank_by=keys).select(*named(docs))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns as c0, c1, and so on: an operator's own names cannot clash with them."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
+def place(df: DataFrame, name: str) -> str:
+    """The name that ``numbered`` gives to a column."""
+    return f"c{[c.lower() for c in df.columns].index(name.lower())}"
+
+
+def named(df: DataFrame, but: tuple[str, ...] = ()) -> list[Column]:
+    """The columns of ``numbered(df)`` by their names in ``df``, less those named in ``but``."""
+    return [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c.lower() not in but]
+
+
 def bucket_count(df: DataFrame, text: str = "text", bytes_each: int = 8 << 20) -> int:
     """Buckets for packed shuffles: two a shuffle partition, more where ``bytes_each`` of text would be passed."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0

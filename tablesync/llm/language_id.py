@@ -11,7 +11,8 @@ raise; so it may be broadcast.
 
 Nulls and empties: a text that is null or has no letter is ``und`` with score 0; so is every text if nothing
 could be learned. Rows without text or label are not learned from; nor are rows with a null id, which have no
-fold. Repeated rows count and are labelled as often as they come. Other columns pass through ``label``.
+fold. Repeated rows count and are labelled as often as they come. Other columns pass through
+``label``; it replaces those named like its own.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import crc_mod
+from tablesync.llm.common import crc_mod, named, numbered, place
 
 BUCKETS = 1 << 16
 CHUNKS = 16
@@ -251,9 +252,11 @@ def label(docs: DataFrame, model: Model, text: str = "text", penalty: float = 12
 
     ``penalty``: what a change of language costs, in nats.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", lang_pred string, score double"
+    own, new = numbered(docs), ("lang_pred", "score", *["lang_spans"] * spans)
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema) + ", lang_pred string, score double"
     schema += ", lang_spans array<struct<start:int,end:int,lang:string>>" * spans
-    return docs.withColumn("__text", F.col(text)).mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), penalty, spans), schema)
+    out = own.withColumn("__text", F.col(place(docs, text))).mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), penalty, spans), schema)
+    return out.select(*named(docs, new), *new)
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

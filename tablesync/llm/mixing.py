@@ -10,7 +10,8 @@ The mix runs until every document has its slot. Sources that run out before begi
 target weights hold to the end and no document is lost.
 
 Nulls and empties: rows with a null source are one source; null ids and texts are values like others;
-repeated rows are documents of their own; empty input gives an empty mix. Other columns pass through.
+repeated rows are documents of their own; empty input gives an empty mix. Other columns pass through;
+those named like the three new ones are replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ import heapq
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablesync.llm.common import named, numbered, place
+
 MOST_SOURCES = 10_000
 
 
@@ -58,7 +61,8 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85,
     ``temperature``. Sources without a share raise. Sorted by mix_order, the rows are the mix. Up to
     ``MOST_SOURCES`` sources, more raise; only their counts come to the driver.
     """
-    spark, keys = docs.sparkSession, rank_by or [c for c in (doc_id, "text") if c in docs.columns]
+    spark, given = docs.sparkSession, docs
+    docs, source, keys = numbered(given), place(given, source), [place(given, c) for c in rank_by or [c for c in (doc_id, "text") if c in given.columns]]
     counts = docs.groupBy(F.col(source).alias("s")).count().limit(MOST_SOURCES + 1).collect()
     if len(counts) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
@@ -84,8 +88,9 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85,
     each = sized.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__epochs"))))
     k = F.floor(F.col("__n") / block) + F.col("mix_epoch") * F.col("__b")
     slot = F.floor(k / F.col("__w")) * total + F.element_at("__own", ((k % F.col("__w")) + 1).cast("int"))
+    new = ("mix_epoch", "mix_slot", "mix_order")
     out = each.withColumn("mix_slot", slot.cast("long")).filter(F.col("mix_slot") <= end)
-    return out.withColumn("mix_order", F.col("mix_slot") * block + F.col("__n") % block).select(*docs.columns, "mix_epoch", "mix_slot", "mix_order")
+    return out.withColumn("mix_order", F.col("mix_slot") * block + F.col("__n") % block).select(*named(given, new), *new)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import bucket_count, components, materialise, pack, row_key, runs, unpack
+from tablesync.llm.common import bucket_count, components, materialise, named, numbered, pack, place, row_key, runs, unpack
 from tablesync.llm.words import Words, grams, inside, mix
 
 FREQ_BITS = 20
@@ -292,8 +292,8 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
         links, tried = links.union(verified(new)), tried.union(new)
     labels = components(links)
 
-    named = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
-    every = keyed.select("doc_id", "row_key").join(named, "row_key")
+    joined = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
+    every = keyed.select("doc_id", "row_key").join(joined, "row_key")
     # an empty set links with nothing, so each such row stands alone
     lone = F.col("size") == 0
     least = every.filter(~lone).groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -306,7 +306,8 @@ def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_id:
     groups = ngram_join(docs, n, num, den, doc_id, text)
     first = groups.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("first"))
     kept = first.select(F.col("first.row_key").alias("__row_key"))
-    return docs.withColumn("__row_key", row_key(doc_id, text)).join(kept, "__row_key", "left_semi").dropDuplicates(["__row_key"]).drop("__row_key")
+    keyed = numbered(docs).withColumn("__row_key", row_key(place(docs, doc_id), place(docs, text)))
+    return keyed.join(kept, "__row_key", "left_semi").dropDuplicates(["__row_key"]).select(*named(docs))
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import row_key
+from tablesync.llm.common import named, numbered, place, row_key
 
 
 @dataclass(frozen=True)
@@ -135,9 +135,13 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", to: str = "spans") -> DataFrame:
-    """``docs`` with array ``to`` of structs (start, order, end, kind): all spans by start, then rule order."""
+    """``docs`` with array ``to`` of structs (start, order, end, kind): all spans by start, then rule order.
+
+    A column named like ``to`` is replaced.
+    """
     body, key, found = "__text", "__key", "__rules"
-    keyed = docs.withColumns({body: F.coalesce(F.col(text), F.lit("")), key: row_key(text, text)})
+    at = place(docs, text)
+    keyed = numbered(docs).withColumns({body: F.coalesce(F.col(at), F.lit("")), key: row_key(at, at)})
     cands = candidates(keyed.select(F.col(key).alias("key"), F.col(body).alias("text")), rules).select(F.col("key").alias(key), F.col("rules").alias(found))
     joined = keyed.join(cands, key, "left")
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
@@ -145,7 +149,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", t
     for n, rule in enumerate(rules):
         s = _spans(F.col(body), rule, n)
         each.append(F.when(F.array_contains(found, n), s).otherwise(none) if trigram_query(rule.regex) else s)
-    return joined.withColumn(to, F.array_sort(F.flatten(F.array(*each)))).drop(body, key, found)
+    return joined.select(*named(docs, (to.lower(),)), F.array_sort(F.flatten(F.array(*each))).alias(to))
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
@@ -154,14 +158,17 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     Where spans overlap, the first one's name stands for all they cover.
     """
 
+    at = place(docs, text)
+
     def step(acc: Column, x: Column) -> Column:
         begins = x["start"] >= acc["pos"]
-        upto = F.concat(acc["out"], F.substring(F.col(text), acc["pos"] + 1, x["start"] - acc["pos"]), F.lit("["), x["kind"], F.lit("]"))
+        upto = F.concat(acc["out"], F.substring(F.col(at), acc["pos"] + 1, x["start"] - acc["pos"]), F.lit("["), x["kind"], F.lit("]"))
         return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.when(begins, upto).otherwise(acc["out"]).alias("out"))
 
     start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    clean = F.aggregate(F.col("__spans"), start, step, lambda a: F.concat(a["out"], F.substring(F.col(text), a["pos"] + 1, F.length(text))))
-    return scan(docs, rules, text, "__spans").withColumn(text, F.when(F.size("__spans") > 0, clean).otherwise(F.col(text))).select(*docs.columns)
+    clean = F.aggregate(F.col("__spans"), start, step, lambda a: F.concat(a["out"], F.substring(F.col(at), a["pos"] + 1, F.length(at))))
+    found = scan(numbered(docs), rules, at, "__spans")
+    return found.withColumn(at, F.when(F.size("__spans") > 0, clean).otherwise(F.col(at))).select(*named(docs))
 
 
 def _joined(spans: Column) -> Column:

@@ -9,6 +9,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablesync.llm import chat_format, language_id, mixing, mtree, multi_index, ngram_join, packing, pitman_yor, secret_scan, substring_dedup
 from tablesync.llm.queries import ORACLES, QUERIES
@@ -231,3 +232,37 @@ def test_pipeline_against_brute_force(spark):
     assert {r["doc_id"] for r in out} == kept
     assert [n for n, _ in p.STAGES] == ["language_id", "near_dedup", "secret_scan", "mix_sources", "pack_documents"]
     assert hashlib.sha256(b"").hexdigest() and all(r["length"] & (r["length"] - 1) == 0 for r in out)
+
+
+CLASHING = ("lang_pred", "score", "lang_spans", "held_out", "spans", "component_id", "part", "size", "mix_epoch", "mix_slot", "mix_order", "length", "start", "ids", "sequence_id", "c0", "c1")
+CLASHING += ("__text", "__key", "__rules", "__spans", "__row_key", "__h", "__part", "__n", "__s", "__w", "__b", "__own", "__epochs")
+
+
+@pytest.mark.parametrize("kind", ["clashing", "empty", "nulls"])
+def test_stages_on_odd_tables(spark, docs, kind):
+    import corpus_pipeline as p
+
+    if kind == "clashing":
+        docs = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in CLASHING))
+    docs = docs.limit(0) if kind == "empty" else docs
+    if kind == "nulls":
+        docs = spark.createDataFrame([(None,) * len(docs.columns)] * 3, docs.schema)
+    least = {"clashing": (11, 11, 14, 14, 14), "empty": (0,) * 5, "nulls": (0, 1, 3, 3, 3)}[kind]
+    for (name, stage), rows in zip(p.STAGES, least):
+        out = stage(spark, docs, SF)
+        if name == "pack_documents":
+            assert out.count() >= rows
+            continue
+        got = out.collect()
+        assert out.columns == docs.columns and (len(got) >= rows if name == "mix_sources" else len(got) == rows)
+        assert kind != "clashing" or all(r[c] == f"own {c}" for r in got for c in CLASHING)
+
+
+def test_operators_replace_columns_named_like_theirs(spark, docs):
+    wide = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in CLASHING))
+    model = language_id.fit(docs)
+    assert sorted(map(str, language_id.label(wide, model, spans=True).select("doc_id", "lang_pred", "score", "lang_spans").collect())) == sorted(map(str, language_id.label(docs, model, spans=True).select("doc_id", "lang_pred", "score", "lang_spans").collect()))
+    assert sorted(map(str, secret_scan.scan(wide).select("doc_id", "spans").collect())) == sorted(map(str, secret_scan.scan(docs).select("doc_id", "spans").collect()))
+    assert sorted(map(str, mixing.mix(wide).select("doc_id", "mix_order").collect())) == sorted(map(str, mixing.mix(docs).select("doc_id", "mix_order").collect()))
+    assert substring_dedup.remove_repeats(wide).count() == ngram_join.ngram_join(wide).count() == len(TEXTS)
+    assert pitman_yor.score(wide, "doc_id < 9").count() == pitman_yor.score(docs, "doc_id < 9").count()
