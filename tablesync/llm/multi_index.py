@@ -1,12 +1,15 @@
 """Embedding near-dedup over an inverted multi-index.
 
 A unit vector's halves are quantised by a codebook each, trained on a bounded sample; the two codes name a
-cell of the product grid. A vector visits cells in the order of multi-sequence traversal, that is by growing
-excess ``D1**2 + D2**2``, where Dh is how much farther half h is from the cell's code than from its own code.
-By the triangle inequality a partner at distance d lies in a cell of excess at most ``(2 d)**2``; traversal
-stops there or before, at the excess that holds the target recall for a bounded sample of vectors searched
-by brute force. A pair counts for both sides if either visits the other's cell. Each candidate is verified
-in double precision.
+cell of the product grid. A half of q is nearer to code c' than to c by ``(|q - c|**2 - |q - c'|**2) / (2 |c - c'|)``
+along the line between them, so no half in the cell of c is nearer to it than the greatest of these over c'.
+A vector visits cells in the order of multi-sequence traversal, that is by the growing sum of both halves'
+squared bounds, up to ``2 - 2 least``: no link lies in a cell beyond, so none is missed. As the bound holds from
+either side, only one of two cells visits the other. Each candidate is verified in double precision.
+
+Codebooks have as many codes as let a vector visit ``VISITS`` cells in the mean of a sample, 4 at least. Where
+vectors are spread so evenly that bounds leave most cells, the codes are few and the pairs compared grow with
+the square of a label's distinct vectors.
 
 Only equal, non-null labels are compared. Equal vectors of a label are one node with a multiplicity. A cell's
 vectors are dealt to blocks of bounded size, and visitors to a few groups each; a task gets one block and
@@ -30,6 +33,7 @@ from tablesync.llm.common import components, materialise
 
 SAMPLE = 8192
 PROBED = 256
+VISITS = 32
 BLOCK = 2048
 GROUP = 8192
 
@@ -51,7 +55,7 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 1) -> np.ndarray:
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
-        own = _distances(x, c).argmin(1)
+        own = _squares(x, c).argmin(1)
         n = np.bincount(own, minlength=len(c))
         total = np.zeros_like(c)
         np.add.at(total, own, x)
@@ -59,81 +63,60 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 1) -> np.ndarray:
     return c
 
 
-def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T, 0))
+def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    return (x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T
 
 
 class Grid:
-    """Two codebooks, and how far traversal goes: cells of an excess up to ``reach``."""
+    """Two codebooks, and how far traversal goes: cells of a squared distance of at least ``reach`` are left out."""
 
     def __init__(self, first: np.ndarray, second: np.ndarray, reach: float):
         self.codes, self.reach = (first, second), reach
+        self.gaps = []
+        for code in self.codes:
+            gap = 2 * np.sqrt(((code[:, None] - code[None]) ** 2).sum(2))
+            self.gaps.append(np.where(gap > 1e-6, gap, np.inf))  # codes so near bound nothing
 
-    def excess(self, unit: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """For each half: its code, and the squared extra distance to every code."""
+    def bounds(self, unit: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """For each half: its code, and the least squared distance that a vector of every code's cell can have."""
         h = unit.shape[1] // 2
-        own, more = [], []
-        for half, code in zip((unit[:, :h], unit[:, h:]), self.codes):
-            d = _distances(half, code)
+        own, least = [], []
+        for half, code, gap in zip((unit[:, :h], unit[:, h:]), self.codes, self.gaps):
+            d = _squares(half, code)
+            low = np.zeros_like(d)
+            for c in range(len(code)):
+                np.maximum(low, (d - d[:, c : c + 1]) / gap[c], out=low)
             own.append(d.argmin(1))
-            more.append((d - d.min(1, keepdims=True)) ** 2)
-        return own, more
+            least.append(low**2)
+        return own, least
 
-    def cells(self, more: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
+    def cells(self, own: list[np.ndarray], least: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
         """Cells that a vector visits, nearest first: its codes sorted in each half, sums walked in order."""
-        a, b = more[0][row], more[1][row]
+        a, b = least[0][row], least[1][row]
         i, j = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
         i, j = i[a[i] <= self.reach], j[b[j] <= self.reach]
         total = a[i][:, None] + b[j][None]
         x, y = np.nonzero(total <= self.reach)
         order = np.argsort(total[x, y], kind="stable")
-        return i[x[order]], j[y[order]]
-
-
-def _sample(vectors: DataFrame, n: int, seed: int) -> tuple[np.ndarray, list[int]]:
-    got = vectors.orderBy(F.xxhash64("node", F.lit(seed)), "node").limit(n).select("v", "label").toArrow()
-    return (_unit(_matrix(got.column("v"))) if len(got) else np.zeros((0, 0))), got.column("label").to_pylist()
-
-
-def _truth(queries: np.ndarray, labels: np.ndarray, least: float):
-    """True links of the sampled queries: (query, vector) of every batch."""
+        i, j = i[x[order]], j[y[order]]
+        cell, mine = i * len(self.codes[1]) + j, own[0][row] * len(self.codes[1]) + own[1][row]
+        # of two cells one visits the other: the higher number where their sum is even, else the lower
+        take = (cell == mine) | ((cell < mine) == ((cell + mine) % 2 == 0))
+        return i[take], j[take]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                v = b.column(b.schema.get_field_index("v"))
-                cos = queries @ _unit(_matrix(v)).T
-                hit = (cos >= least) & (labels[:, None] == np.asarray(b.column(b.schema.get_field_index("label")))[None])
-                q, x = np.nonzero(hit)
-                if len(q):
-                    # of each query, the links that are hardest to find and some others
-                    order = np.lexsort((cos[q, x], q))
-                    q, x = q[order], x[order]
-                    keep = np.arange(len(q)) - np.searchsorted(q, q) < 4
-                    yield pa.RecordBatch.from_arrays([pa.array(q[keep].astype(np.int32)), v.take(pa.array(x[keep]))], names=["q", "v"])
-
-    return run
 
-
-def fit_grid(vectors: DataFrame, least: float, recall: float = 0.999, most_codes: int = 256) -> Grid | None:
-    """Codebooks from ``SAMPLE`` vectors; the reach from the links of ``PROBED`` vectors (brute force, all rows)."""
+def fit_grid(vectors: DataFrame, least: float, most_codes: int = 256) -> Grid:
+    """Codebooks from ``SAMPLE`` vectors; their size is halved until ``PROBED`` of these visit few enough cells."""
     n = vectors.count()
-    sample, _ = _sample(vectors, SAMPLE, 1)
-    if not n:
-        return None
-    k, h = int(min(most_codes, max(4, round((n / 8) ** 0.5)))), sample.shape[1] // 2
-    bound = 4 * (2 - 2 * least)
-    grid = Grid(kmeans(sample[:, :h], k), kmeans(sample[:, h:], k, seed=2), bound)
-    queries, labels = _sample(vectors, PROBED, 3)
-    links = vectors.select("v", "label").mapInArrow(_truth(queries, np.array(labels), least), "q int, v array<double>").limit(PROBED * 256).toArrow()
-    if len(links):
-        q = queries[np.asarray(links.column("q"))]
-        own, _ = grid.excess(_unit(_matrix(links.column("v"))))
-        _, more = grid.excess(q)
-        at = np.arange(len(q))
-        need = more[0][at, own[0]] + more[1][at, own[1]]
-        grid.reach = float(min(bound, max(0.002, 3 * np.quantile(need, recall))))
-    return grid
+    sample = vectors.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(SAMPLE).select("v").toArrow()
+    unit = _unit(_matrix(sample.column("v")))
+    k, h = int(min(most_codes, max(4, round((n / 8) ** 0.5)))), unit.shape[1] // 2
+    while True:
+        grid = Grid(kmeans(unit[:, :h], k), kmeans(unit[:, h:], k, seed=2), 2 - 2 * least + 1e-6)
+        own, low = grid.bounds(unit[:PROBED])
+        if k == 4 or np.mean([len(grid.cells(own, low, r)[0]) for r in range(len(own[0]))]) <= VISITS:
+            return grid
+        k = max(4, k // 2)
 
 
 def _place(grid_of):
@@ -145,10 +128,10 @@ def _place(grid_of):
             for lo in range(0, batch.num_rows, 128):
                 b = batch.slice(lo, 128)
                 unit = _unit(_matrix(b.column(3)))
-                own, more = grid.excess(unit)
+                own, least = grid.bounds(unit)
                 row, i, j = [], [], []
                 for r in range(len(unit)):
-                    x, y = grid.cells(more, r)
+                    x, y = grid.cells(own, least, r)
                     row.append(np.full(len(x), r))
                     i.append(x)
                     j.append(y)
@@ -157,34 +140,31 @@ def _place(grid_of):
                 take = lambda c: b.column(c).take(pa.array(row))
                 width = len(grid.codes[1])
                 yield pa.RecordBatch.from_arrays(
-                    [take(1), pa.array((i * width + j).astype(np.int32)), pa.array(home), pa.array((own[0][row] * width + own[1][row]).astype(np.int32)), take(0), take(2), pa.array([u.tobytes() for u in unit], pa.binary()).take(pa.array(row))],
-                    names=["label", "cell", "home", "own", "node", "many", "unit"],
+                    [take(1), pa.array((i * width + j).astype(np.int32)), pa.array(home), take(0), take(2), pa.array([u.tobytes() for u in unit], pa.binary()).take(pa.array(row))],
+                    names=["label", "cell", "home", "node", "many", "unit"],
                 )
 
     return run
 
 
-def _search(grid_of, least: float):
+def _search(least: float):
     """Counts of links and a star of each component, between one block of a cell and one group of visitors."""
 
     def run(key: tuple[pa.Scalar, ...], left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
         if not len(left) or not len(right):
             return empty
-        grid: Grid = grid_of.value
         read = lambda t: np.frombuffer(b"".join(t.column("unit").to_pylist()), np.float64).reshape(len(t), -1)
         col = lambda t, c: t.column(c).to_numpy()
         x, node, many = read(left), col(left, "node"), col(left, "many")
-        _, more = grid.excess(x)
-        width = len(grid.codes[1])
         count, low, out = np.zeros(len(x), np.int64), node.copy(), []
         for lo in range(0, len(right), 1024):
             part = right.slice(lo, 1024)
-            q, qn, qm, home, own = read(part), col(part, "node"), col(part, "many"), col(part, "home"), col(part, "own")
+            q, qn, qm, home = read(part), col(part, "node"), col(part, "many"), col(part, "home")
             hit = (q @ x.T >= least) & (qn[:, None] != node[None])
             i, j = np.nonzero(hit)
             # a visitor from elsewhere, whose own cell this vector does not visit: count for this side too
-            alone = ~home[i] & (more[0][j, own[i] // width] + more[1][j, own[i] % width] > grid.reach)
+            alone = ~home[i]
             np.add.at(count, j[alone], qm[i[alone]])
             got = hit @ many
             qlow = qn.copy()
@@ -205,7 +185,7 @@ def _search(grid_of, least: float):
     return run
 
 
-def near_duplicates(rows: DataFrame, least: float = 0.93, recall: float = 0.999, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
+def near_duplicates(rows: DataFrame, least: float = 0.93, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     spark = rows.sparkSession
     v = F.col(embedding)
@@ -219,18 +199,18 @@ def near_duplicates(rows: DataFrame, least: float = 0.93, recall: float = 0.999,
         own = nodes.filter(F.size("v") == size)
         if size == 1:  # halves need two components
             own = own.withColumn("v", F.concat("v", F.array(F.lit(0.0))))
-        grid_of = spark.sparkContext.broadcast(fit_grid(own, least, recall))
+        grid_of = spark.sparkContext.broadcast(fit_grid(own, least))
         kind = nodes.schema["label"].dataType.simpleString()
-        placed = materialise(own.select("node", "label", "many", "v").mapInArrow(_place(grid_of), f"label {kind}, cell int, home boolean, own int, node long, many long, unit binary"), "placed")
+        placed = materialise(own.select("node", "label", "many", "v").mapInArrow(_place(grid_of), f"label {kind}, cell int, home boolean, node long, many long, unit binary"), "placed")
         sizes = placed.groupBy("label", "cell").agg(F.ceil(F.count_if("home") / BLOCK).cast("int").alias("blocks"), F.ceil(F.count("*") / GROUP).cast("int").alias("groups")).filter("blocks > 0")
         dealt = placed.join(sizes, ["label", "cell"])
         at = lambda n, seed: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(n)).cast("int")
         upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         keys = ["label", "cell", "block", "group"]
         left = dealt.filter("home").withColumn("block", at("blocks", 1)).withColumn("group", upto("groups")).select(*keys, "node", "many", "unit")
-        right = dealt.withColumn("group", at("groups", 2)).withColumn("block", upto("blocks")).select(*keys, "node", "many", "unit", "home", "own")
+        right = dealt.withColumn("group", at("groups", 2)).withColumn("block", upto("blocks")).select(*keys, "node", "many", "unit", "home")
         right = right.select(*(F.col(c).alias(c) for c in right.columns))
-        got = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(grid_of, least), "node long, links long, to long")
+        got = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(least), "node long, links long, to long")
         found.append(materialise(got, "links"))
     links = spark.createDataFrame([], "node long, links long, to long") if not found else found[0]
     for f in found[1:]:

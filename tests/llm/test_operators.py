@@ -122,6 +122,23 @@ def test_near_duplicate_vectors_edges(spark):
     assert multi_index.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_near_duplicate_vectors_all_rare_links(spark):
+    """Links just over the bound, too few for a sample of vectors to hold one."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    far = rng.normal(size=(12, 16))
+    far -= (far * x[:12]).sum(1, keepdims=True) * x[:12]
+    far /= np.linalg.norm(far, axis=1, keepdims=True)
+    x = np.concatenate((x, 0.932 * x[:12] + math.sqrt(1 - 0.932**2) * far))
+    rows = [(i, [float(c) for c in v], 0) for i, v in enumerate(x)]
+    hit = x @ x.T >= 0.93
+    np.fill_diagonal(hit, False)
+    got = multi_index.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {r["vec_id"]: r["n_links"] for r in got} == dict(enumerate(hit.sum(1).tolist()))
+    assert all(r["component_id"] == r["vec_id"] - 3000 for r in got if r["vec_id"] >= 3000)
+
+
 def test_exact_search_edges(spark):
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.integers(-2, 3, 6)]) for i in range(150)] + [(150, [1.0, None]), (200, None), (7, [1.0, 2.0]), (None, [1.0])]
