@@ -1,10 +1,13 @@
 """Mixing sources to target weights by Pfair scheduling.
 
 A source's documents, in a random but fixed order, form blocks of equal size. Block j (from 1) of a source
-with weight w of a period W may take a slot from its release time floor((j-1)W/w) up to its deadline
-ceil(jW/w); the slot goes to the released block with the earliest deadline. With integer weights the
-schedule repeats every W slots, so it is made once for one period, and any block's slot is arithmetic: no
-task or driver walks over the blocks. In each prefix, each source is within one block of its exact share.
+with weight w of a sum W may take a slot from its release time floor((j-1)W/w) up to its deadline
+ceil(jW/w); the slot goes to the released block with the earliest deadline. In each prefix, each source is
+within one block of its exact share, at any number of slots.
+
+Stretches of slots are scheduled apart, in tasks. Where one ends for each source follows from where it began
+without a walk over its slots (``ahead``): all blocks due by the end are done, and of the others released before
+it, by deadline, those for which slots from their release on are left. One task hands on these ends.
 
 The mix runs until every document has its slot. Sources that run out before begin again (``epoch``), so
 target weights hold to the end and no document is lost.
@@ -17,31 +20,82 @@ those named like the three new ones are replaced.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import named, numbered, place
+from tablesync.llm.common import materialise, named, numbered, place
 
 MOST_SOURCES = 10_000
+STRETCH = 4096
+FINE = 1 << 44
 
 
-def period_slots(weights: list[int]) -> list[list[int]]:
-    """For each weight, the slots of its blocks in one period of sum(weights) slots; earliest deadline first."""
+def ahead(at: list[int], start: int, end: int, weights: list[int]) -> list[int]:
+    """Blocks of each source in slots before ``end``, if ``at`` are those before ``start``."""
     total = sum(weights)
-    slots: list[list[int]] = [[] for _ in weights]
-    waiting = [(0, i) for i, w in enumerate(weights) if w]
+    free, out, later = np.arange(end - start, 0, -1), list(at), []
+    taken = np.zeros(end - start, np.int64)
+    for i, w in enumerate(weights):
+        due = end * w // total
+        if due > at[i]:
+            first = (at[i] * total - start * w + np.arange(due - at[i]) * total) // w
+            taken += np.bincount(np.maximum(first, 0), minlength=end - start)
+            out[i] = due
+        if out[i] * total < end * w:
+            later.append((-(-(out[i] + 1) * total // w), i, max(out[i] * total // w - start, 0)))
+    # slots left for blocks released at a slot or after it
+    free -= np.cumsum(taken[::-1])[::-1]
+    for _, i, release in sorted(later):
+        if free[: release + 1].min() > 0:
+            free[: release + 1] -= 1
+            out[i] += 1
+    return out
+
+
+def stretch_slots(at: list[int], start: int, end: int, weights: list[int]) -> Iterator[tuple[int, int, int]]:
+    """(slot, source, block from 0) of the slots from ``start`` up to ``end``; earliest deadline first."""
+    total, at = sum(weights), list(at)
+    waiting = [(at[i] * total // w, i) for i, w in enumerate(weights)]
     heapq.heapify(waiting)
     ready: list[tuple[int, int]] = []
-    for t in range(total):
+    for t in range(start, end):
         while waiting and waiting[0][0] <= t:
             _, i = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(len(slots[i]) + 1) * total // weights[i]), i))
+            heapq.heappush(ready, (-(-(at[i] + 1) * total // weights[i]), i))
         _, i = heapq.heappop(ready)
-        slots[i].append(t)
-        if len(slots[i]) < weights[i]:
-            heapq.heappush(waiting, (len(slots[i]) * total // weights[i], i))
-    return slots
+        yield t, i, at[i]
+        at[i] += 1
+        heapq.heappush(waiting, (at[i] * total // weights[i], i))
+
+
+def _starts(weights: list[int], stretch: int, upto: int):
+    """For each stretch before slot ``upto``, its first slot and the blocks of each source before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = [0] * len(weights)
+            for start in range(0, upto if b.num_rows else 0, stretch):
+                yield pa.RecordBatch.from_arrays([pa.array([start], pa.int64()), pa.array([at], pa.list_(pa.int64()))], names=["start", "at"])
+                at = ahead(at, start, start + stretch, weights)
+
+    return run
+
+
+def _schedule(weights: list[int], blocks: list[int], stretch: int):
+    """For each stretch, its slots with their source's number, epoch and block in the epoch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start, at in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                rows = [(t, i, k // blocks[i], k % blocks[i]) for t, i, k in stretch_slots(at, start, start + stretch, weights)]
+                cols = [pa.array(c, kind) for c, kind in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int64(), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(cols, names=["mix_slot", "__i", "mix_epoch", "__k"])
+
+    return run
 
 
 def whole_weights(shares: list[float], period: int) -> list[int]:
@@ -54,11 +108,11 @@ def whole_weights(shares: list[float], period: int) -> list[int]:
     return [x + 1 for x in out]
 
 
-def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85, block: int = 16, period: int = 1024, source: str = "source", doc_id: str = "doc_id", rank_by: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85, block: int = 16, period: int | None = None, source: str = "source", doc_id: str = "doc_id", rank_by: list[str] | None = None) -> DataFrame:
     """``docs`` with mix_epoch long, mix_slot long and mix_order long: a row for each placement.
 
     ``weights``: a share for each source (null key: null source); None: row counts to the power
-    ``temperature``. Sources without a share raise. Sorted by mix_order, the rows are the mix. Up to
+    ``temperature``; with ``period``, shares are first rounded to parts of it. Sources without a share raise. Sorted by mix_order, the rows are the mix. Up to
     ``MOST_SOURCES`` sources, more raise; only their counts come to the driver.
     """
     spark, given = docs.sparkSession, docs
@@ -70,26 +124,36 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85,
     if weights is not None and (lost := [s for s, _ in counts if not weights.get(s)]):
         raise ValueError(f"no weight for sources {lost[:5]}")
     shares = [weights[s] if weights is not None else n**temperature for s, n in counts]
-    w = whole_weights(shares, max(period, 16 * len(counts))) if counts else []
-    slots, total = period_slots(w), sum(w)
+    if period is not None:
+        w = whole_weights(shares, max(period, 16 * len(counts))) if counts else []
+    else:
+        w = [max(1, int(FINE * (x / sum(shares)))) for x in shares]
+    total = sum(w)
     blocks = [-(-n // block) for _, n in counts]
-    end = max([((b - 1) // x) * total + own[(b - 1) % x] for b, x, own in zip(blocks, w, slots)], default=-1)
+    upto = max((-(-b * total // x) for b, x in zip(blocks, w)), default=0)
+    stretch = max(STRETCH, 16 * len(w))
+    pieces = max(1, min(-(-upto // stretch), max(int(spark.conf.get("spark.sql.shuffle.partitions")), upto // stretch // 64)))
+    starts = spark.range(0, 1, 1, 1).mapInArrow(_starts(w, stretch, upto), "start long, at array<long>").repartition(pieces, "start")
+    schedule = materialise(starts.mapInArrow(_schedule(w, blocks, stretch), "mix_slot long, __i int, mix_epoch long, __k long"), "schedule")
     kind = docs.schema[source].dataType
-    table = spark.createDataFrame([(s, x, b, own, (end // total + 1) * x // b + 1) for (s, _), x, b, own in zip(counts, w, blocks, slots)], f"__s {kind.simpleString()}, __w long, __b long, __own array<int>, __epochs long")
+    table = spark.createDataFrame([(s, i, b - 1) for i, ((s, _), b) in enumerate(zip(counts, blocks))], f"__s {kind.simpleString()}, __i int, __last long")
+    last = schedule.filter("mix_epoch = 0").join(F.broadcast(table), "__i").filter("__k = __last")
+    end = last.agg(F.coalesce(F.max("mix_slot"), F.lit(-1))).first()[0]
 
     parts = max(sum(n for _, n in counts) // 20_000, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     hashed = docs.withColumn("__h", F.xxhash64(*keys)).withColumn("__part", F.pmod("__h", F.lit(parts)).cast("int"))
-    before = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hashed.groupBy(F.col(source).alias("__s"), "__part").count().select("__s", F.col("__part").alias("__p"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
+    earlier = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hashed.groupBy(F.col(source).alias("__s"), "__part").count().select("__s", F.col("__part").alias("__p"), "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
+    # of each part of a source and epoch, the slots of its blocks in order; those after the end are the last
+    spans = offsets.join(F.broadcast(table.withColumnRenamed("__s", "__t")), F.col("__s").eqNullSafe(F.col("__t")))
+    spans = spans.withColumn("__k", F.explode(F.sequence(F.floor(F.col("__before") / block), F.floor((F.col("__before") + F.col("count") - 1) / block))))
+    slots = spans.join(schedule.filter(F.col("mix_slot") <= end), ["__i", "__k"]).groupBy("__s", "__p", "__before", "mix_epoch").agg(F.sort_array(F.collect_list("mix_slot")).alias("__slots"))
     inner = Window.partitionBy(source, "__part").orderBy("__h", *keys)
     ranked = hashed.withColumn("__n", F.row_number().over(inner))
-    placed = ranked.join(offsets, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p"))).withColumn("__n", F.col("__n") + F.col("__before") - 1).drop("__s", "__p")
-    sized = placed.join(F.broadcast(table), F.col(source).eqNullSafe(F.col("__s")))
-    each = sized.withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__epochs"))))
-    k = F.floor(F.col("__n") / block) + F.col("mix_epoch") * F.col("__b")
-    slot = F.floor(k / F.col("__w")) * total + F.element_at("__own", ((k % F.col("__w")) + 1).cast("int"))
+    placed = ranked.join(slots, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p"))).withColumn("__n", F.col("__n") + F.col("__before") - 1)
+    at = F.floor(F.col("__n") / block) - F.floor(F.col("__before") / block)
     new = ("mix_epoch", "mix_slot", "mix_order")
-    out = each.withColumn("mix_slot", slot.cast("long")).filter(F.col("mix_slot") <= end)
+    out = placed.withColumn("mix_slot", F.get("__slots", at.cast("int"))).filter("mix_slot IS NOT NULL")
     return out.withColumn("mix_order", F.col("mix_slot") * block + F.col("__n") % block).select(*named(given, new), *new)
 
 

@@ -182,6 +182,34 @@ def test_mixing_keeps_weights_and_documents(spark):
         mixing.mix(docs, weights={"s0": 1.0})
 
 
+def test_mixing_stretches_keep_true_shares():
+    rng = np.random.default_rng(5)
+    for m in (1, 2, 7, 40):
+        w = [int(x) + 1 for x in np.exp(rng.normal(size=m) * 4) * 1e6]
+        total, at = sum(w), 0
+        seen, start = [0] * m, [0] * m
+        for stop in (1, 2, 9, 100, 101, 1000, 5000):
+            for t, i, k in mixing.stretch_slots(start, at, stop, w):
+                assert k == seen[i]
+                seen[i] += 1
+                assert all(abs(n * total - x * (t + 1)) < total for n, x in zip(seen, w))
+            start, at = mixing.ahead(start, at, stop, w), stop
+            assert seen == start
+
+
+def test_mixing_against_true_shares(spark):
+    n = {"big": 9000, "mid": 2500, "few": 20, "one": 1}
+    docs = spark.createDataFrame([(i, s) for s in n for i in range(n[s])], "doc_id long, source string")
+    out = mixing.mix(docs, block=1).orderBy("mix_order").collect()
+    assert {(r["doc_id"], r["source"]) for r in out} == {(i, s) for s in n for i in range(n[s])}
+    assert [r["mix_slot"] for r in out] == list(range(len(out)))
+    share = {s: n[s] ** 0.85 / sum(x**0.85 for x in n.values()) for s in n}
+    seen = Counter()
+    for t, r in enumerate(out):
+        seen[r["source"]] += 1
+        assert all(abs(seen[s] - share[s] * (t + 1)) < 1 + 1e-6 for s in n)
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
