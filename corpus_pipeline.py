@@ -13,7 +13,7 @@ from tablesync.llm.common import materialise, named, numbered, place
 from tablesync.llm.language_id import fit, label
 from tablesync.llm.mixing import mix
 from tablesync.llm.ngram_join import keep_one
-from tablesync.llm.packing import default_tokenizer, pack
+from tablesync.llm.packing import default_tokenizer, pack, written_place
 from tablesync.llm.secret_scan import redact
 
 #: A text goes if less than this share of its letters lies in spans of its main language.
@@ -38,14 +38,14 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents; those of sources below their weight come in more epochs."""
+    """All documents in the order of the mix; those of sources below their weight come in more epochs."""
     keys = [place(docs, c) for c in ("doc_id", "text")]
-    return mix(numbered(docs), temperature=TEMPERATURE, source=place(docs, "source"), rank_by=keys).select(*named(docs))
+    return mix(numbered(docs), temperature=TEMPERATURE, source=place(docs, "source"), rank_by=keys, in_order=True).select(*named(docs))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Power-of-two pieces with their token ids; workers, kept from stage to stage, hold little."""
-    return pack(docs, default_tokenizer(), keep=1 << 18, batch=2 << 20)
+    """Power-of-two pieces with their token ids, numbered in the order in which the mix was written; workers, kept from stage to stage, hold little."""
+    return pack(docs, default_tokenizer(), keep=1 << 18, batch=2 << 20, place=written_place(docs))
 
 
 STAGES = [("language_id", language_id), ("near_dedup", near_dedup), ("secret_scan", secret_scan), ("mix_sources", mix_sources), ("pack_documents", pack_documents)]

@@ -108,11 +108,12 @@ def whole_weights(shares: list[float], period: int) -> list[int]:
     return [x + 1 for x in out]
 
 
-def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85, block: int = 16, period: int | None = None, source: str = "source", doc_id: str = "doc_id", rank_by: list[str] | None = None) -> DataFrame:
+def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85, block: int = 16, period: int | None = None, source: str = "source", doc_id: str = "doc_id", rank_by: list[str] | None = None, in_order: bool = False) -> DataFrame:
     """``docs`` with mix_epoch long, mix_slot long and mix_order long: a row for each placement.
 
     ``weights``: a share for each source (null key: null source); None: row counts to the power
-    ``temperature``; with ``period``, shares are first rounded to parts of it. Sources without a share raise. Sorted by mix_order, the rows are the mix. Up to
+    ``temperature``; with ``period``, shares are first rounded to parts of it. Sources without a share raise. Sorted by mix_order, the rows are the mix;
+    ``in_order`` deals and sorts them so that the partitions, one after the other, are. Up to
     ``MOST_SOURCES`` sources, more raise; only their counts come to the driver.
     """
     spark, given = docs.sparkSession, docs
@@ -141,20 +142,23 @@ def mix(docs: DataFrame, weights: dict | None = None, temperature: float = 0.85,
     end = last.agg(F.coalesce(F.max("mix_slot"), F.lit(-1))).first()[0]
 
     parts = max(sum(n for _, n in counts) // 20_000, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    hashed = docs.withColumn("__h", F.xxhash64(*keys)).withColumn("__part", F.pmod("__h", F.lit(parts)).cast("int"))
-    earlier = Window.partitionBy("__s").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = hashed.groupBy(F.col(source).alias("__s"), "__part").count().select("__s", F.col("__part").alias("__p"), "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
+    hashed = docs.join(F.broadcast(table.select("__s", "__i")), F.col(source).eqNullSafe(F.col("__s"))).drop("__s").withColumn("__h", F.xxhash64(*keys)).withColumn("__part", F.pmod("__h", F.lit(parts)).cast("int"))
+    earlier = Window.partitionBy("__i").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = hashed.groupBy("__i", "__part").count().select("__i", "__part", "count", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("__before"))
     # of each part of a source and epoch, the slots of its blocks in order; those after the end are the last
-    spans = offsets.join(F.broadcast(table.withColumnRenamed("__s", "__t")), F.col("__s").eqNullSafe(F.col("__t")))
-    spans = spans.withColumn("__k", F.explode(F.sequence(F.floor(F.col("__before") / block), F.floor((F.col("__before") + F.col("count") - 1) / block))))
-    slots = spans.join(schedule.filter(F.col("mix_slot") <= end), ["__i", "__k"]).groupBy("__s", "__p", "__before", "mix_epoch").agg(F.sort_array(F.collect_list("mix_slot")).alias("__slots"))
-    inner = Window.partitionBy(source, "__part").orderBy("__h", *keys)
+    spans = offsets.withColumn("__k", F.explode(F.sequence(F.floor(F.col("__before") / block), F.floor((F.col("__before") + F.col("count") - 1) / block))))
+    slots = spans.join(schedule.filter(F.col("mix_slot") <= end), ["__i", "__k"]).groupBy("__i", "__part", "__before", "mix_epoch").agg(F.sort_array(F.collect_list("mix_slot")).alias("__slots"))
+    inner = Window.partitionBy("__i", "__part").orderBy("__h", *keys)
     ranked = hashed.withColumn("__n", F.row_number().over(inner))
-    placed = ranked.join(slots, F.col(source).eqNullSafe(F.col("__s")) & (F.col("__part") == F.col("__p"))).withColumn("__n", F.col("__n") + F.col("__before") - 1)
+    placed = ranked.join(slots, ["__i", "__part"]).withColumn("__n", F.col("__n") + F.col("__before") - 1)
     at = F.floor(F.col("__n") / block) - F.floor(F.col("__before") / block)
     new = ("mix_epoch", "mix_slot", "mix_order")
     out = placed.withColumn("mix_slot", F.get("__slots", at.cast("int"))).filter("mix_slot IS NOT NULL")
-    return out.withColumn("mix_order", F.col("mix_slot") * block + F.col("__n") % block).select(*named(given, new), *new)
+    out = out.withColumn("mix_order", F.col("mix_slot") * block + F.col("__n") % block)
+    if in_order:
+        deals = max((end + 1) * block // 20_000, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        out = out.repartitionById(deals, F.floor(F.col("mix_slot") * deals / (end + 1)).cast("int")).sortWithinPartitions("mix_order")
+    return out.select(*named(given, new), *new)
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

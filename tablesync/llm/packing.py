@@ -16,13 +16,15 @@ text are documents of their own. Empty input gives no pieces. Other columns are
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablesync.llm.words import Words
@@ -32,6 +34,8 @@ AT_ONCE = 1 << 13
 BATCH = 6 << 20
 END_ID = 2
 MOST = 4096
+#: Bits of a place for a document's pieces (a text has less than 2 GB), and for a file's rows.
+PIECES, ROWS = 20, 24
 
 
 class _Encoder:
@@ -94,13 +98,14 @@ def _pieces(path: str, most: int, end: int, with_ids: bool, keep: int, batch: in
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = _encoder(path)
 
-        def out(ids: list, texts: list) -> pa.RecordBatch:
-            doc, start, length, crc, total, own = [], [], [], [], [], []
-            for i, t in zip(ids, enc.encode(texts, keep)):
+        def out(ids: list, places: list, texts: list) -> pa.RecordBatch:
+            doc, start, length, crc, total, seq, own = [], [], [], [], [], [], []
+            for i, p, t in zip(ids, places, enc.encode(texts, keep)):
                 t = np.append(t, np.uint32(end)).astype("<u4")
                 at = 0
-                for n in lengths(len(t), most):
+                for k, n in enumerate(lengths(len(t), most)):
                     doc.append(i)
+                    seq.append(None if p is None else (p << PIECES) + k)
                     start.append(at)
                     length.append(n)
                     crc.append(zlib.crc32(t[at : at + n].tobytes()))
@@ -108,37 +113,52 @@ def _pieces(path: str, most: int, end: int, with_ids: bool, keep: int, batch: in
                     if with_ids:
                         own.append(t[at : at + n].astype(np.int32))
                     at += n
-            cols = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total)]
-            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+            cols = [pa.array(x, pa.int64()) for x in (doc, start, length, crc, total, seq)]
+            names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "place"]
             if with_ids:
                 cols.append(pa.array(own, pa.list_(pa.int32())))
                 names.append("ids")
             return pa.RecordBatch.from_arrays(cols, names=names)
 
-        ids, texts, size = [], [], 0
+        ids, places, texts, size = [], [], [], 0
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for i, t, p in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist()):
                 ids.append(i)
+                places.append(p)
                 texts.append(t)
                 size += len(t or b"")
                 if size >= batch:
-                    yield out(ids, texts)
-                    ids, texts, size = [], [], 0
+                    yield out(ids, places, texts)
+                    ids, places, texts, size = [], [], [], 0
         if ids:
-            yield out(ids, texts)
+            yield out(ids, places, texts)
 
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, most: int = MOST, end: int = END_ID, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True, keep: int = KEEP, batch: int = BATCH) -> DataFrame:
+def written_place(docs: DataFrame) -> Column | None:
+    """A row's place in the order in which Spark wrote the table: part number and row; None for other tables."""
+    parts = [re.search(r"/part-(\d+)-[^/]*$", f) for f in docs.inputFiles()]
+    if not parts or None in parts or len({int(m[1]) for m in parts}) < len(parts) or max(int(m[1]) for m in parts) >> 63 - PIECES - ROWS:
+        return None
+    meta = docs.metadataColumn("_metadata")
+    row = F.when(meta["row_index"] < 1 << ROWS, meta["row_index"]).otherwise(F.raise_error(F.lit(f"more than 2**{ROWS} rows in a file")))
+    try:
+        docs.select(meta["row_index"])
+    except AnalysisException:
+        return None
+    return F.regexp_extract(meta["file_name"], r"part-(\d+)-", 1).cast("long") * (1 << ROWS) + row
+
+
+def pack(docs: DataFrame, tokenizer: str, most: int = MOST, end: int = END_ID, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True, keep: int = KEEP, batch: int = BATCH, place: Column | None = None) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens[, ids], bucket, sequence_id, offset): a row for each piece.
 
     ``tokenizer`` is the path of a vocabulary file, the same on every machine. Sequence ids are unique, not
-    dense: a partition's number and a place in it.
+    dense: a partition's number and a place in it, or, with ``place`` (a unique long), in its order.
     """
-    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
-    cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(_pieces(tokenizer, most, end, with_ids, keep, batch), schema)
-    return cut.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
+    schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, place long" + ", ids array<int>" * with_ids
+    cut = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), (F.lit(None) if place is None else place).cast("long").alias("place")).mapInArrow(_pieces(tokenizer, most, end, with_ids, keep, batch), schema)
+    return cut.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id() if place is None else F.col("place"), "offset": F.lit(0).cast("long")}).drop("place")
 
 
 def write_buckets(pieces: DataFrame, path: str) -> None:

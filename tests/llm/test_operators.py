@@ -279,6 +279,25 @@ def test_pipeline_against_brute_force(spark):
     assert hashlib.sha256(b"").hexdigest() and all(r["length"] & (r["length"] - 1) == 0 for r in out)
 
 
+def test_pipeline_packs_in_the_order_of_the_mix(spark, tmp_path):
+    import corpus_pipeline as p
+
+    n = {"a": 3000, "b": 900, "c": 100}
+    base = {"a": 0, "b": 10_000, "c": 20_000}
+    rows = [(base[s] + i, f"text {i} " * (1 + i % 40), s) for s in n for i in range(n[s])]
+    stages = dict(p.STAGES)
+    stages["mix_sources"](spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), SF).write.parquet(f"{tmp_path}/mix")
+    out = stages["pack_documents"](spark, spark.read.parquet(f"{tmp_path}/mix"), SF)
+    got = [r for r in out.orderBy("sequence_id").select("doc_id", "start", "sequence_id").collect() if not r["start"]]
+    assert {r["doc_id"] for r in got} == {r[0] for r in rows} and out.select("sequence_id").distinct().count() == out.count()
+    share = {s: n[s] ** 0.85 / sum(x**0.85 for x in n.values()) for s in n}
+    seen = Counter()
+    for t, r in enumerate(got):
+        seen["abc"[r["doc_id"] // 10_000]] += 1
+        # a block more or less, the one under way, and the short last block of each source and epoch
+        assert all(abs(seen[s] - share[s] * (t + 1)) < 3 * 16 for s in n)
+
+
 CLASHING = ("lang_pred", "score", "lang_spans", "held_out", "spans", "component_id", "part", "size", "mix_epoch", "mix_slot", "mix_order", "length", "start", "ids", "sequence_id", "c0", "c1")
 CLASHING += ("__text", "__key", "__rules", "__spans", "__row_key", "__h", "__part", "__n", "__s", "__w", "__b", "__own", "__epochs")
 
