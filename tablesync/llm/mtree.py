@@ -3,193 +3,278 @@
 Inner products become distances: with M the greatest norm, x is extended by sqrt(M**2 - |x|**2) and a query
 by 0, so the squared distance is |q|**2 + M**2 - 2 q.x, and the nearest are those with the highest product.
 
-The tree's upper node routes each vector to the nearest of at most ``ROUTERS`` sampled objects and keeps
-their covering radii. A router's vectors are dealt to blocks of bounded size; each block is an M-tree node
-with pages of entries that store the distance to their parent object and a covering radius. A query first
-searches its nearest router; with the k-th best score so far it then visits only routers whose lower bound
-reaches it, and inside blocks takes pages best first, skipping by stored parent distances (triangle
-inequality) before computing any. Bounds only prune strictly, so ties stay; scores are integers and exact.
-
-Queries are split into groups; a task gets one block and one group. Exact search visits in the worst case
-each block with each query: that is the question asked, but never one task's load.
+The tree grows from the top: a node with more than ``BLOCK`` vectors promotes up to ``FANOUT`` of them, each
+vector goes to the nearest, and each entry keeps its distance to the parent object and its covering radius;
+so the depth follows the number of vectors. A leaf holds pages around promoted vectors, whose entries are
+sorted by their stored distance to the page's object. Vectors that no distance tells apart are dealt to
+several leaves of one object.
+
+Queries go down level by level. The first time each follows its nearest entries to ``BEAM`` leaves, whose k-th
+best score is its floor. The second time it visits every leaf that the floor leaves: the stored distance to the
+parent rules entries out before any distance is computed, then the distance less the radius does. In a leaf
+all queries of a group move together, each through its own pages, nearest first, with a limit that tightens
+as it goes; of a page only the ring that the triangle inequality leaves is scored. Bounds only prune
+strictly, so ties stay; scores are integers and exact.
+
+A task gets one leaf and one group of queries, and leaves go only to groups that visit them. Where distances
+hardly differ, as among random vectors of many components, an exact search visits each leaf with each query.
 
 Nulls and empties: vectors that are null or empty or hold null or non-finite components, or have a null id,
 take no part. A vector shorter than another counts as if padded with zeros. Repeated rows are candidates of
 their own; a query id that repeats is asked once for each distinct vector it has, and each takes its k best.
-Scores must stay below 2**53.
+If the greatest norms allow a score of 2**63 or more, which no long holds, the call raises.
 """
 
 from __future__ import annotations
 
-import heapq
 import pickle
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablesync.llm.common import materialise
 
-ROUTERS = 64
+FANOUT = 64
 BLOCK = 4096
 PAGE = 64
-GROUP = 2048
-
-
-def _lists(column) -> list[np.ndarray]:
-    return [np.array(x, np.int64) for x in column.to_pylist()]
-
-
-def _padded(rows: list[np.ndarray], width: int) -> np.ndarray:
-    out = np.zeros((len(rows), width), np.int64)
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
+GROUP = 8192
+BEAM = 2
+DEPTH = 10
+#: Rows of a node that one task routes.
+ROUTED = 1 << 16
+ASK = "qkey long, query_id long, v array<long>, floor double, cell long, up double"
+
+
+def _matrix(column, width: int) -> np.ndarray:
+    """Rows of a list column, padded with zeros."""
+    if isinstance(column, pa.ChunkedArray):
+        column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+    flat, many = column.flatten().to_numpy(zero_copy_only=False), column.value_lengths().to_numpy(zero_copy_only=False)
+    if len(many) and (many == width).all():
+        return flat.reshape(-1, width)
+    out = np.zeros((len(many), width), np.int64)
+    out[np.arange(width)[None] < many[:, None]] = flat
     return out
 
 
 def _extend(x: np.ndarray, square: float) -> np.ndarray:
-    own = (x.astype(np.float64) ** 2).sum(1)
-    return np.concatenate((x.astype(np.float64), np.sqrt(np.maximum(square - own, 0))[:, None]), 1)
+    """Candidates as points of one distance to the origin."""
+    x = x.astype(np.float64)
+    return np.concatenate((x, np.sqrt(np.maximum(square - (x * x).sum(1), 0))[:, None]), 1)
 
 
-def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(np.maximum(((a[:, None] - b[None]) ** 2).sum(2), 0))
+def _point(q: np.ndarray) -> np.ndarray:
+    return np.concatenate((q.astype(np.float64), np.zeros((len(q), 1))), 1)
 
 
-def _near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distances by one product; for choosing routers only, bounds use exact ones."""
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distances by one product; ``reach`` allows for their error."""
     return np.sqrt(np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None] - 2 * a @ b.T, 0))
 
 
-def _route(routers_of, square: float, width: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        routers = routers_of.value
-        for b in batches:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
-                x = _extend(_padded(_lists(part.column(1)), width), square)
-                own = _near(x, routers).argmin(1)
-                far = np.sqrt(((x - routers[own]) ** 2).sum(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own.astype(np.int32)), pa.array(far)], names=["vec_id", "v", "router", "far"])
+def reach(base: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """How far a vector of at least the score ``low`` can be; ``base`` is |q|**2 + M**2."""
+    far = np.sqrt(np.maximum(base - 2 * np.where(np.isfinite(low), low, 0), 0)) * (1 + 1e-9) + 2e-6 * np.sqrt(base)
+    return np.where(np.isfinite(low), far, np.inf)
+
+
+def _route(square: float, width: int):
+    """A share of a node's vectors, each with the nearest of the node's promoted ones."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table, heads: pa.Table) -> pa.Table:
+        h = _extend(_matrix(heads.column("v"), width), square)
+        child, own, far = heads.column("child").to_numpy(), [], []
+        for lo in range(0, len(rows), 4096):
+            d = _far(_extend(_matrix(rows.column("v").slice(lo, 4096), width), square), h)
+            own.append(d.argmin(1))
+            far.append(d.min(1))
+        own, far = np.concatenate([np.zeros(0, np.int64), *own]), np.concatenate([np.zeros(0), *far])
+        return pa.table({"vec_id": rows.column("vec_id"), "v": rows.column("v"), "cell": pa.array(child[own]), "far": pa.array(far)})
 
     return run
 
 
-def _grow(routers_of, square: float, width: int):
-    """One block's node: pages around promoted objects, entries with distances to their parents."""
-
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        ids, v = table.column("vec_id").to_numpy(), _padded(_lists(table.column("v")), width)
-        parent = routers_of.value[key[0].as_py()]
-        x = _extend(v, square)
-        rng = np.random.default_rng(len(ids))
-        heads = x[rng.choice(len(x), max(1, len(x) // PAGE), replace=False)]
-        own = _near(x, heads).argmin(1)
-        pages = []
-        for h in range(len(heads)):
-            at = np.flatnonzero(own == h)
-            if len(at):
-                far = np.sqrt(((x[at] - heads[h]) ** 2).sum(1))
-                by = np.argsort(far, kind="stable")
-                pages.append((v[at[by]], ids[at[by]], far[by]))
-        heads = heads[[h for h in range(len(heads)) if (own == h).any()]]
-        node = {"heads": heads, "up": np.sqrt(((heads - parent) ** 2).sum(1)), "radius": np.array([p[2][-1] for p in pages]), "pages": pages}
-        return pa.table({"router": [key[0].as_py()], "block": [key[1].as_py()], "node": [pickle.dumps(node)]}, schema=pa.schema([("router", pa.int32()), ("block", pa.int32()), ("node", pa.binary())]))
+def _leaf(square: float, width: int):
+    """One leaf: pages around promoted vectors, entries with their distances to these."""
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table, head: pa.Table) -> pa.Table:
+        out = []
+        if len(rows):
+            ids, v = rows.column("vec_id").to_numpy(), _matrix(rows.column("v"), width)
+            x, parent = _extend(v, square), _extend(_matrix(head.column("v").slice(0, 1), width), square)
+            heads = x[np.random.default_rng(len(ids)).choice(len(x), max(1, len(x) // PAGE), replace=False)]
+            d = _far(x, heads)
+            own, far = d.argmin(1), d.min(1)
+            by = np.lexsort((far, own))
+            used, first = np.unique(own[by], return_index=True)
+            first = np.append(first, len(by))
+            node = {"heads": heads[used], "up": _far(heads[used], parent)[:, 0], "radius": far[by][first[1:] - 1], "first": first, "v": v[by], "ids": ids[by], "far": far[by]}
+            out.append((key[0].as_py(), key[1].as_py(), pickle.dumps(node)))
+        return pa.table([pa.array([o[n] for o in out], t) for n, t in enumerate((pa.int64(), pa.int32(), pa.binary()))], names=["cell", "block", "node"])
 
     return run
 
 
-def search_node(node: dict, q: np.ndarray, own: int, up: float, base: float, floor: float | None, k: int) -> list[tuple[int, int]]:
-    """The k best (score, -id) of a block for one query, best first; ``up``: distance to the block's router.
+def best_of(row: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row the k highest scores, ties to smaller ids; and their ranks from 0."""
+    by = np.lexsort((ids, -score, row))
+    row, score, ids = row[by], score[by], ids[by]
+    at = np.arange(len(row))
+    new = np.ones(len(row), bool)
+    new[1:] = row[1:] != row[:-1]
+    rank = at - np.maximum.accumulate(np.where(new, at, 0))
+    keep = rank < k
+    return row[keep], score[keep], ids[keep], rank[keep]
+
+
+def search_leaf(node: dict, q: np.ndarray, own: np.ndarray, up: np.ndarray, base: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query's row, score, id) of a leaf's k best for each query; ``up``: distances to the leaf's object.
 
-    ``base`` is |q|**2 + M**2; ``floor``: a score known to be the query's k-th best at least.
+    ``floor``: a score known to be the query's k-th best at least, or NaN.
     """
-    qx = np.append(q.astype(np.float64), 0.0)
-    best: list[tuple[int, int]] = []
-
-    def limit() -> float:
-        low = best[0][0] if len(best) == k else None
-        low = floor if low is None else low if floor is None else max(low, floor)
-        return float("inf") if low is None else np.sqrt(max(base - 2.0 * low, 0.0)) * (1 + 1e-9) + 1e-6 * np.sqrt(base)
-
-    # before any distance to a page's object: what the stored distances to the parent allow
-    cheap = np.abs(up - node["up"]) - node["radius"]
-    heap = [(max(c, 0.0), 0, p) for p, c in enumerate(cheap.tolist())]
-    heapq.heapify(heap)
-    known: dict[int, float] = {}
-    while heap:
-        bound, seen, p = heapq.heappop(heap)
-        if bound > limit():
+    low = np.where(np.isnan(floor), -np.inf, floor)
+    limit = reach(base, low)
+    # before any distance to a page's object: what the stored distances to the leaf's object allow
+    bound = np.abs(up[:, None] - node["up"][None]) - node["radius"][None]
+    d, some = np.zeros(bound.shape), np.flatnonzero((bound <= limit[:, None]).any(0))
+    d[:, some] = _far(_point(q), node["heads"][some])
+    bound = np.where(bound <= limit[:, None], np.maximum(bound, d - node["radius"][None]), np.inf)
+    order = np.argsort(bound, 1, kind="stable")
+    best = (np.zeros(0, np.int64), np.zeros(0, q.dtype), np.zeros(0, np.int64))
+    at, step = 0, 1
+    while at < order.shape[1]:
+        pages = order[:, at : at + step]
+        row, c = np.nonzero(np.take_along_axis(bound, pages, 1) <= limit[:, None])
+        if not len(row):
             break
-        if not seen:
-            known[p] = d = float(np.sqrt(((qx - node["heads"][p]) ** 2).sum()))
-            heapq.heappush(heap, (max(d - float(node["radius"][p]), 0.0), 1, p))
-            continue
-        v, ids, far = node["pages"][p]
-        # entries are sorted by distance to their object: only a ring of them can be near enough
-        reach = limit()
-        lo, hi = np.searchsorted(far, known[p] - reach, "left"), np.searchsorted(far, known[p] + reach, "right")
-        for s, i in zip((v[lo:hi] @ q).tolist(), ids[lo:hi].tolist()):
-            if i != own:
-                if len(best) < k:
-                    heapq.heappush(best, (s, -i))
-                elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
-    return best
-
-
-def _ask(routers_of, square: float, width: int, k: int):
+        page = pages[row, c]
+        by = np.argsort(page, kind="stable")
+        row, page = row[by], page[by]
+        cut = np.flatnonzero(np.diff(page, prepend=-1))
+        got = [best]
+        for i, j in zip(cut, [*cut[1:], len(page)]):
+            r, p = row[i:j], page[i]
+            lo, hi = node["first"][p], node["first"][p + 1]
+            far = node["far"][lo:hi]
+            # entries are sorted by distance to their object: only a ring of them can be near enough
+            a = np.searchsorted(far, (d[r, p] - limit[r]).min(), "left")
+            z = np.searchsorted(far, (d[r, p] + limit[r]).max(), "right")
+            score, ids = q[r] @ node["v"][lo + a : lo + z].T, node["ids"][lo + a : lo + z]
+            x, y = np.nonzero((score >= low[r][:, None]) & (ids[None] != own[r][:, None]))
+            got.append((r[x], score[x, y], ids[y]))
+        *best, rank = best_of(*(np.concatenate(x) for x in zip(*got)), k)
+        full = rank == k - 1
+        low[best[0][full]] = np.maximum(low[best[0][full]], best[1][full])
+        limit = reach(base, low)
+        at, step = at + step, 2 * step
+    return tuple(best)
+
+
+def _queries(table: pa.Table, width: int, square: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    q = _matrix(table.column("v"), width)
+    floor = table.column("floor").to_numpy().astype(np.float64)
+    return q, (q.astype(np.float64) ** 2).sum(1) + square, floor, table.column("up").to_numpy()
+
+
+def _search(square: float, width: int, k: int, exact: bool):
     def run(key: tuple[pa.Scalar, ...], nodes: pa.Table, queries: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int, int]] = []
+        row = score = ids = np.zeros(0, np.int64)
         if len(nodes) and len(queries):
-            routers = routers_of.value
-            parent = routers[nodes.column("router")[0].as_py()]
             node = pickle.loads(nodes.column("node")[0].as_py())
-            for qk, i, v, floor in zip(queries.column("qkey").to_pylist(), queries.column("query_id").to_pylist(), _lists(queries.column("v")), queries.column("floor").to_pylist()):
-                q = _padded([v], width)[0]
-                base = float((q.astype(np.float64) ** 2).sum()) + square
-                up = float(np.sqrt(((np.append(q.astype(np.float64), 0.0) - parent) ** 2).sum()))
-                out += [(qk, i, -x, s) for s, x in search_node(node, q, i, up, base, floor, k)]
-        cols = [pa.array([o[n] for o in out], pa.int64()) for n in range(4)]
-        return pa.table(cols, names=["qkey", "query_id", "vec_id", "score"])
+            q, base, floor, up = _queries(queries, width, square)
+            if exact:  # products below 2**53 are exact in doubles too, and faster
+                q, node["v"] = q.astype(np.float64), node["v"].astype(np.float64)
+            row, score, ids = search_leaf(node, q, queries.column("query_id").to_numpy(), up, base, floor, k)
+        take = pa.array(row)
+        return pa.table({"qkey": queries.column("qkey").take(take), "query_id": queries.column("query_id").take(take), "vec_id": pa.array(ids), "score": pa.array(score.astype(np.int64))})
 
     return run
 
 
-def _visits(routers_of, radii_of, square: float, width: int, first: bool):
-    """(router) rows for each query: the nearest one with vectors, or all others that the floor leaves."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        routers, radii = routers_of.value, radii_of.value
-        live = np.flatnonzero(radii >= 0)
-        for b in batches:
-            for lo in range(0, b.num_rows, 512):
-                part = b.slice(lo, 512)
-                v = _padded(_lists(part.column(2)), width)
-                q = np.concatenate((v.astype(np.float64), np.zeros((len(v), 1))), 1)
-                low = np.maximum(_far(q, routers[live]) - radii[live][None], 0)
-                near = low.argmin(1)
-                if first:
-                    row, at = np.arange(len(v)), near
-                else:
-                    base = (q * q).sum(1) + square
-                    floor = np.array([-np.inf if f is None else f for f in part.column(3).to_pylist()], np.float64)
-                    reach = np.where(np.isinf(floor), np.inf, np.sqrt(np.maximum(base - 2 * np.where(np.isinf(floor), 0, floor), 0)) * (1 + 1e-9) + 1e-6 * np.sqrt(base))
-                    ok = low <= reach[:, None]
-                    ok[np.arange(len(v)), near] = False
-                    row, at = np.nonzero(ok)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays([*(part.column(c).take(take) for c in range(4)), pa.array(live[at].astype(np.int32))], names=["qkey", "query_id", "v", "floor", "router"])
+def _descend(square: float, width: int, beam: int | None):
+    """The entries of a node that a group's queries visit: all that the floor leaves, or the ``beam`` nearest."""
+
+    def run(key: tuple[pa.Scalar, ...], queries: pa.Table, kids: pa.Table) -> pa.Table:
+        q, base, floor, up = _queries(queries, width, square)
+        limit = reach(base, np.where(np.isnan(floor), -np.inf, floor))
+        stored, radius = kids.column("up").to_numpy(), kids.column("radius").to_numpy()
+        ok = np.abs(up[:, None] - stored[None]) - radius[None] <= limit[:, None]
+        d, some = np.full(ok.shape, np.inf), np.flatnonzero(ok.any(0))
+        d[:, some] = _far(_point(q), _extend(_matrix(kids.column("v"), width)[some], square))
+        ok &= d - radius[None] <= limit[:, None]
+        if beam is not None:
+            ok &= np.argsort(np.argsort(d, 1, kind="stable"), 1) < beam
+        row, kid = np.nonzero(ok)
+        take, of = pa.array(row), pa.array(kid)
+        own = {c: queries.column(c).take(take) for c in ("qkey", "query_id", "v", "floor")}
+        return pa.table({**own, "cell": kids.column("cell").take(of), "up": pa.array(d[row, kid]), "inner": kids.column("inner").take(of), "blocks": kids.column("blocks").take(of)})
 
     return run
 
 
-def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k best of each query: a sorted, cut list is combined before it is sorted again."""
-    one = F.struct((-F.col("score")).alias("s"), "vec_id")
-    return found.groupBy("qkey", "query_id").agg(F.slice(F.sort_array(F.collect_list(one)), 1, k).alias("top"))
+def _apart(df: DataFrame) -> DataFrame:
+    """``df`` with columns of its own, so that it can meet the table it comes from."""
+    return df.select(*(F.col(c).alias(c) for c in df.columns))
+
+
+def grow(rows: DataFrame, square: float, width: int) -> tuple[list[DataFrame], DataFrame]:
+    """Of rows (vec_id, v): the entries of each level, from the root down, and the leaves.
+
+    Entries: (parent, cell, v, up, radius, blocks, inner); leaves: (cell, block, node). The root is cell 0.
+    """
+    level = rows.withColumns({"cell": F.lit(0).cast("long"), "far": F.lit(0.0)})
+    levels: list[DataFrame] = []
+    leaves: list[DataFrame] = []
+    entries = None
+    for depth in range(DEPTH + 1):
+        sizes = materialise(level.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("radius")), "sizes")
+        big = sizes if not depth else sizes.filter((F.col("n") > BLOCK) & (F.col("radius") > 0) & F.lit(depth < DEPTH))
+        # a few promoted vectors of each large node: a share of its rows that is about 3 * FANOUT of them
+        draw = F.pmod(F.xxhash64("vec_id", "v", F.lit(depth)), F.lit(1 << 32))
+        drawn = level.join(big.select("cell", "n"), "cell").withColumn("draw", draw).filter(F.col("draw") < F.lit(3.0 * FANOUT * (1 << 32)) / F.col("n"))
+        one = drawn.groupBy("cell", "v").agg(F.min("draw").alias("draw"), F.min("far").alias("up"))
+        ranked = one.withColumn("i", F.row_number().over(Window.partitionBy("cell").orderBy("draw", "v")))
+        heads = materialise(ranked.filter(F.col("i") <= FANOUT).select(F.col("cell").alias("parent"), (F.col("cell") * (FANOUT + 1) + F.col("i")).alias("child"), "v", "up"), "heads")
+        split = heads.select(F.col("parent").alias("cell")).distinct()
+        if entries is not None:
+            known = entries.join(sizes, "cell").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+            flagged = known.join(split.withColumn("inner", F.lit(True)), "cell", "left")
+            levels.append(materialise(flagged.select("parent", "cell", "v", "up", F.col("radius") * (1 + 1e-9), "blocks", F.coalesce("inner", F.lit(False)).alias("inner")).toDF("parent", "cell", "v", "up", "radius", "blocks", "inner"), "entries"))
+            ends = levels[-1].filter("NOT inner")
+            dealt = level.join(ends.select("cell", "blocks"), "cell").withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), "blocks").cast("int"))
+            objects = ends.select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "v")
+            leaves.append(dealt.select("cell", "block", "vec_id", "v").groupBy("cell", "block").cogroup(_apart(objects).groupBy("cell", "block")).applyInArrow(_leaf(square, width), "cell long, block int, node binary"))
+        if not heads.limit(1).count():
+            break
+        shared = level.join(sizes.join(split, "cell").select("cell", F.ceil(F.col("n") / ROUTED).alias("shares")), "cell")
+        shared = shared.withColumn("share", F.pmod(F.xxhash64("vec_id", "v", F.lit(11)), "shares")).select("cell", "share", "vec_id", "v")
+        sent = heads.join(shared.select(F.col("cell").alias("parent"), "share").distinct(), "parent").select(F.col("parent").alias("cell"), "share", "child", "v")
+        routed = shared.groupBy("cell", "share").cogroup(_apart(sent).groupBy("cell", "share")).applyInArrow(_route(square, width), "vec_id long, v array<long>, cell long, far double")
+        entries, level = heads.select("parent", F.col("child").alias("cell"), "v", "up"), materialise(routed, "routed")
+    nodes = leaves[0]
+    for more in leaves[1:]:
+        nodes = nodes.union(more)
+    return levels, materialise(nodes, "leaves")
+
+
+def visits(levels: list[DataFrame], asked: DataFrame, groups: int, square: float, width: int, beam: int | None) -> DataFrame:
+    """(qkey, query_id, v, floor, cell, up, blocks): the leaves to visit for queries with their floors."""
+    group = F.pmod("qkey", F.lit(groups)).cast("int").alias("group")
+    front, found = asked.withColumns({"cell": F.lit(0).cast("long"), "up": F.lit(0.0)}), []
+    for depth, entries in enumerate(levels):
+        q = front.select("*", group)
+        kids = entries.withColumnRenamed("cell", "kid").withColumnRenamed("parent", "cell").join(q.select("cell", "group").distinct(), "cell").withColumnRenamed("cell", "parent").withColumnRenamed("kid", "cell")
+        step = _descend(square, width, None if beam is None else beam if not depth else 1)
+        down = q.groupBy("cell", "group").cogroup(_apart(kids).groupBy("parent", "group")).applyInArrow(step, ASK + ", inner boolean, blocks int")
+        down = materialise(down, "visits")
+        found.append(down.filter("NOT inner").drop("inner"))
+        front = down.filter("inner").drop("inner", "blocks")
+    out = found[0]
+    for more in found[1:]:
+        out = out.union(more)
+    return out
 
 
 def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -198,41 +283,31 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     rows = materialise(candidates.select(F.col("vec_id").cast("long").alias("vec_id"), "v"), "candidates")
     asked = queries.select(F.xxhash64("vec_id", "v").alias("qkey"), F.col("vec_id").cast("long").alias("query_id"), "v").dropDuplicates(["qkey"])
     asked = materialise(asked, "queries")
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    of = rows.agg(F.max(square), F.max(F.size("v")), F.count("*")).first()
-    wide = asked.agg(F.max(F.size("v")), F.count("*")).first()
-    if not of[2] or not wide[1]:
+    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    most = [x.agg(F.max(square), F.max(F.size("v")), F.count("*")).first() for x in (rows, asked)]
+    if not most[0][2] or not most[1][2]:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    square, width = float(of[0]) * (1 + 1e-12), max(of[1], wide[0])
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(ROUTERS).select("v").toArrow()
-    routers_of = spark.sparkContext.broadcast(_extend(_padded(_lists(picked.column("v")), width), square))
-    routed = materialise(rows.mapInArrow(_route(routers_of, square, width), "vec_id long, v array<long>, router int, far double"), "routed")
-    about = routed.groupBy("router").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()
-    radii = np.full(len(routers_of.value), -1.0)
-    for r in about:
-        radii[r["router"]] = r["radius"] * (1 + 1e-9)
-    radii_of = spark.sparkContext.broadcast(radii)
-    sizes = spark.createDataFrame([(r["router"], -(-r["n"] // BLOCK)) for r in about], "router int, blocks int")
-    sized = routed.join(F.broadcast(sizes), "router")
-    blocks = sized.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), "blocks").cast("int")).select("router", "block", "vec_id", "v")
-    nodes = materialise(blocks.groupBy("router", "block").applyInArrow(_grow(routers_of, square, width), "router int, block int, node binary"), "nodes")
-    groups = -(-wide[1] // GROUP)
-
-    def search(visits: DataFrame) -> DataFrame:
-        q = visits.withColumn("group", F.pmod("qkey", F.lit(groups)).cast("int")).join(F.broadcast(sizes), "router").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        n = nodes.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-        keys = ["router", "block", "group"]
-        found = n.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(_ask(routers_of, square, width, k), "qkey long, query_id long, vec_id long, score long")
-        return materialise(found, "found")
-
-    schema = "qkey long, query_id long, v array<long>, floor double, router int"
-    start = asked.select("qkey", "query_id", "v", F.lit(None).cast("double").alias("floor"))
-    first = search(start.mapInArrow(_visits(routers_of, radii_of, square, width, True), schema))
-    floors = _best(first, k).select("qkey", F.when(F.size("top") == k, -F.element_at("top", -1)["s"]).cast("double").alias("floor"))
-    more = asked.join(floors, "qkey", "left").select("qkey", "query_id", "v", "floor")
-    second = search(more.mapInArrow(_visits(routers_of, radii_of, square, width, False), schema))
-    best = _best(first.union(second), k).select("query_id", F.posexplode("top").alias("at", "one"))
-    return best.select("query_id", (F.col("at") + 1).alias("rank"), F.col("one.vec_id").alias("vec_id"), (-F.col("one.s")).alias("score"))
+    score = (most[0][0] * most[1][0]) ** 0.5
+    if score >= 2.0**63:
+        raise ValueError("scores may pass the range of a long")
+    square, width, groups = float(most[0][0]) * (1 + 1e-12), max(most[0][1], most[1][1]), -(-most[1][2] // GROUP)
+    levels, leaves = grow(rows, square, width)
+    by_score = Window.partitionBy("qkey", "query_id").orderBy(F.desc("score"), "vec_id")
+
+    def search(floors: DataFrame, beam: int | None) -> DataFrame:
+        q = visits(levels, floors, groups, square, width, beam)
+        q = q.withColumns({"group": F.pmod("qkey", F.lit(groups)).cast("int"), "block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))}).drop("blocks")
+        keys = ["cell", "block", "group"]
+        n = leaves.join(q.select(*keys).distinct(), ["cell", "block"])
+        found = _apart(n).groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(_search(square, width, k, score < 2.0**52), "qkey long, query_id long, vec_id long, score long")
+        # the limit is applied on both sides of the shuffle
+        return found.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
+
+    start = asked.withColumn("floor", F.lit(None).cast("double"))
+    first = materialise(search(start, BEAM).filter(F.col("rank") == k).select("qkey", F.col("score").cast("double").alias("floor")), "floors")
+    # a long's rounding to double must not lift the floor
+    floor = (F.col("floor") - F.abs("floor") * 2.0**-52).alias("floor")
+    return search(asked.join(first, "qkey", "left").select("qkey", "query_id", "v", floor), None).select("query_id", "rank", "vec_id", "score")
 
 
 def scaled(rows: DataFrame, factor: int = 256) -> DataFrame:

@@ -152,6 +152,36 @@ def test_exact_search_edges(spark):
     assert mtree.top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_exact_search_in_a_deep_tree(spark, monkeypatch):
+    """Several levels, groups of queries, many equal vectors, odd rows and clashing columns, against brute force."""
+    for name, value in (("FANOUT", 8), ("BLOCK", 100), ("GROUP", 16), ("ROUTED", 300)):
+        monkeypatch.setattr(mtree, name, value)
+    rng = np.random.default_rng(6)
+    x = np.concatenate((rng.integers(-9, 10, (500, 3)), np.tile([[5, 5, 5]], (300, 1)), rng.integers(400, 409, (200, 3))))
+    rows = [(i, [float(c) for c in v], "a", 1, 2) for i, v in enumerate(x)]
+    rows += [(2000, [float("nan"), 1.0, 1.0], "a", 1, 2), (2001, [float("inf"), 1.0, 1.0], "a", 1, 2), (2002, [], "a", 1, 2)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, cell string, qkey int, floor int")
+    v = mtree.scaled(df)
+    got = {}
+    for r in sorted(mtree.top_k(v, v.filter("vec_id % 20 = 0")).collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append((-r["score"], r["vec_id"]))
+    score = (256 * x) @ (256 * x).T
+    assert got == {i: sorted((-int(s), j) for j, s in enumerate(score[i]) if j != i)[:5] for i in range(0, 1000, 20)}
+    levels, _ = mtree.grow(v.withColumn("vec_id", F.col("vec_id").cast("long")), float(((256.0 * x) ** 2).sum(1).max()), 3)
+    assert len(levels) > 1 and all(d.groupBy("parent").count().agg(F.max("count")).first()[0] <= 8 for d in levels)
+
+
+def test_exact_search_beyond_doubles(spark):
+    big = [(i, [2**28 + i, 2**27 - i]) for i in range(40)]
+    df = spark.createDataFrame(big, "vec_id long, v array<long>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in mtree.top_k(df, df.filter("vec_id < 3")).collect())
+    expect = [(q, n + 1, i, -s) for q in range(3) for n, (s, i) in enumerate(sorted((-sum(a * b for a, b in zip(big[q][1], v)), i) for i, v in big if i != q)[:5])]
+    assert got == expect
+    huge = spark.createDataFrame([(1, [2**40]), (2, [2**40])], "vec_id long, v array<long>")
+    with pytest.raises(ValueError):
+        mtree.top_k(huge, huge)
+
+
 def test_secrets_against_python(spark, docs):
     out = {(r["doc_id"], r["text"]): r["spans"] for r in secret_scan.scan(docs).select("doc_id", "text", "spans").collect()}
     kinds = [("assign", re.compile(secret_scan.BASE[0].regex), 2, 8), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 16), ("hex", re.compile("[0-9a-f]+"), 0, 32)]
