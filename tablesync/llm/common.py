@@ -52,6 +52,12 @@ def bucket_count(df: DataFrame, text: str = "text", bytes_each: int = 8 << 20) -
     return max(2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bytes_each))
 
 
+def group_count(df: DataFrame, text: str = "text", bytes_each: int = 8 << 20) -> int:
+    """Groups of a packed shuffle: one a shuffle partition, more where ``bytes_each`` of text would be passed."""
+    total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bytes_each))
+
+
 def crc_mod(column: str, m: int) -> Column:
     """crc32 of the value as text, modulo ``m``; null for null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % m

@@ -1,13 +1,19 @@
 """Substring dedup: prefix-partitioned suffix trees over words.
 
-Every word position begins a suffix. Suffixes are dealt to groups by a fingerprint of their prefix; a group
-sorts its suffixes, and each run that shares ``window`` words is an internal node of at least that depth: a
-repeat. The suffix that starts first keeps its words, the words under all others go. A document's own
-suffixes are sorted first where it lies, so a passage repeated inside one block of documents travels once.
+Every position with ``window`` words ahead begins a suffix. Suffixes that share a prefix go to one group; the
+prefix is as long as its frequency asks for: 1 word, or 2, 4, 8, 16 or ``window`` where shorter ones begin more
+than ``CAP`` suffixes, as told by counts over all documents. So a group holds whole subtrees of the suffix tree
+and fits a task. It sorts its suffixes; a run that shares ``window`` words is an internal node of at least that
+depth, a repeat. The suffix that starts first keeps its words, the words under all others go. Neighbouring
+nodes of one text, taken together, give the maximal repeats (``repeats``).
 
-The trees are not drawn below that depth: neighbouring nodes of one text, taken together, give the maximal
-repeats (``repeats``). Prefix groups are as many as the corpus needs for a group to fit a task, so no group
-grows with the input; one passage adds at most one suffix a block to its group.
+Counts are kept in ``1 << COUNTER_BITS`` hashed counters a length: a collision makes a prefix longer than needed
+and changes nothing else, as equal suffixes always have equal prefixes. Nodes above the depth asked for decide
+nothing and are not drawn. Suffixes are compared by fingerprints of all their ``window`` words, of 96 bits:
+with n suffixes, two unlike ones are taken for equal with a probability of about n**2 / 2**97.
+
+A block of documents sorts its own suffixes first and sends the first of each node only; the others are later
+ones already. So a passage adds one suffix a block to its group, however often it occurs.
 
 Nulls and empties: null or empty text has no words, a null id comes before all others. Rows that repeat both
 id and text are one document, and each gets its result. Other columns are left alone.
@@ -23,20 +29,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import bucket_count, materialise, pack, row_key, runs, unpack
-from tablesync.llm.words import Words, grams, inside
+from tablesync.llm.common import group_count, materialise, pack, row_key, runs, unpack
+from tablesync.llm.words import Words, grams, inside, mix
 
-BLOCK = 12 << 20
+BLOCK = 8 << 20
+GROUP = 12 << 20
+CAP = 1 << 18
+LENGTHS = (1, 2, 4, 8, 16)
+COUNTER_BITS = 14
 NULL_ID = -(1 << 63)
-PART = "bucket int, n int, hash binary, doc binary, row binary, many binary, pos binary"
+SECOND = np.uint64(0x6A09E667F3BCC909)
 
 
 def _texts(column: pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """Ids, row keys and texts, about ``limit`` bytes of text at a time."""
+class Suffixes:
+    """Suffixes of a block's documents, in the order of (id, row key, position): each has ``window`` words at least."""
+
+    def __init__(self, ids: list, keys: list, texts: list, window: int):
+        ids, keys = np.array(ids, np.int64), np.array(keys, np.int64)
+        order = np.lexsort((keys, ids))
+        one = np.concatenate(([True], (np.diff(ids[order]) != 0) | (np.diff(keys[order]) != 0)))
+        order = order[one]
+        w = Words([texts[i] for i in order])
+        self.ids, self.keys = ids[order], keys[order]
+        self.at, self.h, self.window = inside(w.first, window), w.hashes(lower=False), window
+        self.doc = w.doc[self.at].astype(np.int32)
+        self.pos = (self.at - w.first[self.doc]).astype(np.int32)
+
+    def prefixes(self) -> Iterator[np.ndarray]:
+        """Fingerprints of the suffixes' first words, for each of ``LENGTHS`` below the window."""
+        span, width, q = self.h, 1, 0x8CB92BA72F3D8DD7 | 1
+        for length in LENGTHS:
+            if length >= self.window:
+                return
+            while width < length:
+                span = span[: len(span) - width] + span[width:] * np.uint64(pow(q, width, 1 << 64))
+                width *= 2
+            yield mix(span[self.at])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[Suffixes]:
+    """About ``BLOCK`` bytes of text at a time."""
     ids, keys, texts, size = [], [], [], 0
     for b in batches:
         for i, k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _texts(b.column(2))):
@@ -44,118 +80,153 @@ def _blocks(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[np.
             keys.append(k)
             texts.append(t)
             size += len(t or b"")
-            if size >= limit:
-                yield np.array(ids, np.int64), np.array(keys, np.int64), texts
+            if size >= BLOCK:
+                yield Suffixes(ids, keys, texts, window)
                 ids, keys, texts, size = [], [], [], 0
     if ids:
-        yield np.array(ids, np.int64), np.array(keys, np.int64), texts
+        yield Suffixes(ids, keys, texts, window)
+
+
+def _counter(prefix: np.ndarray) -> np.ndarray:
+    return (prefix >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
 
+def _count(window: int):
+    """(counter, n): suffixes by length and hashed counter of their prefix."""
 
-def _suffixes(window: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, keys, texts in _blocks(batches, BLOCK):
-            order = np.lexsort((keys, ids))
-            w = Words([texts[i] for i in order])
-            ids, keys = ids[order], keys[order]
-            at = inside(w.first, window)
-            g = grams(w.hashes(lower=False), window)[at]
-            doc = w.doc[at]
-            pos = at - w.first[doc]
-            # the low 32 bits deal out the suffix; all 64 are compared
-            bucket = ((g & np.uint64(0xFFFFFFFF)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            by = np.argsort(bucket, kind="stable")
-            bounds = np.searchsorted(bucket[by], np.arange(buckets + 1))
-            for k in range(buckets):
-                one = by[bounds[k] : bounds[k + 1]]
-                if len(one):
-                    d = doc[one]
-                    r = runs(d)
-                    step = np.diff(pos[one], prepend=0)
-                    step[r] = pos[one][r]
-                    yield pa.RecordBatch.from_pydict(
-                        {"bucket": [k], "n": [len(one)], "hash": [g[one].tobytes()], "doc": [pack(ids[d[r]])], "row": [keys[d[r]].tobytes()], "many": [pack(np.diff(r, append=len(d)).astype(np.int32))], "pos": [pack(step.astype(np.int32))]},
-                        schema=pa.schema([("bucket", pa.int32()), ("n", pa.int32()), *((c, pa.binary()) for c in ("hash", "doc", "row", "many", "pos"))]),
-                    )
+        total = np.zeros((len(LENGTHS), 1 << COUNTER_BITS), np.int64)
+        for s in _blocks(batches, window):
+            for n, prefix in enumerate(s.prefixes()):
+                total[n] += np.bincount(_counter(prefix), minlength=1 << COUNTER_BITS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.reshape(-1)[at])], names=["counter", "n"])
 
     return run
 
 
-def _positions(step: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """Positions from their steps inside each document."""
-    total = np.cumsum(step.astype(np.int64))
-    begin = np.concatenate(([0], np.cumsum(many)[:-1]))
-    return total - np.repeat(total[begin] - step[begin], many)
-
-
-def _later(groups: int):
-    """Of a prefix group: the suffixes whose depth-``window`` node has an earlier suffix."""
-
-    def run(table: pa.Table) -> pa.Table:
-        got: dict[str, list] = {c: [] for c in ("h", "doc", "row", "pos")}
-        for r in table.to_pylist():
-            many = unpack(r["many"], np.int32)
-            got["h"].append(np.frombuffer(r["hash"], np.uint64))
-            got["doc"].append(np.repeat(unpack(r["doc"], np.int64), many))
-            got["row"].append(np.repeat(np.frombuffer(r["row"], np.int64), many))
-            got["pos"].append(_positions(unpack(r["pos"], np.int32), many))
-        h = np.concatenate(got.pop("h"))
-        by = np.argsort(h)
-        same = np.zeros(len(h), bool)
-        eq = h[by][1:] == h[by][:-1]
-        same[1:] |= eq
-        same[:-1] |= eq
-        by = by[same]
-        h, doc, row, pos = h[by], *(np.concatenate(got[c])[by] for c in ("doc", "row", "pos"))
-        by = np.lexsort((pos, row, doc, h))
-        h, doc, row, pos = h[by], doc[by], row[by], pos[by]
-        r = runs(h)
-        first = np.repeat(r, np.diff(r, append=len(h)))
-        later = (doc != doc[first]) | (row != row[first]) | (pos != pos[first])
-        doc, row, pos = doc[later], row[later], pos[later]
-        group = row.view(np.uint64) % np.uint64(groups) if len(row) else row
-        by = np.lexsort((pos, row, doc, group))
-        group, doc, row, pos = group[by], doc[by], row[by], pos[by]
-        r = runs(group)
-        cut = [slice(a, b) for a, b in zip(r, [*r[1:], len(group)])]
-        return pa.table(
-            {"grp": pa.array([int(group[s.start]) for s in cut], pa.int32()), "doc": pa.array([doc[s].tobytes() for s in cut], pa.binary()), "row": pa.array([row[s].tobytes() for s in cut], pa.binary()), "pos": pa.array([pack(pos[s].astype(np.int32)) for s in cut], pa.binary())}
-        )
+def groups_of(s: Suffixes, whole: np.ndarray, heavy: np.ndarray, groups: int) -> np.ndarray:
+    """Each suffix's group, by the shortest of its prefixes that is not heavy, else all its words."""
+    prefix, left = whole.copy(), np.arange(len(whole))
+    for n, own in enumerate(s.prefixes()):
+        fits = ~heavy[n][_counter(own[left])]
+        prefix[left[fits]] = own[left[fits]]
+        left = left[~fits]
+        if not len(left):
+            break
+    return ((mix(prefix) & np.uint64(0xFFFFFFFF)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+
+
+def _places(s: Suffixes, at: np.ndarray) -> bytes:
+    """Ids, row keys and positions of the suffixes ``at`` (in order), packed by document."""
+    doc, pos = s.doc[at], s.pos[at]
+    r = runs(doc)
+    step = np.diff(pos, prepend=np.int32(0))
+    step[r] = pos[r]
+    docs = doc[r]
+    body = b"".join((pack(np.diff(s.ids[docs], prepend=0)), s.keys[docs].tobytes(), pack(np.diff(r, append=len(at)).astype(np.int32)), pack(step)))
+    return len(r).to_bytes(4, "little") + len(at).to_bytes(4, "little") + pa.compress(body, "zstd", asbytes=True)
+
+
+def _read_places(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    many, n = int.from_bytes(b[:4], "little"), int.from_bytes(b[4:8], "little")
+    body = pa.decompress(b[8:], 20 * many + 4 * n, "zstd", asbytes=True)
+    ids, keys, size = np.cumsum(unpack(body[: 8 * many], np.int64)), np.frombuffer(body[8 * many : 16 * many], np.int64), unpack(body[16 * many : 20 * many], np.int32)
+    step = unpack(body[20 * many :], np.int32).astype(np.int64)
+    total, begin = np.cumsum(step), np.cumsum(size) - size
+    return np.repeat(ids, size), np.repeat(keys, size), total - np.repeat(total[begin] - step[begin], size)
+
+
+def _suffixes(window: int, groups: int, heavy: np.ndarray):
+    """For each block and group: the fingerprints of its first suffixes, and the later ones (no fingerprints)."""
+    schema = pa.schema([("grp", pa.int32()), ("first", pa.binary()), ("places", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s in _blocks(batches, window):
+            if not len(s.at):
+                continue
+            h = grams(s.h, window)[s.at]
+            group = groups_of(s, h, heavy, groups)
+            e = (grams(mix(s.h ^ SECOND), window)[s.at] >> np.uint64(32)).astype(np.uint32)
+            by = np.lexsort((e, h))
+            first = np.ones(len(by), bool)
+            first[by[1:]] = (h[by][1:] != h[by][:-1]) | (e[by][1:] != e[by][:-1])
+            by = np.lexsort((~first, group))
+            cut = runs(group[by] * 2 + first[by])
+            for i, j in zip(cut, [*cut[1:], len(by)]):
+                at = by[i:j]
+                prints = h[at].tobytes() + e[at].tobytes() if first[at[0]] else None
+                yield pa.RecordBatch.from_pydict({"grp": [int(group[at[0]])], "first": [prints], "places": [_places(s, at)]}, schema=schema)
 
     return run
 
 
-def _by_document(window: int):
-    """A row for each document with repeats: word ranges [from, to) to remove, packed."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        doc = np.concatenate([np.frombuffer(r["doc"], np.int64) for r in rows])
-        key = np.concatenate([np.frombuffer(r["row"], np.int64) for r in rows])
-        pos = np.concatenate([unpack(r["pos"], np.int32) for r in rows]).astype(np.int64)
-        by = np.lexsort((pos, key, doc))
-        doc, key, pos = doc[by], key[by], pos[by]
-        new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
-        cut = np.flatnonzero(new | np.concatenate(([True], pos[1:] > pos[:-1] + window)))
-        begin, end = pos[cut], pos[np.concatenate((cut[1:], [len(pos)])) - 1] + window
-        docs = np.searchsorted(cut, np.flatnonzero(new))
-        spans = [(a, b) for a, b in zip(docs, [*docs[1:], len(cut)])]
-        at = cut[docs]
-        return pa.table(
-            {"row_key": pa.array(key[at], pa.int64()), "id": pa.array(doc[at], pa.int64()), "ranges": pa.array([np.stack((begin[a:b], end[a:b])).astype(np.int64).tobytes() for a, b in spans], pa.binary())}
-        )
+def later(h: np.ndarray, e: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Places in the arrays of the suffixes whose node has another one that starts earlier."""
+    by = np.argsort(h)
+    same = np.zeros(len(h), bool)
+    equal = h[by][1:] == h[by][:-1]
+    same[1:] |= equal
+    same[:-1] |= equal
+    by = by[same]
+    by = by[np.lexsort((pos[by], row[by], doc[by], e[by], h[by]))]
+    node = runs(np.concatenate(([0], np.cumsum((np.diff(h[by]) != 0) | (np.diff(e[by]) != 0)))) if len(by) else by)
+    first = np.repeat(by[node], np.diff(node, append=len(by)))
+    return by[(doc[by] != doc[first]) | (row[by] != row[first]) | (pos[by] != pos[first])]
+
+
+def _nodes(table: pa.Table) -> pa.Table:
+    """Of a group's subtrees: (row_key, positions) of the suffixes that are not the first of their node."""
+    prints, firsts, others = [], [], []
+    for b, p in zip(table.column("first"), table.column("places")):
+        places = _read_places(p.as_buffer().to_pybytes())
+        if b.is_valid:
+            prints.append(b.as_buffer())
+            firsts.append(places)
+        else:
+            others.append(places)
+    row = pos = np.zeros(0, np.int64)
+    if firsts:
+        h = np.concatenate([np.frombuffer(b, np.uint64, len(p[0])) for b, p in zip(prints, firsts)])
+        e = np.concatenate([np.frombuffer(b, np.uint32, len(p[0]), 8 * len(p[0])) for b, p in zip(prints, firsts)])
+        doc, row, pos = (np.concatenate(x) for x in zip(*firsts))
+        at = later(h, e, doc, row, pos)
+        row, pos = row[at], pos[at]
+    row, pos = np.concatenate([row, *(x[1] for x in others)]), np.concatenate([pos, *(x[2] for x in others)])
+    by = np.lexsort((pos, row))
+    row, pos = row[by], pos[by].astype(np.int32)
+    cut = runs(row)
+    offsets = np.append(cut, len(row)).astype(np.int32) * 4
+    packed = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
+    return pa.table({"row_key": pa.array(row[cut]), "positions": packed})
+
+
+def _ranges(window: int):
+    """Word ranges [from, to) under later suffixes: int64 starts, then ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for parts in b.column(1):
+                pos = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in parts])).astype(np.int64)
+                cut = np.flatnonzero(np.concatenate(([True], pos[1:] > pos[:-1] + window)))
+                out.append(np.stack((pos[cut], pos[np.append(cut[1:], len(pos)) - 1] + window)).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["row_key", "ranges"])
 
     return run
 
 
 def repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row_key, id, ranges): for each document with a repeat that starts earlier elsewhere, its maximal
-    word ranges; ``ranges`` packs int64 starts, then ends. ``id`` is the least long for a null id."""
-    n = bucket_count(docs, text, BLOCK)
+    """(row_key, ranges): for each document with a repeat that starts earlier elsewhere, its maximal word
+    ranges; ``ranges`` packs int64 starts, then ends."""
+    groups = group_count(docs, text, GROUP)
     keyed = docs.select(F.col(doc_id).cast("long").alias("id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
-    parts = keyed.mapInArrow(_suffixes(window, n), PART)
-    later = parts.groupBy("bucket").applyInArrow(_later(n), "grp int, doc binary, row binary, pos binary")
-    found = later.groupBy("grp").applyInArrow(_by_document(window), "row_key long, id long, ranges binary")
-    return materialise(found, "repeats")
+    counts = keyed.mapInArrow(_count(window), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).filter(F.col("n") > CAP).toArrow()
+    heavy = np.zeros(len(LENGTHS) << COUNTER_BITS, bool)
+    heavy[counts.column("counter").to_numpy()] = True
+    sent = keyed.mapInArrow(_suffixes(window, groups, heavy.reshape(len(LENGTHS), -1)), "grp int, first binary, places binary")
+    found = sent.groupBy("grp").applyInArrow(_nodes, "row_key long, positions binary")
+    return found.groupBy("row_key").agg(F.collect_list("positions").alias("parts")).mapInArrow(_ranges(window), "row_key long, ranges binary")
 
 
 def _rest(digest: bool):
@@ -192,7 +263,7 @@ def remove_repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", te
 
     ``kept``: the remaining words, joined by a space; with ``digest`` their SHA-256 instead.
     """
-    spans = repeats(docs, window, doc_id, text).drop("id")
+    spans = materialise(repeats(docs, window, doc_id, text), "repeats")
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), row_key(doc_id, text).alias("row_key"))
     return keyed.join(spans, "row_key", "left").select("doc_id", "text", "ranges").mapInArrow(_rest(digest), "doc_id long, n_words long, n_removed long, kept string")
 

@@ -295,6 +295,51 @@ def test_substring_dedup_edges(spark, docs):
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def _without_repeats(rows, window):
+    """{id: (words, removed, kept)} of rows (id, text) with unlike ids."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        ws, gone = words(t), set()
+        for j in range(len(ws) - window + 1):
+            g = tuple(ws[j : j + window])
+            if g in seen:
+                gone.update(range(j, j + window))
+            seen.add(g)
+        out[i] = (len(ws), len(gone), " ".join(w for j, w in enumerate(ws) if j not in gone))
+    return out
+
+
+@pytest.mark.parametrize("cap,window", [(2, 20), (40, 5)])
+def test_substring_dedup_by_prefixes_of_all_lengths(spark, monkeypatch, cap, window):
+    """Heavy prefixes, near copies that differ in one word, a passage in every document, one very long text."""
+    monkeypatch.setattr(substring_dedup, "CAP", cap)
+    monkeypatch.setattr(substring_dedup, "GROUP", 4000)
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"p{i}" for i in range(40))
+    base = [" ".join(f"v{x}" for x in rng.integers(0, 4, 120)) for _ in range(8)]
+    rows = [(k, " ".join(w if rng.random() > 0.02 else "zz" for w in base[k % 8].split()) + " " + passage + f" end{k}") for k in range(60)]
+    rows += [(100, passage * 3), (101, "the the the " * 9000), (102, base[0])]
+    got = {r["doc_id"]: tuple(r)[1:] for r in substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), window).collect()}
+    assert got == _without_repeats(rows, window)
+
+
+def test_substring_dedup_sends_a_hot_passage_once_a_block():
+    import pyarrow as pa
+
+    passage = " ".join(f"p{i}" for i in range(50))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(3000)), "key": list(range(3000)), "text": [passage] * 3000})
+    heavy = np.zeros((len(substring_dedup.LENGTHS), 1 << substring_dedup.COUNTER_BITS), bool)
+    sent = [r for b in substring_dedup._suffixes(20, 4, heavy)(iter([batch])) for r in b.to_pylist()]
+    assert sum(len(r["first"]) // 12 for r in sent if r["first"]) == 31
+    places = [substring_dedup._read_places(r["places"]) for r in sent]
+    assert sum(len(p[0]) for p in places) == 31 * 3000 and {(int(a), int(c)) for p in places for a, _, c in zip(*p)} == {(d, j) for d in range(3000) for j in range(31)}
+    # where every shorter prefix is heavy, all words decide; where none is, the first one does
+    s = next(substring_dedup._blocks(iter([batch.slice(0, 1)]), 20))
+    h = np.arange(31, dtype=np.uint64) << np.uint64(40)
+    one, all_ = substring_dedup.groups_of(s, h, heavy, 1000), substring_dedup.groups_of(s, h, ~heavy, 1000)
+    assert (one == substring_dedup.groups_of(s, h[::-1].copy(), heavy, 1000)).all() and (all_ == substring_dedup.groups_of(s, h[::-1].copy(), ~heavy, 1000)[::-1]).all()
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline as p
 
