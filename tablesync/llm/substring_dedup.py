@@ -175,43 +175,49 @@ def later(h: np.ndarray, e: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: n
     return by[(doc[by] != doc[first]) | (row[by] != row[first]) | (pos[by] != pos[first])]
 
 
-def _nodes(table: pa.Table) -> pa.Table:
-    """Of a group's subtrees: (row_key, positions) of the suffixes that are not the first of their node."""
-    prints, firsts, others = [], [], []
-    for b, p in zip(table.column("first"), table.column("places")):
-        places = _read_places(p.as_buffer().to_pybytes())
-        if b.is_valid:
-            prints.append(b.as_buffer())
-            firsts.append(places)
-        else:
-            others.append(places)
-    row = pos = np.zeros(0, np.int64)
-    if firsts:
-        h = np.concatenate([np.frombuffer(b, np.uint64, len(p[0])) for b, p in zip(prints, firsts)])
-        e = np.concatenate([np.frombuffer(b, np.uint32, len(p[0]), 8 * len(p[0])) for b, p in zip(prints, firsts)])
-        doc, row, pos = (np.concatenate(x) for x in zip(*firsts))
-        at = later(h, e, doc, row, pos)
-        row, pos = row[at], pos[at]
-    row, pos = np.concatenate([row, *(x[1] for x in others)]), np.concatenate([pos, *(x[2] for x in others)])
-    by = np.lexsort((pos, row))
-    row, pos = row[by], pos[by].astype(np.int32)
-    cut = runs(row)
-    offsets = np.append(cut, len(row)).astype(np.int32) * 4
-    packed = pa.Array.from_buffers(pa.binary(), len(cut), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pos.tobytes())])
-    return pa.table({"row_key": pa.array(row[cut]), "positions": packed})
-
-
-def _ranges(window: int):
-    """Word ranges [from, to) under later suffixes: int64 starts, then ends."""
+def _nodes(parts: int):
+    """Of a group's subtrees: the suffixes that are not the first of their node, dealt by document."""
+
+    def run(table: pa.Table) -> pa.Table:
+        prints, firsts, others = [], [], []
+        for b, p in zip(table.column("first"), table.column("places")):
+            places = _read_places(p.as_buffer().to_pybytes())
+            if b.is_valid:
+                prints.append(b.as_buffer())
+                firsts.append(places)
+            else:
+                others.append(places)
+        row = pos = np.zeros(0, np.int64)
+        if firsts:
+            h = np.concatenate([np.frombuffer(b, np.uint64, len(p[0])) for b, p in zip(prints, firsts)])
+            e = np.concatenate([np.frombuffer(b, np.uint32, len(p[0]), 8 * len(p[0])) for b, p in zip(prints, firsts)])
+            doc, row, pos = (np.concatenate(x) for x in zip(*firsts))
+            at = later(h, e, doc, row, pos)
+            row, pos = row[at], pos[at]
+        row, pos = np.concatenate([row, *(x[1] for x in others)]), np.concatenate([pos, *(x[2] for x in others)])
+        part = (row.view(np.uint64) % np.uint64(parts)).astype(np.int64)
+        by = np.lexsort((pos, row, part))
+        part, row, pos = part[by], row[by], pos[by].astype(np.int32)
+        cut = runs(part)
+        each = [slice(i, j) for i, j in zip(cut, [*cut[1:], len(row)])]
+        return pa.table({"part": pa.array(part[cut].astype(np.int32)), "row": pa.array([pack(row[x]) for x in each], pa.binary()), "pos": pa.array([pack(pos[x]) for x in each], pa.binary())})
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = []
-            for parts in b.column(1):
-                pos = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.int32) for x in parts])).astype(np.int64)
-                cut = np.flatnonzero(np.concatenate(([True], pos[1:] > pos[:-1] + window)))
-                out.append(np.stack((pos[cut], pos[np.append(cut[1:], len(pos)) - 1] + window)).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["row_key", "ranges"])
+    return run
+
+
+def _by_document(window: int):
+    """A row for each document with repeats: word ranges [from, to) under later suffixes, packed."""
+
+    def run(table: pa.Table) -> pa.Table:
+        row = np.concatenate([unpack(x.as_buffer(), np.int64) for x in table.column("row")])
+        pos = np.concatenate([unpack(x.as_buffer(), np.int32) for x in table.column("pos")]).astype(np.int64)
+        by = np.lexsort((pos, row))
+        row, pos = row[by], pos[by]
+        new = np.concatenate(([True], row[1:] != row[:-1]))
+        cut = np.flatnonzero(new | np.concatenate(([True], pos[1:] > pos[:-1] + window)))
+        begin, end = pos[cut], pos[np.append(cut[1:], len(pos)) - 1] + window
+        docs = np.searchsorted(cut, np.flatnonzero(new))
+        return pa.table({"row_key": pa.array(row[cut[docs]]), "ranges": pa.array([np.stack((begin[i:j], end[i:j])).tobytes() for i, j in zip(docs, [*docs[1:], len(cut)])], pa.binary())})
 
     return run
 
@@ -225,8 +231,8 @@ def repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str
     heavy = np.zeros(len(LENGTHS) << COUNTER_BITS, bool)
     heavy[counts.column("counter").to_numpy()] = True
     sent = keyed.mapInArrow(_suffixes(window, groups, heavy.reshape(len(LENGTHS), -1)), "grp int, first binary, places binary")
-    found = sent.groupBy("grp").applyInArrow(_nodes, "row_key long, positions binary")
-    return found.groupBy("row_key").agg(F.collect_list("positions").alias("parts")).mapInArrow(_ranges(window), "row_key long, ranges binary")
+    found = sent.groupBy("grp").applyInArrow(_nodes(groups), "part int, row binary, pos binary")
+    return found.groupBy("part").applyInArrow(_by_document(window), "row_key long, ranges binary")
 
 
 def _rest(digest: bool):
