@@ -39,6 +39,10 @@ def translate_name(base: Column, more: Column, prefix: str, suffix: str) -> Colu
     return F.concat(F.lit(prefix), base, F.when(system, F.lit(suffix)).otherwise(F.lit("")), more)
 
 
+def is_localized(name: str) -> bool:
+    return name.lower().endswith("lp")
+
+
 def view_name(table: Column) -> Column:
     return F.concat(F.lit("v_"), table)
 

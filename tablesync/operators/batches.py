@@ -11,14 +11,17 @@ from tablesync.sources.shared import written
 def global_rank(df: DataFrame, keys: list[str], to: str = "rn") -> DataFrame:
     """``df`` with its 0-based rank by ``keys``. Ranges are sorted apart; only their counts meet.
 
-    Ties are broken in no order: add columns that make the key unique where that matters.
+    Ties are broken in no order, and a key with very many rows takes several ranges: add columns that make the
+    key unique where that matters.
     """
-    ranged = written(df.repartitionByRange(*keys).withColumn("__part", F.spark_partition_id()), "ranged")
+    ranged = df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(*keys, "__tie")
+    ranged = written(ranged.withColumn("__part", F.spark_partition_id()), "ranged")
+    # one row a range
     counts = ranged.groupBy("__part").count()
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__before"))
-    local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*keys)))
-    return local.join(F.broadcast(offsets), "__part").withColumn(to, (F.col("__n") + F.col("__before") - 1).cast("long")).drop("__part", "__n", "__before")
+    local = ranged.withColumn("__n", F.row_number().over(Window.partitionBy("__part").orderBy(*keys, "__tie")))
+    return local.join(offsets, "__part").withColumn(to, (F.col("__n") + F.col("__before") - 1).cast("long")).drop("__part", "__n", "__before", "__tie")
 
 
 def assign_batches(df: DataFrame, order_by: list[str], size: int) -> DataFrame:
@@ -32,9 +35,18 @@ def batch_markers(df: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def batch_plan(markers: DataFrame, key: str, size: int) -> DataFrame:
-    """(batch_id, lower_boundary, upper_boundary); the last one is open. Markers are few."""
-    upper = F.lead(key).over(Window.orderBy("rn"))
-    return markers.select(F.floor(F.col("rn") / size).alias("batch_id"), F.col(key).alias("lower_boundary"), upper.alias("upper_boundary"))
+    """(batch_id, lower_boundary, upper_boundary); the last one is open. Each marker meets the next one."""
+    low = markers.select(F.floor(F.col("rn") / size).alias("batch_id"), F.col(key).alias("lower_boundary"))
+    high = markers.select((F.floor(F.col("rn") / size) - 1).alias("batch_id"), F.col(key).alias("upper_boundary"))
+    return low.join(high, "batch_id", "left")
+
+
+def key_range_batches(df: DataFrame, key: str, size: int) -> DataFrame:
+    """``df`` with ``batch_id``, as the ranges between markers give it: of rows with one key all lie in the
+    batch of the last, so a key is never split. Rows without a key are left out."""
+    ranked = global_rank(df.filter(F.col(key).isNotNull()), [key])
+    last = ranked.groupBy(key).agg(F.floor(F.max("rn") / size).alias("batch_id"))
+    return ranked.drop("rn").join(last, key)
 
 
 def read_page(df: DataFrame, order_by: list[str], offset: int, n: int) -> DataFrame:

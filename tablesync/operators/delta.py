@@ -46,7 +46,7 @@ def duplicate_keys(df: DataFrame, keys: list[str], nulls_equal: bool = True) ->
 
 
 def reconcile(source: DataFrame, target: DataFrame, by: str) -> DataFrame:
-    """Counts of both sides by a column, and their difference."""
-    s, t = (x.groupBy(by).agg(F.count("*").alias(n)) for x, n in ((source, "source_rows"), (target, "target_rows")))
-    zero = lambda c: F.coalesce(c, F.lit(0))
-    return s.join(t, by, "full").select(by, zero("source_rows").alias("source_rows"), zero("target_rows").alias("target_rows"), (zero("source_rows") - zero("target_rows")).alias("difference"))
+    """Counts of both sides by a column, null being a value, and their difference."""
+    sides = [x.select(by, F.lit(s).alias("s"), F.lit(1 - s).alias("t")) for x, s in ((source, 1), (target, 0))]
+    both = sides[0].union(sides[1]).groupBy(by).agg(F.sum("s").alias("source_rows"), F.sum("t").alias("target_rows"))
+    return both.withColumn("difference", F.col("source_rows") - F.col("target_rows"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,32 +30,55 @@ def unique_by(df: DataFrame, keys: list[str], order_col: str | None = None) -> D
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], order_col: str | None = None, checked: bool = True) -> DataFrame:
     """The target after the merge: copied columns take the source's value, null too; columns that are not
-    copied keep the target's; new rows have null there. ``checked``: whether source keys are made unique."""
+    copied keep the target's; new rows have null there. ``checked``: whether source keys are made unique.
+
+    One full outer join: each side is read and shuffled once.
+    """
     if not keys:
         raise ValueError("an upsert needs a key")
     source = unique_by(source, keys, order_col) if checked else source
-    kept_only = [c for c in target.columns if c.lower() not in {s.lower() for s in source.columns}]
-    stays = target.join(source.select(*keys), keys, "left_anti")
-    comes = source.join(target.select(*keys, *kept_only), keys, "left") if kept_only else source
-    return stays.unionByName(comes.select(*target.columns))
+    copied = {c.lower(): f"__s{i}" for i, c in enumerate(source.columns)}
+    own = {c.lower(): f"__t{i}" for i, c in enumerate(target.columns)}
+    s = source.toDF(*copied.values()).withColumn("__comes", F.lit(True))
+    t = target.toDF(*own.values())
+    same = reduce(and_, (F.col(own[k.lower()]) == F.col(copied[k.lower()]) for k in keys))
+    value = lambda c: F.when(F.col("__comes"), F.col(copied[c])).otherwise(F.col(own[c])) if c in copied else F.col(own[c])
+    return t.join(s, same, "full").select(*(value(c.lower()).alias(c) for c in target.columns))
 
 
 def delete_by_key(target: DataFrame, markers: DataFrame, key: str, marker_key: str = "p_itempk") -> DataFrame:
     return target.join(markers.select(F.col(marker_key).alias(key)), key, "left_anti")
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, profile: Profile, name: str) -> None:
+    """Adds rows to a table, which is made if it is missing."""
+    if profile.is_jdbc:
+        df.write.format("jdbc").options(**profile.jdbc_options(), dbtable=profile.prefix + name).mode("append").save()
+    else:
+        df.write.mode("append").parquet(profile.path(name))
 
 
-def overwrite(df: DataFrame, path: str) -> None:
-    """Never the path that ``df`` reads: write a new one and switch."""
-    df.write.mode("overwrite").parquet(path)
+def overwrite(df: DataFrame, profile: Profile, name: str) -> None:
+    """A table's rows become those of ``df``, which may read the table itself if that is a folder.
+
+    Rows are written beside a folder, which they replace once all are there.
+    """
+    if profile.is_jdbc:
+        df.write.format("jdbc").options(**profile.jdbc_options(), dbtable=profile.prefix + name, truncate="true").mode("overwrite").save()
+        return
+    spark, path = df.sparkSession, profile.path(name)
+    df.write.mode("overwrite").parquet(f"{path}.new")
+    files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files.delete(at(path), True)
+    if not files.rename(at(f"{path}.new"), at(path)):
+        raise OSError(f"cannot replace {path}")
 
 
 def tables_to_clear(target_tables: DataFrame, included: DataFrame) -> DataFrame:
-    """Target tables that are not migrated."""
-    return target_tables.select(F.lower("table_name").alias("table_name")).exceptAll(included.select(F.lower("table_name").alias("table_name"))).distinct()
+    """Target tables that are not migrated, in lower case."""
+    names = lambda df: df.select(F.lower("table_name").alias("table_name")).distinct()
+    return names(target_tables).join(names(included), "table_name", "left_anti")
 
 
 def merge_statement(dialect: str, target: str, staging: str, keys: list[str], columns: list[str]) -> str:

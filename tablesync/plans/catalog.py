@@ -17,9 +17,15 @@ def _any_case(c: Column, names) -> Column:
     return F.lower(c).isin([n.lower() for n in names])
 
 
-def filter_tables(tables: DataFrame, include: list[str] | None = None, exclude: list[str] = DEFAULT_EXCLUDED, incremental: list[str] | None = None) -> DataFrame:
-    """Include (empty: all), exclude and, in incremental runs, the incremental list, which replaces include."""
+def filter_tables(tables: DataFrame, include: list[str] | DataFrame | None = None, exclude: list[str] = DEFAULT_EXCLUDED, incremental: list[str] | None = None) -> DataFrame:
+    """Include (empty: all), exclude and, in incremental runs, the incremental list, which replaces include.
+
+    ``include`` may be a table (table_name), where names are many.
+    """
     name = F.col("table_name")
+    if isinstance(include, DataFrame):
+        wanted = include.select(F.lower("table_name").alias("__l"))
+        tables, include = tables.join(wanted, F.lower("table_name") == F.col("__l"), "left_semi") if incremental is None else tables, None
     if incremental is not None:
         if not incremental:
             raise ValueError("an incremental run needs its list of tables")
@@ -49,17 +55,25 @@ def source_candidates(deployments: DataFrame, existing: DataFrame, audit: bool =
     return fixed.union(types).union(more).select(F.lower("table_name").alias("table_name")).distinct()
 
 
-def filter_candidates(cands: DataFrame, suffix: str) -> DataFrame:
-    """Without system tables of another type system; names that end in ``sn`` stay."""
-    bare = F.lower(F.regexp_replace(F.col("base_name"), r"\d+$", ""))
-    other = bare.isin(list(SYSTEM_TABLES)) & (F.lower("base_name") != F.concat(bare, F.lit(suffix.lower())))
-    return cands.filter(~other | F.lower("base_name").endswith("sn"))
+def filter_candidates(cands: DataFrame, prefix: str, suffix: str) -> DataFrame:
+    """Without tables that begin like a system table and, less ``lp``, lack the suffix; those in ``sn`` stay."""
+    name = F.lower(without_prefix(F.col("full_name"), prefix))
+    system = name.rlike(f"^({'|'.join(SYSTEM_TABLES)})") & ~name.endswith("sn")
+    return cands.filter(~system | F.regexp_replace(name, "lp$", "").endswith(suffix.lower()))
+
 
+def plan_items(source: DataFrame, target: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(common_name, source_table, target_table) of tables on both sides.
 
-def plan_items(source: DataFrame, target: DataFrame) -> DataFrame:
-    """(common_name, source_table, target_table) of tables on both sides."""
+    With ``wanted`` (table_name: common names), of those only, and one without a target fails the job.
+    """
     t = target.select("common_name", F.col("full_name").alias("target_table"))
-    return source.select("common_name", F.col("full_name").alias("source_table")).join(t, "common_name")
+    s = source.select("common_name", F.col("full_name").alias("source_table"))
+    if wanted is None:
+        return s.join(t, "common_name")
+    s = s.join(wanted.select(F.lower("table_name").alias("common_name")), "common_name", "left_semi")
+    lost = F.raise_error(F.concat(F.lit("no target table for "), "source_table")).cast("string")
+    return s.join(t, "common_name", "left").withColumn("target_table", F.coalesce("target_table", lost))
 
 
 def order_items(items: DataFrame, first: list[str], last: list[str]) -> DataFrame:
@@ -68,12 +82,16 @@ def order_items(items: DataFrame, first: list[str], last: list[str]) -> DataFram
     return items.withColumn("sort_group", group).orderBy("sort_group", "row_count", "table_name")
 
 
-def smallest_unique_key(index_columns: DataFrame) -> DataFrame:
-    """(table_name, index_name, column_name, position) of each table's unique index with fewest columns."""
-    n = index_columns.groupBy("table_name", "index_name").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("table_name").orderBy("n", "index_name")
-    best = n.withColumn("rn", F.row_number().over(w)).filter("rn = 1").select("table_name", "index_name")
-    return index_columns.join(best, ["table_name", "index_name"])
+def smallest_unique_key(index_columns: DataFrame, indexes: DataFrame | None = None) -> DataFrame:
+    """(table_name, index_name, column_name, position, key_order) of each table's unique index with the fewest
+    columns; ``indexes`` (table_name, index_name, is_unique) tells the unique ones, without it all are."""
+    own = index_columns
+    if indexes is not None:
+        own = own.join(indexes.filter("is_unique").select("table_name", "index_name"), ["table_name", "index_name"], "left_semi")
+    n = own.groupBy("table_name", "index_name").agg(F.count("*").alias("n"))
+    best = n.groupBy("table_name").agg(F.min_by("index_name", F.struct("n", "index_name")).alias("index_name"))
+    order = F.row_number().over(Window.partitionBy("table_name", "index_name").orderBy("position", "column_name"))
+    return own.join(best, ["table_name", "index_name"]).withColumn("key_order", order)
 
 
 def prefix_summary(tables: DataFrame, prefixes: list[str]) -> DataFrame:
@@ -82,6 +100,18 @@ def prefix_summary(tables: DataFrame, prefixes: list[str]) -> DataFrame:
     return tables.select(p.alias("prefix")).groupBy("prefix").agg(F.count("*").alias("n_tables"))
 
 
+def migration_summary(source: DataFrame, target: DataFrame, staging: str) -> DataFrame:
+    """(copied, n_source, n_target): tables on the source that the target has under the staging prefix
+    (``staged``), under their own name (``direct``), or not at all (``missing``)."""
+    name = F.lower("table_name")
+    s = source.select(name.alias("n")).distinct()
+    t = target.select(name.alias("m")).distinct()
+    way = t.select(F.regexp_replace("m", f"^{staging.lower()}", "").alias("n"), F.col("m").startswith(staging.lower()).alias("staged"))
+    both = s.join(way, "n", "left").groupBy("n").agg(F.count("staged").alias("n_target"), F.bool_or("staged").alias("staged"))
+    copied = F.when(F.col("staged"), "staged").when(F.col("staged").isNull(), "missing").otherwise("direct")
+    return both.groupBy(copied.alias("copied")).agg(F.count("*").alias("n_source"), F.sum("n_target").alias("n_target"))
+
+
 def type_tables(deployments: DataFrame, type_system: str) -> DataFrame:
     return deployments.filter((F.col("TypeSystemName") == type_system) & F.col("Typecode").isNotNull() & F.col("TableName").isNotNull())
 
@@ -134,9 +164,14 @@ def staging_prefixes(tables: DataFrame, known: list[str]) -> DataFrame:
 
 
 def staged_tables(tables: DataFrame, prefixes: DataFrame, limit: int = 5) -> DataFrame:
-    """Tables of all staging prefixes, once there are more than ``limit`` of those."""
-    many = prefixes.withColumn("n", F.expr("count(*) OVER ()")).filter(F.col("n") > limit).select("prefix")
-    return tables.join(many, F.lower(F.col("table_name")).startswith(F.col("prefix"))).select("table_name").distinct()
+    """Tables of all staging prefixes, once there are more than ``limit`` of those.
+
+    A name meets the prefixes by its own beginnings, so the join is one of equal values.
+    """
+    many = prefixes.filter(prefixes.agg(F.count("*")).scalar() > limit).select("prefix")
+    name = F.lower("table_name")
+    begins = F.explode(F.transform(F.sequence(F.lit(0), F.length(name)), lambda n: F.substring(name, F.lit(1), n)))
+    return tables.select("table_name", begins.alias("prefix")).join(many, "prefix", "left_semi").select("table_name").distinct()
 
 
 def deletion_tables(type_map: DataFrame, items: DataFrame) -> DataFrame:

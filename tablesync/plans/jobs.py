@@ -4,16 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablesync.operators.merge import delete_by_key, upsert
+from tablesync.functions.names import is_localized
+from tablesync.operators.delta import delta, deletion_markers, localized_delta
+from tablesync.operators.merge import append, delete_by_key, overwrite, upsert
+from tablesync.sources.profile import Profile, read_table
 
+Rules = Callable[[DataFrame], DataFrame]
 
-def full_sync(source: DataFrame, target: DataFrame, truncate: bool = True, rules: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """The target after a full copy: replaced, or with the rows appended. An empty source empties it too,
-    unless truncation is excluded."""
+
+def full_sync(source: DataFrame, target: DataFrame, truncate: bool = True, excluded: bool = False, rules: Rules = lambda df: df) -> DataFrame:
+    """The target after a full copy: replaced with ``truncate``, else with the rows appended.
+
+    A table that is ``excluded`` from truncation is appended to, but an empty source empties it all the same.
+    """
     new = rules(source)
-    return new if truncate else target.unionByName(new, allowMissingColumns=True)
+    if truncate and not excluded:
+        return new
+    kept = target
+    if truncate:
+        kept = target.filter(source.select(F.lit(1).alias("one")).limit(1).agg(F.count("*")).scalar() > 0)
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def incremental_sync(target: DataFrame, changed: DataFrame, markers: DataFrame, key: str, checked: bool = True) -> DataFrame:
@@ -35,6 +48,51 @@ def run_tables(tables: list[str], copy: Callable[[str], None], fail_on_error: bo
     return out
 
 
+def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list[str], truncate: bool = True, excluded: tuple[str, ...] = (), done: tuple[str, ...] = (), rules: dict[str, Rules] | None = None) -> list[tuple[str, str | None]]:
+    """Copies tables from profile to profile and returns (table, error) of each.
+
+    ``excluded``: tables that truncation spares; ``done``: those that an earlier, interrupted run has copied.
+    """
+    lower = lambda names: {n.lower() for n in names}
+
+    def copy(name: str) -> None:
+        rows = (rules or {}).get(name, lambda df: df)(read_table(spark, source, name))
+        if truncate and (name.lower() not in lower(excluded) or not rows.take(1)):
+            overwrite(rows, target, name)
+        else:
+            append(rows, target, name)
+
+    return run_tables([t for t in tables if t.lower() not in lower(done)], copy)
+
+
+def run_incremental(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], mark: str | None, started: str, markers: DataFrame | None = None, ts_col: str = "modifiedts", as_time: Callable[[str], Column] = F.lit) -> tuple[str, list[tuple[str, str | None]]]:
+    """An incremental run over tables with their keys: deletions, then tables, then localised ones (``lp``).
+
+    Returns the new mark, which stays the old one if any table failed, and (table, error) of each. A localised
+    table has the rows of its base table's items (``itempk``) that changed; keys of others are their own.
+    """
+    next_mark(mark, started, [])
+    since = as_time(mark)
+    base = lambda name: name[:-2]
+    plain = [t for t in tables if not is_localized(t)]
+
+    def remove(name: str) -> None:
+        overwrite(delete_by_key(read_table(spark, target, name), deletion_markers(markers, name, since), tables[name][0]), target, name)
+
+    def merge(name: str) -> None:
+        if is_localized(name):
+            changed = delta(read_table(spark, source, base(name)), since, ts_col)
+            rows = localized_delta(read_table(spark, source, name), changed, "itempk", tables.get(base(name), ["pk"])[0])
+        else:
+            rows = delta(read_table(spark, source, name), since, ts_col)
+        overwrite(upsert(read_table(spark, target, name), rows, tables[name]), target, name)
+
+    outcomes = run_tables(plain, remove) if markers is not None else []
+    outcomes += run_tables(plain, merge)
+    outcomes += run_tables([t for t in tables if is_localized(t)], merge)
+    return next_mark(mark, started, outcomes), outcomes
+
+
 def next_mark(old: str | None, started: str, outcomes: list[tuple[str, str | None]]) -> str:
     """The new high-water mark: this run's start, if nothing failed. Without an old mark no run may begin."""
     if old is None:

@@ -12,6 +12,12 @@ def rollup_status(tasks: DataFrame, key: str = "migrationid", total: int | None
     return tasks.groupBy(key).agg(F.max("lastupdate").alias("last_update"), n.alias("total"), F.count_if(F.col("duration").isNotNull()).alias("completed"), F.count_if(F.col("failure") == 1).alias("failed"))
 
 
+def run_status(runs: DataFrame, tasks: DataFrame, key: str = "migrationid") -> DataFrame:
+    """``runs`` with the roll-up of their tasks; a run without tasks has none of 0."""
+    zero = ("total", "completed", "failed")
+    return runs.join(rollup_status(tasks, key), key, "left").fillna(0, list(zero))
+
+
 def migration_status(rollup: DataFrame, done: str = "PROCESSED", stalled: Column | None = None) -> DataFrame:
     """Adds end_at, status, is_completed and is_failed."""
     over = F.col("completed") >= F.col("total")

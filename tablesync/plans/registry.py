@@ -31,7 +31,7 @@ DERIVED = {
     "tasks": "SELECT user_id, user_id % 100 AS migrationid, concat('pipe', user_id) AS pipelinename, max(ts) AS lastupdate, max(CASE WHEN event_type = 'error' AND value > 80 THEN 1 ELSE 0 END) AS failure, count(*) AS sourcerowcount, CASE WHEN user_id % 9 = 0 THEN NULL ELSE count(*) END AS duration FROM events GROUP BY user_id",
     "runs": "SELECT user_id % 100 AS migrationid, min(ts) AS startat FROM events GROUP BY user_id % 100",
     "bat": "SELECT event_type, user_id, event_id % 1000 + 1 AS rows, event_id % 7 + 1 AS seconds FROM events",
-    "cat": "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'src_composedtypes1' WHEN p_partkey % 50 = 2 THEN 'SRC_Props1' WHEN p_partkey % 50 = 3 THEN 'src_props7' WHEN p_partkey % 50 = 4 THEN 'src_mapTypessn' WHEN p_partkey % 4 = 0 THEN concat('src_tab', p_partkey, 'lp') ELSE concat('src_Tab', p_partkey) END AS table_name, p_size AS row_count FROM part",
+    "cat": "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'src_composedtypes1' WHEN p_partkey % 50 = 2 THEN 'SRC_Props1' WHEN p_partkey % 50 = 3 THEN 'src_props7' WHEN p_partkey % 50 = 4 THEN 'src_mapTypessn' WHEN p_partkey % 50 = 6 THEN 'src_propsExtra' WHEN p_partkey % 4 = 0 THEN concat('src_tab', p_partkey, 'lp') ELSE concat('src_Tab', p_partkey) END AS table_name, p_size AS row_count FROM part",
     "tcat": "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'tgt_composedtypes2' WHEN p_partkey % 50 = 2 THEN 'tgt_props2' WHEN p_partkey % 4 = 0 THEN concat('tgt_TAB', p_partkey, 'LP') ELSE concat('tgt_tab', p_partkey) END AS table_name FROM part WHERE p_partkey % 3 <> 0",
     "cols": "SELECT concat('Tab', p_partkey % 97) AS table_name, concat('c', p_size) AS column_name FROM part",
     "tcols": "SELECT concat('tab', p_partkey % 97) AS table_name, concat('C', p_size) AS column_name FROM part WHERE p_partkey % 97 <> 5 AND p_partkey % 3 <> 0",
@@ -100,9 +100,7 @@ def delta_scan(t):
 
 @query(f"SELECT * FROM mk WHERE modifiedts > (SELECT min(ts) FROM events) + INTERVAL 1 DAY")
 def deletion_markers(t):
-    first = t.events.agg(F.min("ts").alias("lo"))
-    own = delta.deletion_markers(t.mk, "orders").join(F.broadcast(first))
-    return own.filter(F.col("modifiedts") > F.col("lo") + F.expr("INTERVAL 1 DAY")).drop("lo")
+    return delta.deletion_markers(t.mk, "orders", t.events.agg(F.min("ts")).scalar() + F.expr("INTERVAL 1 DAY"))
 
 
 @query("SELECT * FROM lp WHERE itempk IN (SELECT p_partkey FROM part WHERE p_partkey % 7 = 0)")
@@ -112,9 +110,22 @@ def localized_delta(t):
 
 @query("SELECT CAST(floor(rn / 1000) AS BIGINT) AS batch_id, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) GROUP BY 1")
 def key_range_batches(t):
-    plan = batches.batch_plan(batches.batch_markers(t.orders, "o_orderkey", 1000), "o_orderkey", 1000)
-    inside = (F.col("o_orderkey") >= F.col("lower_boundary")) & (F.col("upper_boundary").isNull() | (F.col("o_orderkey") < F.col("upper_boundary")))
-    return t.orders.select("o_orderkey").join(F.broadcast(plan), inside).groupBy("batch_id").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+    own = batches.key_range_batches(t.orders.select("o_orderkey"), "o_orderkey", 1000)
+    return own.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+
+
+@query("SELECT CAST(floor((rn - 1) / 500) AS BIGINT) AS batch_id, count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM (SELECT l_orderkey, count(*) OVER (ORDER BY l_orderkey) AS rn FROM lineitem) GROUP BY 1")
+def key_range_batches_ties(t):
+    own = batches.key_range_batches(t.lineitem.select("l_orderkey"), "l_orderkey", 500)
+    return own.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
+
+
+@query(
+    "SELECT CAST(rn / 1000 AS BIGINT) AS batch_id, o_orderkey AS lower_boundary, lead(o_orderkey) OVER (ORDER BY rn) AS upper_boundary "
+    "FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) WHERE rn % 1000 = 0"
+)
+def batch_boundaries(t):
+    return batches.batch_plan(batches.batch_markers(t.orders, "o_orderkey", 1000), "o_orderkey", 1000)
 
 
 @query("SELECT CAST(floor(rn / 200) AS BIGINT) AS batch_id, count(*) AS n, min(c_custkey) AS lo FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS rn FROM customer) GROUP BY 1")
@@ -137,6 +148,22 @@ def batch_markers_delta(t):
     return batches.batch_markers(delta.delta(t.orders, ntz(SINCE), "o_orderdate"), "o_orderkey", 1000)
 
 
+@query(
+    "SELECT CAST(rn AS BIGINT) AS rn, p_itempk FROM (SELECT p_itempk, row_number() OVER (ORDER BY p_itempk) - 1 AS rn "
+    "FROM mk WHERE p_table = 'orders') WHERE rn % 500 = 0"
+)
+def batch_markers_deletions(t):
+    return batches.batch_markers(delta.deletion_markers(t.mk, "orders"), "p_itempk", 500)
+
+
+@query(
+    "SELECT CAST(rn AS BIGINT) AS rn, itempk FROM (SELECT itempk, row_number() OVER (ORDER BY itempk) - 1 AS rn FROM lp "
+    "WHERE itempk IN (SELECT p_partkey FROM part WHERE p_partkey % 7 = 0)) WHERE rn % 100 = 0"
+)
+def batch_markers_localized(t):
+    return batches.batch_markers(delta.localized_delta(t.lp, t.part.filter("p_partkey % 7 = 0"), "itempk", "p_partkey"), "itempk", 100)
+
+
 @query("SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'events', count(*) FROM events")
 def row_counts(t):
     return delta.row_counts({n: getattr(t, n) for n in ("orders", "lineitem", "customer", "events")})
@@ -162,9 +189,15 @@ def partition_counts(t):
     return delta.counts_by(t.orders, "o_orderstatus")
 
 
-@query("SELECT coalesce(s.o_orderstatus, g.o_orderstatus) AS o_orderstatus, coalesce(s.n, 0) AS source_rows, coalesce(g.n, 0) AS target_rows, coalesce(s.n, 0) - coalesce(g.n, 0) AS difference FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1) s FULL JOIN (SELECT o_orderstatus, count(*) AS n FROM tgt GROUP BY 1) g ON s.o_orderstatus = g.o_orderstatus")
+@query(
+    "WITH s AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1), g AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM tgt GROUP BY 1) "
+    "SELECT coalesce(s.o_orderstatus, g.o_orderstatus) AS o_orderstatus, coalesce(s.n, 0) AS source_rows, coalesce(g.n, 0) AS target_rows, coalesce(s.n, 0) - coalesce(g.n, 0) AS difference "
+    "FROM s FULL JOIN g ON s.o_orderstatus IS NOT DISTINCT FROM g.o_orderstatus"
+)
 def reconcile_counts(t):
-    return delta.reconcile(t.orders, t.tgt, "o_orderstatus")
+    """One group is null."""
+    status = F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus")
+    return delta.reconcile(t.orders.select(status), t.tgt.select(status), "o_orderstatus")
 
 
 @query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -229,7 +262,7 @@ def view_inner_join(t):
 def view_left_join_typeinfo(t):
     info = t.nation.filter("n_nationkey < 12").select("n_nationkey", "n_name")
     keep = (F.col("n_name") != "FRANCE") | F.col("n_name").isNull() | (F.col("c_custkey") == 1)
-    return t.customer.join(F.broadcast(info), F.col("c_nationkey") == F.col("n_nationkey"), "left").filter(keep).select(*t.customer.columns)
+    return t.customer.join(info, F.col("c_nationkey") == F.col("n_nationkey"), "left").filter(keep).select(*t.customer.columns)
 
 
 @query("SELECT c_custkey, concat(c_custkey, '@x') AS c_name, upper(c_mktsegment) AS c_mktsegment FROM customer")
@@ -285,20 +318,35 @@ def full_sync(t):
     return jobs.full_sync(t.supplier, t.supplier.filter("s_suppkey % 2 = 0"))
 
 
-@query("SELECT * FROM supplier WHERE s_suppkey % 2 = 0")
+@query("SELECT * FROM supplier WHERE s_suppkey < 0")
 def full_sync_empty(t):
-    return jobs.full_sync(t.supplier.filter("s_suppkey < 0"), t.supplier.filter("s_suppkey % 2 = 0"), truncate=False)
+    """An empty source empties the target although truncation is excluded."""
+    return jobs.full_sync(t.supplier.filter("s_suppkey < 0"), t.supplier.filter("s_suppkey % 2 = 0"), excluded=True)
+
 
+@query("SELECT * FROM supplier UNION ALL SELECT * FROM supplier WHERE s_suppkey % 2 = 0")
+def full_sync_excluded(t):
+    return jobs.full_sync(t.supplier, t.supplier.filter("s_suppkey % 2 = 0"), excluded=True)
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+
+@query("SELECT o_orderkey, o_custkey, o_orderstatus, 0.5 * o_totalprice AS o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def truncate_load(t):
-    return jobs.full_sync(t.nation, t.nation.filter("n_nationkey < 5"), truncate=True)
+    """A full copy with rules, over a target with other rows, both written to Parquet and read back."""
+    from tablesync.sources.profile import Profile, read_table
+    from tablesync.sources.shared import new_folder
+
+    there = Profile(new_folder(t.spark, "target"))
+    wanted = lambda df: project.exclude_columns(df, ["o_orderdate", "o_orderpriority"]).filter("o_orderstatus <> 'P'").withColumn("o_totalprice", 0.5 * F.col("o_totalprice"))
+    jobs.run_full(t.spark, Profile(f"{t.sf_dir}"), there, ["orders"], truncate=False, rules={"orders": lambda df: df.select("o_orderkey")})
+    jobs.run_full(t.spark, Profile(f"{t.sf_dir}"), there, ["orders"], rules={"orders": wanted})
+    return read_table(t.spark, there, "orders")
 
 
 @query("SELECT DISTINCT lower(table_name) AS table_name FROM tcat WHERE lower(table_name) NOT IN (SELECT replace(lower(table_name), 'src_', 'tgt_') FROM cat WHERE row_count > 25)")
 def tables_to_clear(t):
+    """Names of tables differ in case, some come twice in different cases."""
     included = t.cat.filter("row_count > 25").select(F.replace(F.lower("table_name"), F.lit("src_"), F.lit("tgt_")).alias("table_name"))
-    return merge.tables_to_clear(t.tcat.distinct(), included)
+    return merge.tables_to_clear(t.tcat.union(t.tcat.select(F.upper("table_name"))), included)
 
 
 @query("SELECT DISTINCT p_itempk, p_table, changetype, min(ts) OVER (PARTITION BY p_itempk, p_table) AS modifiedts FROM (SELECT item_pk AS p_itempk, table_name AS p_table, 'DELETED' AS changetype, ts FROM chg JOIN tmap USING (typecode) WHERE change = 'REMOVE')", "capture_deletions")
@@ -334,8 +382,12 @@ def schema_rollup(t):
 
 @query("SELECT user_id % 100 AS migrationid, max(ts) AS last_update FROM events GROUP BY 1 HAVING max(ts) < (SELECT max(ts) FROM events) - INTERVAL 2 HOUR")
 def stalled_tasks(t):
-    now = t.events.agg(F.max("ts").alias("now")).first()["now"]
-    return ledger.stalled(t.tasks, ntz(str(now)), 7200)
+    return ledger.stalled(t.tasks, t.events.agg(F.max("ts")).scalar(), 7200)
+
+
+@query(f"SELECT r.migrationid, startat, last_update, coalesce(total, 0) AS total, coalesce(completed, 0) AS completed, coalesce(failed, 0) AS failed FROM runs r LEFT JOIN ({ROLL.replace('FROM tasks', 'FROM tasks WHERE user_id % 100 < 60')}) USING (migrationid)")
+def run_status(t):
+    return ledger.run_status(t.runs, t.tasks.filter("user_id % 100 < 60"))
 
 
 @query("SELECT event_type, round(CAST(sum(rows) AS DOUBLE) / sum(seconds), 6) AS average, round(min(CAST(rows AS DOUBLE) / seconds), 6) AS slowest, round(max(CAST(rows AS DOUBLE) / seconds), 6) AS fastest FROM bat GROUP BY event_type")
@@ -412,8 +464,15 @@ def list_tables(t):
 
 @query("SELECT * FROM cat WHERE lower(table_name) NOT IN ('src_props1', 'src_composedtypes1') AND (lower(table_name) LIKE 'src_tab1%' OR lower(table_name) = 'src_props7')")
 def table_filters(t):
-    wanted = [r[0] for r in t.cat.select("table_name").filter("lower(table_name) LIKE 'src_tab1%'").distinct().collect()]
-    return catalog.filter_tables(t.cat, include=[*wanted, "SRC_PROPS7", "src_props1"], exclude=["src_PROPS1", "src_composedtypes1"])
+    wanted = t.cat.select(F.upper("table_name").alias("table_name")).filter("table_name LIKE 'SRC_TAB1%' OR table_name IN ('SRC_PROPS7', 'SRC_PROPS1')")
+    return catalog.filter_tables(t.cat, include=wanted, exclude=["src_PROPS1", "src_composedtypes1"])
+
+
+@query("SELECT DISTINCT lower(table_name) AS table_name, lower(column_name) AS column_name FROM cols")
+def list_columns(t):
+    from tablesync.sources.profile import list_columns as listed
+
+    return listed(t.cols)
 
 
 def _common(prefix: str, suffix: str, relation: str) -> str:
@@ -426,10 +485,24 @@ def plan_items(t):
     return catalog.plan_items(catalog.candidates(t.cat, "src_", "1"), catalog.candidates(t.tcat, "tgt_", "2"))
 
 
-@query("SELECT DISTINCT table_name AS full_name FROM cat WHERE lower(table_name) NOT IN ('src_props7')")
+@query(
+    f"SELECT 'source' AS side, common_name, full_name FROM ({_common('src_', '1', 'cat')}) WHERE common_name NOT IN (SELECT common_name FROM ({_common('tgt_', '2', 'tcat')})) "
+    f"UNION ALL SELECT 'target', common_name, full_name FROM ({_common('tgt_', '2', 'tcat')}) WHERE common_name NOT IN (SELECT common_name FROM ({_common('src_', '1', 'cat')}))"
+)
+def schema_diff_both_ways(t):
+    return schema.table_difference(catalog.candidates(t.cat, "src_", "1"), catalog.candidates(t.tcat, "tgt_", "2"))
+
+
+@query(f"SELECT DISTINCT common_name FROM ({_common('src_', '1', 'cat')})")
+def align_tables(t):
+    return schema.align_tables(catalog.candidates(t.cat, "src_", "1"), catalog.candidates(t.tcat, "tgt_", "2"))
+
+
+@query(
+    "SELECT DISTINCT table_name AS full_name FROM cat WHERE lower(table_name) NOT IN ('src_props7', 'src_propsextra')"
+)
 def filter_candidates(t):
-    cands = t.cat.select(F.col("table_name").alias("full_name"), names.without_prefix(F.col("table_name"), "src_").alias("base_name")).distinct()
-    return catalog.filter_candidates(cands, "1").select("full_name")
+    return catalog.filter_candidates(catalog.candidates(t.cat, "src_", "1"), "src_", "1").select("full_name")
 
 
 @query("SELECT DISTINCT table_name, CASE WHEN lower(table_name) = 'src_composedtypes1' THEN 'tgt_composedtypes2' WHEN lower(table_name) = 'src_props1' THEN 'tgt_Props2' ELSE concat('tgt_', substr(table_name, 5)) END AS target_name FROM cat")
@@ -444,9 +517,14 @@ def view_names(t):
     return t.cat.select("table_name", v.alias("view_name"), names.table_of_view(v).alias("back")).distinct()
 
 
-@query("SELECT i.* FROM idx i JOIN (SELECT table_name, index_name FROM (SELECT table_name, index_name, row_number() OVER (PARTITION BY table_name ORDER BY count(*), index_name) AS rn FROM idx GROUP BY 1, 2) WHERE rn = 1) b USING (table_name, index_name)")
+@query(
+    "SELECT i.*, CAST(row_number() OVER (PARTITION BY table_name ORDER BY position) AS INTEGER) AS key_order FROM idx i JOIN "
+    "(SELECT table_name, index_name FROM (SELECT table_name, index_name, row_number() OVER (PARTITION BY table_name ORDER BY count(*), index_name) AS rn "
+    "FROM idx WHERE index_name IN ('ix1', 'ix3', 'ix5', 'ix7') GROUP BY 1, 2) WHERE rn = 1) b USING (table_name, index_name)"
+)
 def smallest_unique_key(t):
-    return catalog.smallest_unique_key(t.idx)
+    unique = F.col("index_name").isin("ix1", "ix3", "ix5", "ix7").alias("is_unique")
+    return catalog.smallest_unique_key(t.idx, t.idx.select("table_name", "index_name", unique).distinct())
 
 
 @query("SELECT table_name, row_count, CAST(CASE WHEN lower(table_name) = 'src_props1' THEN 0 WHEN lower(table_name) = 'src_composedtypes1' THEN 2 ELSE 1 END AS INTEGER) AS sort_group FROM cat")
@@ -459,6 +537,19 @@ def prefix_summary(t):
     return catalog.prefix_summary(t.cat, ["SRC_TAB1", "src_p"])
 
 
+@query(
+    "WITH s AS (SELECT DISTINCT replace(lower(table_name), 'src_', 'tgt_') AS n FROM cat), "
+    "g AS (SELECT DISTINCT concat(CASE WHEN lower(table_name) LIKE '%5' THEN 'mig_' ELSE '' END, lower(table_name)) AS m FROM tcat), "
+    "b AS (SELECT n, CAST(count(m) AS BIGINT) AS k, CASE WHEN bool_or(m LIKE 'mig_%') THEN 'staged' WHEN count(m) = 0 THEN 'missing' ELSE 'direct' END AS copied FROM s LEFT JOIN g ON replace(m, 'mig_', '') = n GROUP BY 1) "
+    "SELECT copied, count(*) AS n_source, CAST(sum(k) AS BIGINT) AS n_target FROM b GROUP BY 1"
+)
+def migration_summary(t):
+    name = F.lower("table_name")
+    source = t.cat.select(F.replace(name, F.lit("src_"), F.lit("tgt_")).alias("table_name"))
+    staged = t.tcat.select(F.concat(F.when(name.endswith("5"), "MIG_").otherwise(""), "table_name").alias("table_name"))
+    return catalog.migration_summary(source, staged, "mig_")
+
+
 @query("SELECT * FROM dep WHERE TypeSystemName = 'SYS1' AND Typecode IS NOT NULL AND TableName IS NOT NULL")
 def type_tables(t):
     return catalog.type_tables(t.dep, "SYS1")

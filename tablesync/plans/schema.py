@@ -13,6 +13,13 @@ def missing_tables(left: DataFrame, right: DataFrame) -> DataFrame:
     return names(left).join(names(right), "table_name", "left_anti")
 
 
+def table_difference(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(side, common_name, full_name): candidates of each side that the other lacks, by their common names,
+    that is after prefixes and type-system suffixes are taken off (``catalog.candidates``)."""
+    less = lambda side, a, b: a.join(b, "common_name", "left_anti").select(F.lit(side).alias("side"), "common_name", "full_name")
+    return less("source", left, right).union(less("target", right, left))
+
+
 def missing_columns(left: DataFrame, right: DataFrame) -> DataFrame:
     """Columns that ``right`` lacks in tables that both have; types are not compared."""
     names = lambda df: df.select(F.lower("table_name").alias("table_name"), F.lower("column_name").alias("column_name")).distinct()
@@ -24,6 +31,14 @@ def summary(missing: DataFrame) -> DataFrame:
     return missing.groupBy("table_name").agg(F.array_join(F.sort_array(F.collect_list("column_name")), ";").alias("columns"))
 
 
+def align_tables(left: DataFrame, right: DataFrame, add: bool = True, remove: bool = True) -> DataFrame:
+    """Tables (common_name) of the target's schema after alignment: its own, with the source's missing ones if
+    ``add``, without those that only it has if ``remove``."""
+    own, other = right.select("common_name").distinct(), left.select("common_name").distinct()
+    kept = own.join(other, "common_name", "left_semi") if remove else own
+    return kept.union(other.join(own, "common_name", "left_anti")) if add else kept
+
+
 def align_schema(df: DataFrame, target: T.StructType, add: bool = True, remove: bool = True) -> DataFrame:
     """The target's columns, missing ones as typed nulls; superfluous ones stay unless ``remove``."""
     own = {c.lower(): c for c in df.columns}

@@ -27,6 +27,9 @@ class Profile:
     def is_jdbc(self) -> bool:
         return self.url.startswith("jdbc:")
 
+    def path(self, name: str) -> str:
+        return f"{self.url.rstrip('/')}/{self.prefix}{name}.parquet"
+
     def jdbc_options(self) -> dict[str, str]:
         own = {"url": self.url, "fetchsize": str(self.fetch_size), **self.options}
         return own | ({"driver": self.driver} if self.driver else {})
@@ -44,7 +47,7 @@ def read_table(spark: SparkSession, profile: Profile, name: str) -> DataFrame:
     if profile.is_jdbc:
         df = spark.read.format("jdbc").options(**profile.jdbc_options(), dbtable=f"{profile.prefix}{name}").load()
     else:
-        df = spark.read.parquet(f"{profile.url.rstrip('/')}/{profile.prefix}{name}.parquet")
+        df = spark.read.parquet(profile.path(name))
     return default_conditions(df, name, profile.type_system)
 
 
@@ -74,6 +77,27 @@ def read_reports(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiLine", True).json(path).select("*", meta["file_name"].alias("file_name"), meta["file_modification_time"].alias("modified"))
 
 
+def read_catalogue(spark: SparkSession, profile: Profile) -> DataFrame:
+    """(table_name, column_name) of all tables with the profile's prefix; only names come to the driver."""
+    found: list[tuple[str, str]] = []
+    if profile.is_jdbc:
+        link = spark._jvm.java.sql.DriverManager.getConnection(profile.url)
+        try:
+            rows = link.getMetaData().getColumns(None, None, None, None)
+            while rows.next():
+                found.append((rows.getString("TABLE_NAME"), rows.getString("COLUMN_NAME")))
+        finally:
+            link.close()
+    else:
+        at = spark._jvm.org.apache.hadoop.fs.Path(profile.url)
+        for f in at.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(at):
+            name = f.getPath().getName()
+            if name.endswith(".parquet"):
+                found += [(name.removesuffix(".parquet"), c) for c in spark.read.parquet(f.getPath().toString()).columns]
+    own = [(t, c) for t, c in found if t.lower().startswith(profile.prefix.lower())]
+    return spark.createDataFrame(own, "table_name string, column_name string")
+
+
 def list_tables(catalogue: DataFrame) -> DataFrame:
     """Distinct lower-case names of ``table_name``, without those of the tool."""
     return catalogue.select(F.lower("table_name").alias("table_name")).filter(~F.col("table_name").startswith(HIDDEN_PREFIX)).distinct()

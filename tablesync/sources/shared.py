@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir``; where it is unset, a temporary folder on one machine and an error on a cluster."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table: lineage ends there, and all later reads see the same rows."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

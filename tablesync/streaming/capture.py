@@ -15,7 +15,7 @@ def capture_deletions(events: DataFrame, type_map: DataFrame) -> DataFrame:
     ``events``: item_pk, typecode, change, ts; ``type_map`` (few rows): typecode, table_name. A stream keeps
     one state row for each marker; give it a watermark and ``dropDuplicatesWithinWatermark`` to bound that.
     """
-    own = events.filter("change = 'REMOVE'").join(F.broadcast(type_map), "typecode")
+    own = events.filter("change = 'REMOVE'").join(type_map, "typecode")
     rows = own.select(F.col("item_pk").alias("p_itempk"), F.col("table_name").alias("p_table"), F.lit("DELETED").alias("changetype"), F.col("ts").alias("modifiedts"))
     if events.isStreaming:
         return rows.dropDuplicates(["p_itempk", "p_table"])

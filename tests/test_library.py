@@ -117,6 +117,57 @@ def test_jobs_and_marks():
         jobs.next_mark(None, "n", [])
 
 
+def test_names_that_differ_in_case_and_groups_of_null(spark):
+    t = spark.createDataFrame([("Orders",), ("ORDERS",), ("parts",)], "table_name string")
+    assert rows(merge.tables_to_clear(t, spark.createDataFrame([("orders",)], "table_name string"))) == [("parts",)]
+    own = spark.createDataFrame([(None,), ("a",)], "g string")
+    assert rows(delta.reconcile(own, own, "g")) == rows(spark.createDataFrame([(None, 1, 1, 0), ("a", 1, 1, 0)], "g string, s long, t long, d long"))
+    names = spark.createDataFrame([(f"src_{n}",) for n in ("props1", "Props2", "propsExtra", "maptypessn", "props1lp", "tab2")], "table_name string")
+    kept = catalog.filter_candidates(catalog.candidates(names, "src_", "1"), "src_", "1")
+    assert {r["full_name"] for r in kept.collect()} == {"src_props1", "src_maptypessn", "src_props1lp", "src_tab2"}
+    one, two = catalog.candidates(names, "src_", "1"), catalog.candidates(names.filter("table_name <> 'src_tab2'"), "src_", "1")
+    with pytest.raises(Exception, match="no target table for src_tab2"):
+        catalog.plan_items(one, two, spark.createDataFrame([("TAB2",)], "table_name string")).collect()
+
+
+def test_full_and_incremental_runs_write(spark, tmp_path):
+    from tablesync.sources.profile import read_catalogue
+
+    here, there = Profile(str(tmp_path / "s"), prefix="s_"), Profile(str(tmp_path / "t"))
+    put = lambda p, n, data, schema: spark.createDataFrame(data, schema).write.mode("overwrite").parquet(p.path(n))
+    put(here, "item", [(1, "a", 1), (2, "b", 1), (3, "c", 1)], "pk long, v string, modifiedts long")
+    put(here, "itemlp", [(1, "en", "x"), (2, "en", "y")], "itempk long, langpk string, w string")
+    put(here, "none", [], "pk long, v string")
+    put(there, "none", [(9, "old")], "pk long, v string")
+    put(there, "item", [(9, "old", 0)], "pk long, v string, modifiedts long")
+    out = jobs.run_full(spark, here, there, ["item", "itemlp", "none", "lost"], excluded=("ITEM", "none"))
+    assert [t for t, e in out if e] == ["lost"]
+    assert rows(read_table(spark, there, "item").select("pk")) == [(1,), (2,), (3,), (9,)] and read_table(spark, there, "none").count() == 0
+    assert [t for t, _ in jobs.run_full(spark, here, there, ["item", "itemlp"], done=("Item",))] == ["itemlp"]
+    put(here, "item", [(1, "a", 1), (2, "B", 5), (4, "d", 6)], "pk long, v string, modifiedts long")
+    put(here, "itemlp", [(1, "en", "not changed"), (2, "en", "Y"), (4, "de", "z")], "itempk long, langpk string, w string")
+    markers = spark.createDataFrame([(3, "item", 4), (9, "item", 1)], "p_itempk long, p_table string, modifiedts long")
+    tables = {"item": ["pk"], "itemlp": ["itempk", "langpk"]}
+    run = lambda mark, names: jobs.run_incremental(spark, here, there, names, mark, "7", markers, as_time=lambda m: F.lit(int(m)))
+    for mark in ("2", "2"):
+        new, out = run(mark, tables)
+        assert new == "7" and not any(e for _, e in out)
+        assert rows(read_table(spark, there, "item").select("pk", "v")) == [(1, "a"), (2, "B"), (4, "d"), (9, "old")]
+        assert rows(read_table(spark, there, "itemlp")) == [(1, "en", "x"), (2, "en", "Y"), (4, "de", "z")]
+    assert run("2", tables | {"lost": ["pk"]})[0] == "2"
+    with pytest.raises(ValueError):
+        run(None, tables)
+    listed = {tuple(r) for r in read_catalogue(spark, here).collect()}
+    assert ("s_item", "pk") in listed and ("s_itemlp", "w") in listed
+
+
+def test_ranks_of_one_hot_key(spark):
+    df = spark.range(3000).select(F.when(F.col("id") < 2500, 7).otherwise(F.col("id")).alias("k"))
+    assert sorted(r["rn"] for r in batches.global_rank(df, ["k"]).collect()) == list(range(3000))
+    got = {(r["k"], r["batch_id"]) for r in batches.key_range_batches(df, "k", 100).collect()}
+    assert (7, 24) in got and len({b for k, b in got if k == 7}) == 1 and (2999, 29) in got
+
+
 def test_report_round_trip(spark, tmp_path):
     from tablesync.sources.profile import read_reports
 
