@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one only where none is set (tests, one machine)."""
+    """The folder in ``spark.checkpoint.dir``; where it is unset, a temporary one on one machine, an error on a cluster."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -85,24 +87,6 @@ def runs(key: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
 
 
-def forest(a: np.ndarray, b: np.ndarray, known: dict | None = None) -> list[tuple[int, int]]:
-    """Of the links (a, b), those that join two parts that earlier ones left apart."""
-    up = {} if known is None else known
-    kept = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        r, s = x, y
-        while (p := up.get(r, r)) != r:
-            up[r] = up.get(p, p)
-            r = p
-        while (p := up.get(s, s)) != s:
-            up[s] = up.get(p, p)
-            s = p
-        if r != s:
-            up[max(r, s)] = min(r, s)
-            kept.append((x, y))
-    return kept
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of the nodes of ``edges`` (a, b long); component: the least node reachable.
 
