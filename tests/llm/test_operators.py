@@ -68,14 +68,77 @@ def test_pitman_yor_edges(spark, docs):
     assert pitman_yor.score(docs.limit(0), "true").count() == 0
 
 
-def test_seating_follows_the_restaurant():
-    rng = np.random.default_rng(1)
-    few, many = pitman_yor.seat(rng, np.array([0, 1, 5]), np.ones(3), 0.5), pitman_yor.seat(rng, np.full(4000, 3), np.full(4000, 1.0), 0.5)
-    assert few[0] == 0 and few[1] == 1 and 1 <= few[2] <= 5
-    # second customer opens a table with 1 / 1.5; the third with 1 / (3 - d t), by t
-    second = 1 / 1.5
-    expect = 1 + second + second * (1 / (1 + 2 - 0.5 * 2)) + (1 - second) * (1 / (1 + 2 - 0.5))
-    assert abs(many.mean() - expect) < 0.05
+def _tables_posterior(n, alpha, discount):
+    """Exact distribution of the number of tables of n customers, from all ways to seat them one by one."""
+    weight = {1: 1.0}
+    for i in range(1, n):
+        grown = Counter()
+        for t, w in weight.items():
+            grown[t + 1] += w * alpha
+            grown[t] += w * (i - discount * t)
+        weight = {t: w / sum(grown.values()) for t, w in grown.items()}
+    return weight
+
+
+@pytest.mark.parametrize("n,alpha,discount", [(2, 0.3, 0.5), (5, 1.7, 0.2), (12, 0.05, 0.8), (200, 0.01, 0.8)])
+def test_reseating_keeps_the_exact_posterior(n, alpha, discount):
+    rng = np.random.default_rng(n)
+    seats = pitman_yor.Seats(np.full(3000, n))
+    seen, states = Counter(), 0
+    for k in range(60 * n if n < 20 else 1500):
+        seats.reseat(rng, np.full(3000, alpha), discount)
+        assert k or (np.add.reduceat(seats.sizes, np.cumsum(seats.t) - seats.t) == n).all()
+        if k >= (20 * n if n < 20 else 500) and k % 10 == 0:
+            seen.update(seats.t.tolist())
+            states += 3000
+    expect = _tables_posterior(n, alpha, discount)
+    assert abs(sum(t * c for t, c in seen.items()) / states - sum(t * p for t, p in expect.items())) < 0.02
+    assert all(abs(seen[t] / states - p) < 0.02 for t, p in expect.items())
+
+
+def test_lgamma():
+    z = np.array([1e-3, 0.3, 1.0, 2.5, 7.99, 8.0, 40.0, 1e6])
+    assert np.allclose(pitman_yor.lgamma(z), [math.lgamma(x) for x in z], rtol=1e-12, atol=1e-8)
+
+
+def test_pitman_yor_score_against_plain_loops(spark, monkeypatch):
+    """The first state, where each word has one table in each context, so that all but the draws can be counted."""
+    monkeypatch.setattr(pitman_yor, "bucket_count", lambda *_: 1)
+    texts = ["a b c a", "b c d", "a b", None, "e a b c a b c d d d", "d a"]
+    learn, new = [(i, t) for i, t in enumerate(texts)], [(100, "a b unknown c"), (101, "c e"), (102, "")]
+    df = spark.createDataFrame(learn + new, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in df.select("doc_id", pitman_yor.row_key().alias("row_key")).join(pitman_yor.score(df, "doc_id < 100", burn_in=0, samples=1), "row_key").collect()}
+    end = "</end>"
+    pairs = lambda t: list(zip([end, *words(t)], [*words(t), end]))
+    n = Counter(p for _, t in learn for p in pairs(t))
+    c, tables, customers = Counter(), Counter(), Counter()
+    for (u, w), k in n.items():
+        c[u] += k
+        tables[u] += 1
+        customers[w] += 1
+    vocabulary = sorted({*c} - {end})
+    prints = dict(zip(vocabulary, (int(pitman_yor.Words([w.encode()]).hashes(lower=True)[0]) for w in vocabulary))) | {end: int(pitman_yor.END)}
+    order = sorted(prints, key=prints.get)
+    context = {w: pitman_yor.FREQUENT + i for i, w in enumerate(order)}
+    by = lambda counts: np.array([counts.get(k, 0) for k in range(pitman_yor.CONTEXTS)])
+    estimate = lambda values: pitman_yor.discount(sum(v == 1 for v in values), sum(v == 2 for v in values))
+    root, leaf = estimate(customers.values()), estimate(n.values())
+    # words of the texts to score stand in the bucket too, in the order of their fingerprints, with no customers
+    every = sorted([*prints.values(), int(pitman_yor.Words([b"unknown"]).hashes(lower=True)[0])])
+    name = {v: k for k, v in prints.items()}
+    drawn = np.random.default_rng((22, 0, 0)).gamma(np.maximum([customers[name.get(h)] - root for h in every], 1e-9))
+    mass = {name[h]: m for h, m in zip(every, drawn) if h in name}
+    g = pitman_yor.State(0, by({context[u]: k for u, k in c.items()}), by({context[u]: k for u, k in tables.items()}), sum(mass.values()), len(prints), (root, leaf))
+    for i, t in learn + new:
+        total = 0.0
+        for u, w in pairs(t):
+            own = mass.get(w, g.rest) / (sum(mass.values()) + g.rest)
+            total += math.log10((max(n[u, w] - leaf, 0) + (g.strength + leaf * tables[u]) * own) / (g.strength + c[u]))
+        assert math.isclose(got[i], total, rel_tol=1e-9), i
+    # in each context, the probabilities of all words and of the unknown one are a whole
+    for u in order:
+        whole = sum((max(n[u, w] - leaf, 0) + (g.strength + leaf * tables[u]) * mass[w] / g.norm) / (g.strength + c[u]) for w in order)
+        assert math.isclose(whole + (g.strength + leaf * tables[u]) * g.rest / g.norm / (g.strength + c[u]), 1)
 
 
 def test_chat_edges_and_round_trip(spark):
