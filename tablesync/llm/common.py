@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,9 +57,21 @@ def bucket_count(df: DataFrame, text: str = "text", bytes_each: int = 8 << 20) -
 
 
 def group_count(df: DataFrame, text: str = "text", bytes_each: int = 8 << 20) -> int:
-    """Groups of a packed shuffle: one a shuffle partition, more where ``bytes_each`` of text would be passed."""
+    """Groups of a packed shuffle: one for each ``bytes_each`` of text, two a core at least."""
     total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // bytes_each))
+    return max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-total // bytes_each))
+
+
+@contextmanager
+def short_batches(spark: SparkSession, rows: int = 2) -> Iterator[None]:
+    """Inside, Arrow batches hold few rows: for tables whose rows are packed and take megabytes each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def crc_mod(column: str, m: int) -> Column:

@@ -9,8 +9,9 @@ nodes of one text, taken together, give the maximal repeats (``repeats``).
 
 Counts are kept in ``1 << COUNTER_BITS`` hashed counters a length: a collision makes a prefix longer than needed
 and changes nothing else, as equal suffixes always have equal prefixes. Nodes above the depth asked for decide
-nothing and are not drawn. Suffixes are compared by fingerprints of all their ``window`` words, of 96 bits:
-with n suffixes, two unlike ones are taken for equal with a probability of about n**2 / 2**97.
+nothing and are not drawn. Suffixes are compared inside their group, by fingerprints of all their ``window``
+words, of 64 bits; groups follow from others, drawn apart. So of n suffixes in g groups, about n**2 / (2**65 g)
+pairs of unlike ones are taken for equal: with about a million in a group, one pair in 4e13 suffixes (100 TB).
 
 A block of documents sorts its own suffixes first and sends the first of each node only; the others are later
 ones already. So a passage adds one suffix a block to its group, however often it occurs.
@@ -146,22 +147,21 @@ def _suffixes(window: int, groups: int, heavy: np.ndarray):
             if not len(s.at):
                 continue
             h = grams(s.h, window)[s.at]
-            group = groups_of(s, h, heavy, groups)
-            e = (grams(mix(s.h ^ SECOND), window)[s.at] >> np.uint64(32)).astype(np.uint32)
-            by = np.lexsort((e, h))
+            group = groups_of(s, grams(mix(s.h ^ SECOND), window)[s.at], heavy, groups)
+            by = np.lexsort((h, group))
             first = np.ones(len(by), bool)
-            first[by[1:]] = (h[by][1:] != h[by][:-1]) | (e[by][1:] != e[by][:-1])
+            first[by[1:]] = (h[by][1:] != h[by][:-1]) | (group[by][1:] != group[by][:-1])
             by = np.lexsort((~first, group))
             cut = runs(group[by] * 2 + first[by])
             for i, j in zip(cut, [*cut[1:], len(by)]):
                 at = by[i:j]
-                prints = h[at].tobytes() + e[at].tobytes() if first[at[0]] else None
+                prints = h[at].tobytes() if first[at[0]] else None
                 yield pa.RecordBatch.from_pydict({"grp": [int(group[at[0]])], "first": [prints], "places": [_places(s, at)]}, schema=schema)
 
     return run
 
 
-def later(h: np.ndarray, e: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
+def later(h: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: np.ndarray) -> np.ndarray:
     """Places in the arrays of the suffixes whose node has another one that starts earlier."""
     by = np.argsort(h)
     same = np.zeros(len(h), bool)
@@ -169,8 +169,8 @@ def later(h: np.ndarray, e: np.ndarray, doc: np.ndarray, row: np.ndarray, pos: n
     same[1:] |= equal
     same[:-1] |= equal
     by = by[same]
-    by = by[np.lexsort((pos[by], row[by], doc[by], e[by], h[by]))]
-    node = runs(np.concatenate(([0], np.cumsum((np.diff(h[by]) != 0) | (np.diff(e[by]) != 0)))) if len(by) else by)
+    by = by[np.lexsort((pos[by], row[by], doc[by], h[by]))]
+    node = runs(h[by])
     first = np.repeat(by[node], np.diff(node, append=len(by)))
     return by[(doc[by] != doc[first]) | (row[by] != row[first]) | (pos[by] != pos[first])]
 
@@ -189,10 +189,9 @@ def _nodes(parts: int):
                 others.append(places)
         row = pos = np.zeros(0, np.int64)
         if firsts:
-            h = np.concatenate([np.frombuffer(b, np.uint64, len(p[0])) for b, p in zip(prints, firsts)])
-            e = np.concatenate([np.frombuffer(b, np.uint32, len(p[0]), 8 * len(p[0])) for b, p in zip(prints, firsts)])
+            h = np.concatenate([np.frombuffer(b, np.uint64) for b in prints])
             doc, row, pos = (np.concatenate(x) for x in zip(*firsts))
-            at = later(h, e, doc, row, pos)
+            at = later(h, doc, row, pos)
             row, pos = row[at], pos[at]
         row, pos = np.concatenate([row, *(x[1] for x in others)]), np.concatenate([pos, *(x[2] for x in others)])
         part = (row.view(np.uint64) % np.uint64(parts)).astype(np.int64)

@@ -103,7 +103,7 @@ def test_lgamma():
 
 def test_pitman_yor_score_against_plain_loops(spark, monkeypatch):
     """The first state, where each word has one table in each context, so that all but the draws can be counted."""
-    monkeypatch.setattr(pitman_yor, "bucket_count", lambda *_: 1)
+    monkeypatch.setattr(pitman_yor, "group_count", lambda *_: 1)
     texts = ["a b c a", "b c d", "a b", None, "e a b c a b c d d d", "d a"]
     learn, new = [(i, t) for i, t in enumerate(texts)], [(100, "a b unknown c"), (101, "c e"), (102, "")]
     df = spark.createDataFrame(learn + new, "doc_id long, text string")
@@ -393,7 +393,7 @@ def test_substring_dedup_sends_a_hot_passage_once_a_block():
     batch = pa.RecordBatch.from_pydict({"id": list(range(3000)), "key": list(range(3000)), "text": [passage] * 3000})
     heavy = np.zeros((len(substring_dedup.LENGTHS), 1 << substring_dedup.COUNTER_BITS), bool)
     sent = [r for b in substring_dedup._suffixes(20, 4, heavy)(iter([batch])) for r in b.to_pylist()]
-    assert sum(len(r["first"]) // 12 for r in sent if r["first"]) == 31
+    assert sum(len(r["first"]) // 8 for r in sent if r["first"]) == 31
     places = [substring_dedup._read_places(r["places"]) for r in sent]
     assert sum(len(p[0]) for p in places) == 31 * 3000 and {(int(a), int(c)) for p in places for a, _, c in zip(*p)} == {(d, j) for d in range(3000) for j in range(31)}
     # where every shorter prefix is heavy, all words decide; where none is, the first one does
