@@ -11,10 +11,10 @@ counters; they only order a set's grams (ties by gram), so collisions cost time,
 
 Documents with equal sets are one node. Within a list, a first round tests each node with one leader only, a
 second one with ``LEADERS`` others that lie in other components so far; pairs that these join are never
-formed, so a tight group of near copies costs about its size, not its square. All remaining pairs of different
-components are then compared, in blocks of bounded size, by parity signatures: the bits in which two differ are
-no more than the grams that only one set has, so the test never loses a link. What passes is verified. No
-pair is capped.
+formed, so a tight group of near copies costs about its size, not its square. Clusters that still hold several
+components are then searched whole, in blocks of bounded size: each node asks the block's inverted lists
+(``Lists.search``), merging its short ones, probing its long ones, for nodes of other components. A block
+returns no more links than join its components. No pair is capped.
 
 A gram is a 64-bit fingerprint, and so is a set (with its size): sets of n documents are mistaken for equal
 with a probability of about n**2 / 2**65.
@@ -40,8 +40,7 @@ FREQ_BITS = 20
 BLOCK = 8 << 20
 CHUNKS = 64
 LEADERS = 12
-SIGN_BITS = 2048
-SPLIT = 2048
+SPLIT = 1024
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -191,46 +190,76 @@ def _verify(num: int, den: int):
 
 
 def _sets(n: int):
-    """Each node's sorted set, and for every bit whether an odd number of its grams fall on it."""
+    """Each node's sorted set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for node, texts in _blocks(batches):
             g, first = gram_sets(texts, n)
-            each = [g[i:j] for i, j in zip(first[:-1], first[1:])]
-            sign = [np.packbits((np.bincount((x % np.uint64(SIGN_BITS)).astype(np.int64), minlength=SIGN_BITS) & 1).astype(np.uint8)).tobytes() for x in each]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([x.tobytes() for x in each], pa.binary()), pa.array(sign, pa.binary())], names=["node", "grams", "sign"])
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([g[i:j].tobytes() for i, j in zip(first[:-1], first[1:])], pa.binary())], names=["node", "grams"])
 
     return run
 
 
-def _cross(num: int, den: int, leaders: int | None = None):
-    """Between two blocks of a cluster (or in one): pairs of different components that may be links.
-
-    ``leaders``: only pairs with one of so many nodes, those least by a hash.
+class Lists:
+    """Inverted lists of some sets: ``keys`` holds (list, set) as one number, sorted."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n, self.size = len(sets), np.array([len(x) for x in sets], np.int64)
+        g, own = np.concatenate(sets), np.repeat(np.arange(self.n), self.size)
+        by = np.lexsort((own, g))
+        new = np.concatenate(([True], g[by][1:] != g[by][:-1]))
+        number = np.cumsum(new) - 1
+        self.sets, self.start = own[by], np.flatnonzero(new)
+        self.length = np.diff(self.start, append=len(g))
+        self.keys = number * self.n + self.sets
+        of = np.empty(len(g), np.int64)
+        of[by] = number
+        self.of = np.split(of, np.cumsum(self.size)[:-1])
+
+    def search(self, i: int, num: int, den: int, wanted: np.ndarray) -> np.ndarray:
+        """Of the sets ``wanted`` (a mask), those that reach the Jaccard with set ``i``, by DivideSkip.
+
+        Set i shares T grams with each. Its short lists are merged and their occurrences counted; sets that
+        reach T less the number of long lists are looked up in these by binary search.
+        """
+        size, lists = int(self.size[i]), self.of[i]
+        t = -(-num * size // den)
+        lists = lists[np.argsort(self.length[lists], kind="stable")]
+        short, long = lists[: 2 * (size - t) + 1], lists[2 * (size - t) + 1 :]
+        many = self.length[short]
+        at = np.repeat(self.start[short] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+        count = np.bincount(self.sets[at], minlength=self.n)
+        found = np.flatnonzero((count >= max(t - len(long), 1)) & wanted & (den * np.minimum(self.size, size) >= num * np.maximum(self.size, size)))
+        hit = count[found]
+        if len(long) and len(found):
+            probe = long[:, None] * self.n + found[None]
+            hit = hit + (self.keys[np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)] == probe).sum(0)
+        return found[den * hit >= num * (size + self.size[found] - hit)]
+
+
+def _search(num: int, den: int, leaders: int | None):
+    """Between two blocks of a cluster (or in one): links that join components, which at most join all its nodes.
+
+    ``leaders``: only links of so many nodes, those least by a hash.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        node, size, comp, part = (table.column(c).to_numpy() for c in ("node", "size", "component", "part"))
-        sign = np.frombuffer(b"".join(table.column("sign").to_pylist()), np.uint64).reshape(len(node), -1)
-        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        rank = np.argsort(np.argsort(mix(node.view(np.uint64))))
-        by = np.argsort(size, kind="stable")
-        node, size, comp, part, sign, rank = node[by], size[by], comp[by], part[by], sign[by], rank[by]
-        left, right = [], []
-        for i in range(len(node)):
-            j = int(np.searchsorted(size, size[i] * den // num, "right"))
-            apart = comp[i + 1 : j] != comp[i]
-            if low != high:
-                apart &= part[i + 1 : j] != part[i]
-            if leaders is not None and rank[i] >= leaders:
-                apart &= rank[i + 1 : j] < leaders
-            at = i + 1 + np.flatnonzero(apart)
-            differ = np.bitwise_count(sign[at] ^ sign[i]).sum(1, dtype=np.int64)
-            at = at[differ * (den + num) <= (size[at] + size[i]) * (den - num)]
-            left.append(np.full(len(at), node[i]))
-            right.append(node[at])
-        a, b = np.concatenate(left), np.concatenate(right)
-        return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
+        node, comp, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
+        comp, same = comp.copy(), table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        lists = Lists([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")])
+        asks = np.argsort(mix(node.view(np.uint64)))[:leaders]
+        a, b = [], []
+        for i in asks:
+            wanted = comp != comp[i]
+            if not same:
+                wanted &= part != part[i]
+            for j in lists.search(i, num, den, wanted) if wanted.any() else ():
+                if comp[j] != comp[i]:
+                    a.append(node[i])
+                    b.append(node[j])
+                    comp[comp == comp[j]] = comp[i]
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
@@ -266,7 +295,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     wanted = lists.select("node").distinct()
     one = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("row_key").alias("row_key"))
     texts = keyed.select("row_key", "text").join(one, "row_key").select("node", "text")
-    sets = materialise(texts.mapInArrow(_sets(n), "node long, grams binary, sign binary").dropDuplicates(["node"]), "sets")
+    sets = materialise(texts.mapInArrow(_sets(n), "node long, grams binary").dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         x, y = sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), sets.select(F.col("node").alias("b"), F.col("grams").alias("y"))
@@ -277,19 +306,16 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     seen = lists.join(lead, "list").filter(fits).withColumn("low_size", F.least("size", "lead_size")).select("a", F.col("node").alias("b"), "low_size", "weight")
     often = lambda pairs: pairs.groupBy("a", "b", "low_size").agg(F.sum("weight").alias("have")).filter(F.col("have") >= need("low_size")).select("a", "b")
     stars = materialise(often(seen), "stars")
-    links, tried = verified(stars), stars
+    links = verified(stars)
     # nodes that share a list share its leader's cluster; a large cluster is compared block by block
-    clusters = lists.join(lead.select("list", F.col("a").alias("lead")), "list").select("lead", "node", "size").distinct()
-    clusters = materialise(clusters.join(sets.select("node", "sign"), "node"), "clusters")
+    clusters = materialise(lists.join(lead.select("list", F.col("a").alias("lead")), "list").select("lead", "node").distinct(), "clusters")
     for leaders in (LEADERS, None):
         labels = components(links)
         tagged = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = tagged.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).filter("lo <> hi").select("lead", "parts")
         dealt = tagged.join(mixed, "lead").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        blocks = dealt.select("lead", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "size", "component", "sign")
-        pairs = blocks.groupBy("lead", "low", "high").applyInArrow(_cross(num, den, leaders), "a long, b long").distinct()
-        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links, tried = links.union(verified(new)), tried.union(new)
+        blocks = dealt.join(sets, "node").select("lead", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "component", "grams")
+        links = links.union(materialise(blocks.groupBy("lead", "low", "high").applyInArrow(_search(num, den, leaders), "a long, b long"), "links"))
     labels = components(links)
 
     joined = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
