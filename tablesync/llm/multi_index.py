@@ -22,6 +22,7 @@ never compared. Rows with the same id are one node of the components. Other colu
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,6 +68,25 @@ def _squares(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (x * x).sum(1)[:, None] + (c * c).sum(1)[None] - 2 * x @ c.T
 
 
+def traverse(a: list[float], b: list[float], reach: float) -> list[tuple[int, int]]:
+    """Places (i, j) of two sorted lists by growing a[i] + b[j], up to ``reach``.
+
+    A place waits until both places before it are done, so few wait at a time.
+    """
+    out: list[tuple[int, int]] = []
+    done = [-1] * len(a)  # the last j done in each row
+    waiting = [(a[0] + b[0], 0, 0)]
+    while waiting and waiting[0][0] <= reach:
+        _, i, j = heapq.heappop(waiting)
+        out.append((i, j))
+        done[i] = j
+        if i + 1 < len(a) and (j == 0 or done[i + 1] >= j - 1) and done[i + 1] < j:
+            heapq.heappush(waiting, (a[i + 1] + b[j], i + 1, j))
+        if j + 1 < len(b) and (i == 0 or done[i - 1] >= j + 1):
+            heapq.heappush(waiting, (a[i] + b[j + 1], i, j + 1))
+    return out
+
+
 class Grid:
     """Two codebooks, and how far traversal goes: cells of a squared distance of at least ``reach`` are left out."""
 
@@ -91,14 +111,11 @@ class Grid:
         return own, least
 
     def cells(self, own: list[np.ndarray], least: list[np.ndarray], row: int) -> tuple[np.ndarray, np.ndarray]:
-        """Cells that a vector visits, nearest first: its codes sorted in each half, sums walked in order."""
+        """Cells that a vector visits, nearest first, by multi-sequence traversal; it ends at ``reach``."""
         a, b = least[0][row], least[1][row]
         i, j = np.argsort(a, kind="stable"), np.argsort(b, kind="stable")
-        i, j = i[a[i] <= self.reach], j[b[j] <= self.reach]
-        total = a[i][:, None] + b[j][None]
-        x, y = np.nonzero(total <= self.reach)
-        order = np.argsort(total[x, y], kind="stable")
-        i, j = i[x[order]], j[y[order]]
+        steps = np.array(traverse(a[i].tolist(), b[j].tolist(), self.reach), np.int64).reshape(-1, 2)
+        i, j = i[steps[:, 0]], j[steps[:, 1]]
         cell, mine = i * len(self.codes[1]) + j, own[0][row] * len(self.codes[1]) + own[1][row]
         # of two cells one visits the other: the higher number where their sum is even, else the lower
         take = (cell == mine) | ((cell < mine) == ((cell + mine) % 2 == 0))

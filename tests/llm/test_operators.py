@@ -185,6 +185,17 @@ def test_near_duplicate_vectors_edges(spark):
     assert multi_index.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
 
 
+def test_multi_sequence_traversal():
+    rng = np.random.default_rng(2)
+    for m, n in ((1, 1), (1, 9), (9, 1), (8, 11), (16, 16)):
+        a, b = np.sort(np.round(rng.random(m), 1)), np.sort(np.round(rng.random(n), 1))
+        for reach in (-1.0, 0.5, 1.1, 9.0):
+            got = multi_index.traverse(a.tolist(), b.tolist(), reach)
+            assert len(got) == len(set(got)) and set(got) == set(zip(*map(np.ndarray.tolist, np.nonzero(a[:, None] + b[None] <= reach))))
+            sums = [a[i] + b[j] for i, j in got]
+            assert sums == sorted(sums)
+
+
 def test_near_duplicate_vectors_all_rare_links(spark):
     """Links just over the bound, too few for a sample of vectors to hold one."""
     rng = np.random.default_rng(11)
