@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: five stages, each written as Parquet and read by the next.
 
 Every stage works on all rows that its predecessor kept. No SQL can express the whole (a learned language
-model, a tokenizer), so ``ORACLE_SQL`` is None; the tests hold ``run`` against a brute-force version.
+model, a tokenizer), so ``ORACLE_SQL`` is None; the tests hold the documents that ``run`` keeps against a brute-force
+version, and each stage's operator against one of its own.
 """
 
 from __future__ import annotations
