@@ -9,12 +9,11 @@ the partner's sorted set (the long lists) with binary search.
 Which lists are long is told by document frequencies over all documents, kept in ``1 << FREQ_BITS`` hashed
 counters; they only order a set's grams (ties by gram), so collisions cost time, never links.
 
-Documents with equal sets are one node. Within a list, a first round tests each node with one leader only, a
-second one with ``LEADERS`` others that lie in other components so far; pairs that these join are never
-formed, so a tight group of near copies costs about its size, not its square. Clusters that still hold several
-components are then searched whole, in blocks of bounded size: each node asks the block's inverted lists
-(``Lists.search``), merging its short ones, probing its long ones, for nodes of other components. A block
-returns no more links than join its components. No pair is capped.
+Documents with equal sets are one node. Within a list, a first round tests each node with one leader only; pairs
+that these links join are never formed, so a tight group of near copies costs about its size, not its square.
+Clusters that still hold several components are then searched whole, in blocks of a bounded number of grams: each
+node asks the block's inverted lists (``Lists.search``), merging its short ones, probing its long ones, for
+nodes of other components. A block returns no more links than join its components. No pair is capped.
 
 A gram is a 64-bit fingerprint, and so is a set (with its size): sets of n documents are mistaken for equal
 with a probability of about n**2 / 2**65.
@@ -39,8 +38,7 @@ from tablesync.llm.words import Words, grams, inside, mix
 FREQ_BITS = 20
 BLOCK = 8 << 20
 CHUNKS = 64
-LEADERS = 12
-SPLIT = 1024
+PART_GRAMS = 1 << 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -237,19 +235,15 @@ class Lists:
         return found[den * hit >= num * (size + self.size[found] - hit)]
 
 
-def _search(num: int, den: int, leaders: int | None):
-    """Between two blocks of a cluster (or in one): links that join components, which at most join all its nodes.
-
-    ``leaders``: only links of so many nodes, those least by a hash.
-    """
+def _search(num: int, den: int):
+    """Between two parts of a cluster (or in one): links that join components, which at most join all its nodes."""
 
     def run(table: pa.Table) -> pa.Table:
         node, comp, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
         comp, same = comp.copy(), table.column("low")[0].as_py() == table.column("high")[0].as_py()
         lists = Lists([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")])
-        asks = np.argsort(mix(node.view(np.uint64)))[:leaders]
         a, b = [], []
-        for i in asks:
+        for i in range(len(node)):
             wanted = comp != comp[i]
             if not same:
                 wanted &= part != part[i]
@@ -308,14 +302,12 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     stars = materialise(often(seen), "stars")
     links = verified(stars)
     # nodes that share a list share its leader's cluster; a large cluster is compared block by block
-    clusters = materialise(lists.join(lead.select("list", F.col("a").alias("lead")), "list").select("lead", "node").distinct(), "clusters")
-    for leaders in (LEADERS, None):
-        labels = components(links)
-        tagged = clusters.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = tagged.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.count("*") / SPLIT).cast("int").alias("parts")).filter("lo <> hi").select("lead", "parts")
-        dealt = tagged.join(mixed, "lead").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        blocks = dealt.join(sets, "node").select("lead", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "component", "grams")
-        links = links.union(materialise(blocks.groupBy("lead", "low", "high").applyInArrow(_search(num, den, leaders), "a long, b long"), "links"))
+    clusters = materialise(lists.join(lead.select("list", F.col("a").alias("lead")), "list").select("lead", "node", "size").distinct(), "clusters")
+    tagged = clusters.join(components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = tagged.groupBy("lead").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.ceil(F.sum("size") / PART_GRAMS).cast("int").alias("parts")).filter("lo <> hi").select("lead", "parts")
+    dealt = tagged.join(mixed, "lead").withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    blocks = dealt.join(sets, "node").select("lead", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "node", "component", "grams")
+    links = links.union(materialise(blocks.groupBy("lead", "low", "high").applyInArrow(_search(num, den), "a long, b long"), "links"))
     labels = components(links)
 
     joined = rows.join(labels, "node", "left").select("row_key", "size", F.coalesce("component", "node").alias("component"))
