@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import crc_mod, named, numbered, place
+from tablesync.llm.common import added, crc_mod, named, numbered, place
 
 BUCKETS = 1 << 16
 CHUNKS = 16
@@ -236,7 +236,7 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     languages = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    got = rows.mapInArrow(_count(languages), "lang int, chunk int, counts binary").groupBy("lang", "chunk").applyInArrow(_add, "lang int, chunk int, counts binary").collect()
+    got = added(rows.mapInArrow(_count(languages), "lang int, chunk int, counts binary"), ["lang", "chunk"], _add).collect()
     grams, scripts, step = np.zeros((len(languages), BUCKETS)), np.zeros((len(languages), len(NAMES))), BUCKETS // CHUNKS
     for r in got:
         x = np.frombuffer(bytes(r["counts"]), np.int64)

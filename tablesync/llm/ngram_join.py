@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablesync.llm.common import bucket_count, components, materialise, named, numbered, pack, place, row_key, runs, unpack
+from tablesync.llm.common import added, bucket_count, components, materialise, named, numbered, pack, place, row_key, runs, unpack
 from tablesync.llm.words import Words, grams, inside, mix
 
 FREQ_BITS = 20
@@ -267,7 +267,7 @@ def ngram_join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, doc_i
     spark = docs.sparkSession
     keyed = docs.select(F.col(doc_id).cast("long").alias("doc_id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
     own = keyed.select("row_key", "text")
-    counts = own.mapInArrow(_frequencies(n), "chunk int, counts binary").groupBy("chunk").applyInArrow(_add, "chunk int, counts binary").collect()
+    counts = added(own.mapInArrow(_frequencies(n), "chunk int, counts binary"), ["chunk"], _add).collect()
     freq = np.zeros((CHUNKS, (1 << FREQ_BITS) // CHUNKS), np.int64)
     for r in counts:
         freq[r["chunk"]] = unpack(bytes(r["counts"]), np.int64)

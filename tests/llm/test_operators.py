@@ -479,3 +479,21 @@ def test_operators_replace_columns_named_like_theirs(spark, docs):
     assert sorted(map(str, mixing.mix(wide).select("doc_id", "mix_order").collect())) == sorted(map(str, mixing.mix(docs).select("doc_id", "mix_order").collect()))
     assert substring_dedup.remove_repeats(wide).count() == ngram_join.ngram_join(wide).count() == len(TEXTS)
     assert pitman_yor.score(wide, "doc_id < 9").count() == pitman_yor.score(docs, "doc_id < 9").count()
+
+
+def test_packed_counters_are_summed_in_two_levels(spark):
+    from tablesync.llm.common import added, pack, unpack
+
+    tasks = spark.range(0, 14, 1, 7).select((F.col("id") % 2).cast("int").alias("chunk"), "id")
+
+    def count(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for chunk, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "counts": [pack(np.array([i, 1], np.int64))]})
+
+    one = tasks.mapInArrow(count, "chunk int, counts binary")
+    got = {r["chunk"]: list(unpack(bytes(r["counts"]), np.int64)) for r in added(one, ["chunk"], ngram_join._add, tasks=2).collect()}
+    assert got == {0: [42, 7], 1: [49, 7]}
+    assert added(one.limit(0), ["chunk"], ngram_join._add).count() == 0
