@@ -27,6 +27,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,12 +38,20 @@ from pyspark.sql import types as T
 from tablesync.llm.common import pack, unpack
 from tablesync.llm.words import SPACE, Words
 
-KEEP = 1 << 19
+KEEP = 1 << 20
 BATCH = 4 << 20
 LIMIT = 512
+LONG = 1 << 12
 #: White space beyond ASCII, by its UTF-8 bytes.
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 
+# How a byte-level pre-tokenizer splits ASCII text, and the letters of its alphabet.
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+CONTRACTIONS = ("'re", "'ve", "'ll")
+OTHERS = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255)]
+#: A byte's letter; 255 never occurs in UTF-8 and parts pieces here.
+LETTERS = {b: chr(256 + k) for k, b in enumerate(OTHERS)} | {255: "\n"}
+
 
 class Units(Words):
     """The units of a list of texts: white space and what follows it; ``breaks``: byte places where one begins in any case."""
@@ -85,12 +94,13 @@ class Vocabulary:
         special = sorted((t.content for t in own.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile(b"|".join(re.escape(s.encode()) for s in special)) if special else None
         self.ends = ahocorasick.Automaton()
-        for text, token in own.get_vocab(with_added_tokens=False).items():
-            self.ends.add_word(text, (token, len(text)))
-        self.ends.make_automaton()
         self.text = {token: text for text, token in own.get_vocab(with_added_tokens=False).items()}
-        self.side_by_side: dict[tuple[int, int], bool] = {}
-        self.pieces: dict[str, list[int]] = {}
+        for token, text in self.text.items():
+            self.ends.add_word(text, token)
+        self.ends.make_automaton()
+        self.tokens = max(self.text) + 2
+        self.size_of = np.array([len(self.text.get(t, "")) for t in range(self.tokens)], np.int64)
+        self.pairs, self.stay = np.array([-1], np.int64), np.zeros(1, bool)
         self.clear()
 
     def clear(self) -> None:
@@ -98,56 +108,104 @@ class Vocabulary:
         self.counts = np.zeros(0, np.int32)
         self.begin = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
-        self.pieces.clear()
-
-    def _stays(self, before: int, token: int) -> bool:
-        """Whether the model leaves ``token`` as it is after ``before`` (-1: nothing)."""
-        pair = before, token
-        if pair not in self.side_by_side:
-            if len(self.side_by_side) > KEEP:
-                self.side_by_side.clear()
-            both = ("" if before < 0 else self.text[before]) + self.text[token]
-            self.side_by_side[pair] = [t.id for t in self.model.tokenize(both)] == [t for t in pair if t >= 0]
-        return self.side_by_side[pair]
-
-    def piece(self, text: str) -> list[int]:
-        """Token counts of all prefixes of a piece in the vocabulary's alphabet, a letter a byte."""
-        last, count, done = [-1] * (len(text) + 1), [0] * (len(text) + 1), 0
-        for end, (token, size) in self.ends.iter(text):
+
+    def _stays(self, pair: np.ndarray) -> np.ndarray:
+        """Whether the model leaves the second token as it is after the first; pairs are numbers, 0 is no token."""
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        if (new := self.pairs[at] != pair).any():
+            if len(self.pairs) > KEEP:
+                self.pairs, self.stay = self.pairs[:1], self.stay[:1]
+            asked = np.unique(pair[new])
+            both = [[t - 1 for t in divmod(x, self.tokens) if t] for x in asked.tolist()]
+            stay = [[t.id for t in self.model.tokenize("".join(self.text[t] for t in b))] == b for b in both]
+            keys, first = np.unique(np.concatenate((self.pairs, asked)), return_index=True)
+            self.pairs, self.stay = keys, np.concatenate((self.stay, stay))[first]
+            return self._stays(pair)
+        return self.stay[at]
+
+    def long_piece(self, letters: str) -> np.ndarray:
+        """Token counts of all prefixes of one piece, filled by itself, so that few pieces do not make many short steps."""
+        last, count, done = [0] * (len(letters) + 1), [0] * (len(letters) + 1), 0
+        known: dict[int, bool] = {}
+        for end, token in self.ends.iter(letters):
             end += 1
-            if end != done and self._stays(last[end - size], token):
-                last[end], count[end], done = token, count[end - size] + 1, end
-        return count[1:]
-
-    def unit(self, text: str) -> list[int]:
-        """Token counts of all prefixes of a unit, by code points."""
-        out: list[int] = []
-        before = 0
-        pieces = self.split(text)
-        body = len(text) - len(text.lstrip())
-        for k, (letters, (a, b)) in enumerate(pieces):
-            bytes_each = [len(c.encode()) for c in text[a:b]]
-            if letters not in self.pieces:
-                if len(self.pieces) > KEEP:
-                    self.pieces.clear()
-                self.pieces[letters] = self.piece(letters)
-            table = self.pieces[letters]
-            at, own = -1, []
-            for n in bytes_each:
-                at += n
-                own.append(before + table[at])
-            if text[a] == "'" and b - a > 2 and text[a + 1 : b].isalpha():
-                # an apostrophe and a first letter are two pieces until the contraction is whole
-                own[1:-1] = [before + self.cut(text[a:i]) for i in range(a + 2, b)]
-            out += own
-            before += table[-1]
-        if 0 < body < len(text):
+            if end != done:
+                s = end - int(self.size_of[token])
+                pair = last[s] * self.tokens + token + 1
+                if pair not in known:
+                    known[pair] = bool(self._stays(np.array([pair]))[0])
+                if known[pair]:
+                    last[end], count[end], done = token + 1, count[s] + 1, end
+        return np.array(count[1:], np.int32)
+
+    def pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts of all prefixes of all pieces, by bytes, one piece after the other; and the pieces' lengths."""
+        raw = [x.encode() for x in pieces]
+        size = np.array([len(x) for x in raw], np.int64)
+        long = {i: self.long_piece(raw[i].decode("latin-1").translate(LETTERS)) for i in np.flatnonzero(size > LONG).tolist()}
+        raw = b"\xff".join([*(b"" if i in long else x for i, x in enumerate(raw)), b""])
+        data = np.frombuffer(raw, np.uint8)
+        stop = np.flatnonzero(data == 255)
+        start = np.concatenate(([0], stop[:-1] + 1)).astype(np.int64)
+        # a slot for each prefix, the empty one included
+        last, count = np.zeros(len(data) + 1, np.int64), np.zeros(len(data) + 1, np.int32)
+        found = np.fromiter(chain.from_iterable(self.ends.iter(raw.decode("latin-1").translate(LETTERS))), np.int64).reshape(-1, 2)
+        end, token = found[:, 0] + 1, found[:, 1]
+        depth = end - np.repeat(start, stop - start + 1)[end - 1]
+        by = np.argsort(depth, kind="stable")
+        end, token, depth = end[by], token[by], depth[by]
+        cut = [*np.flatnonzero(np.diff(depth, prepend=-1)).tolist(), len(depth)]
+        for i, j in zip(cut, cut[1:]):
+            e, t = end[i:j], token[i:j]
+            s = e - self.size_of[t]
+            stays = self._stays(last[s] * self.tokens + t + 1)
+            e = e[stays]
+            last[e], count[e] = t[stays] + 1, count[s[stays]] + 1
+        out = np.empty(int(size.sum()), np.int32)
+        own = np.ones(len(out), bool)
+        for i, counts in long.items():
+            at = slice(int(size[:i].sum()), int(size[: i + 1].sum()))
+            out[at], own[at] = counts, False
+        out[own] = count[1:][data != 255]
+        return out, size
+
+    def units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token counts of all prefixes of all units, by code points, one unit after the other; and the units' lengths."""
+        texts = [u.decode() for u in units]
+        pieces: list[str] = []
+        many, odd, heads = [], [], []
+        for k, x in enumerate(texts):
+            own = ASCII_PIECES.findall(x) if x.isascii() else [x[a:b] for _, (a, b) in self.split(x)]
+            many.append(len(own))
+            pieces += own
+            if x[1:2].isspace() and (n := len(x) - len(x.lstrip())) < len(x):
+                heads.append((k, n))
+            if "'" in x:
+                odd += [len(pieces) - len(own) + i for i, p in enumerate(own) if p in CONTRACTIONS]
+        place = {x: i for i, x in enumerate(dict.fromkeys([*pieces, *(texts[k][:n] for k, n in heads)]))}
+        counts, size = self.pieces(list(place))
+        begin = np.cumsum(size) - size
+        at = np.array([place[x] for x in pieces], np.int64)
+        length = size[at]
+        over = np.cumsum(length) - length
+        first = np.cumsum(many) - many
+        whole = counts[begin[at] + length - 1].astype(np.int64)
+        before = np.cumsum(whole) - whole
+        before -= np.repeat(before[first], many)
+        flat = counts[np.repeat(begin[at] - over, length) + np.arange(length.sum())] + np.repeat(before, length)
+        # an apostrophe and a first letter are two pieces until the contraction is whole
+        flat[over[odd] + 1] = before[odd] + 2
+        data = np.frombuffer(b"".join([*units, b"\0"]), np.uint8)
+        flat = flat[(data[1:] & 0xC0) != 0x80]
+        points = np.array([len(x) for x in texts], np.int64)
+        begins = np.cumsum(points) - points
+        for k, n in heads:
             # white space at the end of a prefix is one piece, whatever follows it in the unit
-            out[:body] = self.unit(text[:body])
-        return out
-
-    def cut(self, text: str) -> int:
-        return sum(self.piece(letters)[-1] for letters, _ in self.split(text))
+            head = texts[k][:n]
+            i = place[head]
+            ends = np.cumsum([len(c.encode()) for c in head]) - 1
+            flat[begins[k] : begins[k] + n] = counts[begin[i] : begin[i] + size[i]][ends]
+        return flat.astype(np.int32), points
 
     def places(self, u: Units) -> np.ndarray:
         """For each unit, where its counts are kept."""
@@ -157,11 +215,11 @@ class Vocabulary:
         at = np.array([self.place.get(h, -1) for h in own.tolist()], np.int64)
         new = np.flatnonzero(at < 0)
         if len(new):
-            got = [np.array(self.unit(u.data[u.start[i] : u.end[i]].tobytes().decode("utf-8", "replace")), np.int32) for i in first[new]]
-            size = np.array([len(x) for x in got], np.int64)
+            data = u.data.tobytes()
+            counts, size = self.units([data[a:b] for a, b in zip(u.start[first[new]].tolist(), u.end[first[new]].tolist())])
             at[new] = len(self.begin) + np.arange(len(new))
             self.begin = np.concatenate((self.begin, len(self.counts) + np.cumsum(size) - size))
-            self.counts, self.size = np.concatenate((self.counts, *got)), np.concatenate((self.size, size))
+            self.counts, self.size = np.concatenate((self.counts, counts)), np.concatenate((self.size, size))
             self.place.update(zip(own[new].tolist(), at[new].tolist()))
         return at[back]
 
@@ -179,7 +237,7 @@ class Vocabulary:
             counts = self.counts[np.repeat(begin - over[:-1], size) + np.arange(over[-1])]
             whole = np.where(size > 0, self.counts[np.maximum(begin + size - 1, 0)], 0) if len(self.counts) else size
             if spans:
-                marks = {s - len(b"") for s, _ in spans}
+                marks = {s for s, _ in spans}
                 base = int(u.start[i]) if j > i else 0
                 starts = {int(u.start[x]) - base: x - i for x in range(i, j)}
                 whole = whole.copy()
@@ -189,8 +247,9 @@ class Vocabulary:
                     word = texts[k][s:e].decode()
                     lead = "" if x == 0 or int(u.start[i + x - 1]) - base in marks else texts[k][int(u.start[i + x - 1]) - base : s].decode()
                     less = int(whole[x - 1]) if lead else 0
-                    cut = self.unit(lead + word)[len(lead) :]
-                    counts[over[x] : over[x] + len(word)] = [c - less for c in cut[:-1]] + [1]
+                    cut = self.units([(lead + word).encode()])[0][len(lead) :] - less
+                    cut[-1] = 1
+                    counts[over[x] : over[x] + len(word)] = cut
             before = np.cumsum(whole) - whole
             out.append(counts + np.repeat(before, size).astype(np.int32))
         return out
