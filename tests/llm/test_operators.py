@@ -42,7 +42,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
 
     db = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     assert _same(QUERIES[name](spark, SF).toPandas(), db.execute(ORACLES[name]).df())
 
