@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("pitman_yor", "chat_format", "language_id", "multi_index", "mtree", "secret_scan", "mixing", "packing", "ngram_join", "substring_dedup", "dual_tree", "token_counts")
+MODULES = ("pitman_yor", "chat_format", "language_id", "multi_index", "mtree", "secret_scan", "mixing", "packing", "ngram_join", "substring_dedup", "collocations", "dual_tree", "token_counts")
 
 QUERIES: dict = {}
 ORACLES: dict = {}

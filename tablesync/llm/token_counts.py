@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from tablesync.llm.common import pack, unpack
 from tablesync.llm.words import SPACE, Words
 
-KEEP = 1 << 20
-BATCH = 4 << 20
+KEEP = 1 << 19
+BATCH = 3 << 20
 LIMIT = 512
 LONG = 1 << 12
 #: White space beyond ASCII, by its UTF-8 bytes.
