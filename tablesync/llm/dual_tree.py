@@ -39,7 +39,7 @@ from tablesync.llm.spans import Spans
 
 ITEM_BYTES = 4 << 20
 #: Bytes of text and documents in a block.
-BLOCK, BLOCK_DOCS = 8 << 20, 1 << 13
+BLOCK, BLOCK_DOCS = 4 << 20, 1 << 12
 #: Rows below which a node is not split.
 LEAF_DOCS, LEAF_ITEMS = 32, 4
 NULL_ID = -(1 << 63)
