@@ -106,7 +106,8 @@ def migration_summary(source: DataFrame, target: DataFrame, staging: str) -> Dat
     name = F.lower("table_name")
     s = source.select(name.alias("n")).distinct()
     t = target.select(name.alias("m")).distinct()
-    way = t.select(F.regexp_replace("m", f"^{staging.lower()}", "").alias("n"), F.col("m").startswith(staging.lower()).alias("staged"))
+    own = F.col("m").startswith(staging.lower())
+    way = t.select(F.when(own, F.substring("m", len(staging) + 1, 1 << 30)).otherwise(F.col("m")).alias("n"), own.alias("staged"))
     both = s.join(way, "n", "left").groupBy("n").agg(F.count("staged").alias("n_target"), F.bool_or("staged").alias("staged"))
     copied = F.when(F.col("staged"), "staged").when(F.col("staged").isNull(), "missing").otherwise("direct")
     return both.groupBy(copied.alias("copied")).agg(F.count("*").alias("n_source"), F.sum("n_target").alias("n_target"))

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.sources.files import Folder
+
 
 def rollup_status(tasks: DataFrame, key: str = "migrationid", total: int | None = None) -> DataFrame:
     """(key, last_update, total, completed, failed) of each run; ``total`` fixed for schema differences."""
@@ -67,3 +72,67 @@ def latest_run(runs: DataFrame, run_id: str, start: str) -> DataFrame:
 def write_report(report: DataFrame, path: str) -> None:
     """One row as JSON."""
     report.coalesce(1).write.mode("overwrite").json(path)
+
+
+TASKS = (
+    "migrationid string, pipelinename string, sourcetablename string, targettablename string, sourcerowcount long, targetrowcount long, failure int, error string, "
+    "truncated boolean, duration string, durationinseconds double, avgreaderrowthroughput double, avgwriterrowthroughput double, lastupdate timestamp"
+)
+BATCHES = "migrationid string, pipelinename string, batchid long, lowerboundary string, upperboundary string"
+WRITTEN = "migrationid string, pipelinename string, batchid long, rows_read long, rows_written long, seconds double, lastupdate timestamp"
+
+
+@dataclass(frozen=True)
+class Ledger:
+    """Tasks, batches and written batches of all runs, each a folder of Parquet rows that are only added.
+
+    A task's newest row holds. Rows are a few numbers a table or batch, taken while it is written, so no table is read
+    again to count it. What is visible in a target is told by the target itself (its manifest, or its table of
+    applied batches); the ledger follows, and a batch that is there already is noted when the run is resumed.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def _rows(self, name: str, schema: str) -> DataFrame:
+        at = f"{self.path}/{name}"
+        return self.spark.read.schema(schema).parquet(at) if Folder(self.spark, at).exists() else self.spark.createDataFrame([], schema)
+
+    def _add(self, name: str, schema: str, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+
+    def tasks(self, run: str | None = None) -> DataFrame:
+        own = self._rows("tasks", TASKS)
+        newest = own.groupBy("migrationid", "pipelinename").agg(F.max_by(F.struct(*own.columns), "lastupdate").alias("r")).select("r.*")
+        return newest if run is None else newest.filter(F.col("migrationid") == run)
+
+    def batches(self, run: str) -> DataFrame:
+        return self._rows("batches", BATCHES).filter(F.col("migrationid") == run)
+
+    def written(self, run: str) -> DataFrame:
+        """One row a batch, also where a resumed run has noted it again."""
+        return self._rows("written", WRITTEN).filter(F.col("migrationid") == run).dropDuplicates(["pipelinename", "batchid"])
+
+    def pending(self, run: str) -> DataFrame:
+        return pending_batches(self.batches(run), self.written(run), ["pipelinename", "batchid"])
+
+    def register(self, run: str, table: str, bounds: list[tuple[str | None, str | None]]) -> None:
+        self._add("batches", BATCHES, [(run, table, i, low, high) for i, (low, high) in enumerate(bounds)])
+
+    def note(self, run: str, table: str, batches: list[int], read: int, wrote: int, seconds: float) -> None:
+        """A group of batches was written together; its first one has the group's numbers."""
+        now = datetime.datetime.now(datetime.timezone.utc)
+        self._add("written", WRITTEN, [(run, table, b, *((read, wrote, seconds) if i == 0 else (0, 0, 0.0)), now) for i, b in enumerate(batches)])
+
+    def finish(self, run: str, table: str, target: str, read: int | None, wrote: int | None, seconds: float, error: str | None = None, truncated: bool = False) -> None:
+        now = datetime.datetime.now(datetime.timezone.utc)
+        rate = lambda n: None if n is None or not seconds else n / seconds
+        took = None if error else str(datetime.timedelta(seconds=seconds))
+        self._add("tasks", TASKS, [(run, table, table, target, read, wrote, int(error is not None), error, truncated, took, seconds, rate(read), rate(wrote), now)])
+
+    def reconcile(self, run: str) -> DataFrame:
+        """(pipelinename, source_rows, target_rows, difference) as counted while the run wrote."""
+        return self.tasks(run).select("pipelinename", F.col("sourcerowcount").alias("source_rows"), F.col("targetrowcount").alias("target_rows"), (F.col("sourcerowcount") - F.col("targetrowcount")).alias("difference"))
+
+    def schema_changes(self) -> str:
+        return f"{self.path}/schema_changes"

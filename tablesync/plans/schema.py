@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,5 +49,38 @@ def align_schema(df: DataFrame, target: T.StructType, add: bool = True, remove:
     return df.select(*cols, *rest)
 
 
-def write_schema_changes(missing: DataFrame, path: str) -> None:
-    missing.write.mode("overwrite").json(path)
+@dataclass(frozen=True)
+class Switches:
+    """What a run may change in the target's schema."""
+
+    add_tables: bool = True
+    remove_tables: bool = False
+    add_columns: bool = True
+    remove_columns: bool = False
+
+
+def evolved(source: T.StructType, target: T.StructType | None, switches: Switches) -> tuple[T.StructType, list[tuple[str, str, str]]]:
+    """The target's schema after a run, and the changes to it: (column, type, added or removed).
+
+    Without a target the source's schema is taken. Columns keep the target's types and places; new ones come last.
+    """
+    if target is None:
+        return source, [(f.name, f.dataType.simpleString(), "added") for f in source]
+    has = {f.name.lower() for f in source}
+    own = {f.name.lower() for f in target}
+    kept = [f for f in target if f.name.lower() in has or not switches.remove_columns]
+    new = [T.StructField(f.name, f.dataType) for f in source if f.name.lower() not in own] if switches.add_columns else []
+    if not kept + new:
+        raise ValueError("no column of the target would be left")
+    changes = [(f.name, f.dataType.simpleString(), "added") for f in new]
+    return T.StructType(kept + new), changes + [(f.name, f.dataType.simpleString(), "removed") for f in target if f not in kept]
+
+
+def fitted(df: DataFrame, kind: T.StructType) -> DataFrame:
+    """``df`` with the columns of ``kind`` and no others; missing ones are null."""
+    return align_schema(df, kind, add=True, remove=True)
+
+
+def write_schema_changes(changes: DataFrame, path: str) -> None:
+    """Adds a run's changes, rows of JSON, to those of earlier runs."""
+    changes.coalesce(1).write.mode("append").json(path)

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows that describe the tool itself are never listed.
+from tablesync.sources.files import Folder
+
+#: Tables of the tool itself are never listed (fixed value).
 HIDDEN_PREFIX = "migrationtoolkit_"
 
 
@@ -35,22 +39,61 @@ class Profile:
         return own | ({"driver": self.driver} if self.driver else {})
 
 
+    @property
+    def dialect(self) -> str:
+        return self.url.split(":")[1]
+
+    def quoted(self, name: str) -> str:
+        """A column's name as Spark's writer makes it in a database."""
+        return {"mysql": f"`{name}`", "sqlserver": f"[{name}]"}.get(self.dialect, f'"{name}"')
+
+
 def default_conditions(df: DataFrame, name: str, type_system: str) -> DataFrame:
     """Rows of one type system, for any table whose name ends in ``ydeployments``."""
     return df.filter(F.col("TypeSystemName") == type_system) if name.lower().endswith("ydeployments") else df
 
 
-def read_table(spark: SparkSession, profile: Profile, name: str) -> DataFrame:
-    """The whole table; a temp view ``v_<name>`` takes its place if there is one. Spark splits the files."""
-    if spark.catalog.tableExists(f"v_{name}"):
+def table_exists(spark: SparkSession, profile: Profile, name: str) -> bool:
+    """Whether a profile has a table, whatever the case of its name in a database."""
+    if not profile.is_jdbc:
+        return Folder(spark, profile.path(name)).exists()
+    link = spark._jvm.java.sql.DriverManager.getConnection(profile.url, properties(spark, profile))
+    try:
+        found = link.getMetaData().getTables(None, None, "%", None)
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == f"{profile.prefix}{name}".lower():
+                return True
+        return False
+    finally:
+        link.close()
+
+
+def properties(spark: SparkSession, profile: Profile):
+    out = spark._jvm.java.util.Properties()
+    for k in ("user", "password"):
+        if k in profile.options:
+            out.setProperty(k, profile.options[k])
+    return out
+
+
+def read_table(spark: SparkSession, profile: Profile, name: str, views: bool = False) -> DataFrame:
+    """The whole table; with ``views``, which is for sources only, a temp view ``v_<name>`` takes its place if there is
+    one. Spark splits the files."""
+    if views and spark.catalog.tableExists(f"v_{name}"):
         return spark.table(f"v_{name}")
     if profile.is_jdbc:
         df = spark.read.format("jdbc").options(**profile.jdbc_options(), dbtable=f"{profile.prefix}{name}").load()
     else:
-        df = spark.read.parquet(profile.path(name))
+        df = Folder(spark, profile.path(name)).read()
     return default_conditions(df, name, profile.type_system)
 
 
+def drop_views(spark: SparkSession, tables: list[str]) -> None:
+    """Views of a run's tables go when it has ended."""
+    for name in tables:
+        spark.catalog.dropTempView(f"v_{name}")
+
+
 def key_range_predicates(key: str, markers: list, key_type: str = "bigint") -> list[str]:
     """One predicate a batch: key >= m_i and key < m_(i+1); the last has no upper bound, the first takes nulls."""
     cast = lambda x: f"CAST('{x}' AS {key_type})"
@@ -66,9 +109,76 @@ def read_by_key_ranges(spark: SparkSession, profile: Profile, name: str, key: st
     return spark.read.jdbc(profile.url, f"{profile.prefix}{name}", predicates=key_range_predicates(key, markers, key_type), properties=props)
 
 
-def read_partitions(df: DataFrame, column: str, values: list) -> DataFrame:
-    """Rows of some physical partitions; on partitioned files the others are not read."""
-    return df.filter(F.col(column).isin(values))
+def _literal(value: str, kind: T.DataType) -> str:
+    text = value.replace("'", "''")
+    if isinstance(kind, T.NumericType):
+        return value
+    if isinstance(kind, T.StringType):
+        return f"'{text}'"
+    return f"CAST('{text}' AS {'DATE' if isinstance(kind, T.DateType) else 'TIMESTAMP'})"
+
+
+def read_by_key_bounds(spark: SparkSession, profile: Profile, name: str, key: str, bounds: list[tuple[str, str | None]], first: bool = False) -> DataFrame:
+    """A JDBC table's rows between stored bounds (text), a Spark partition for each pair; the ``first`` takes null keys."""
+    whole = read_table(spark, profile, name)
+    own = next(f for f in whole.schema if f.name.lower() == key.lower())
+    at, tests = profile.quoted(own.name), []
+    for i, (low, high) in enumerate(bounds):
+        test = " AND ".join([f"{at} >= {_literal(low, own.dataType)}", *([f"{at} < {_literal(high, own.dataType)}"] if high is not None else [])])
+        tests.append(f"({test}) OR {at} IS NULL" if first and i == 0 else test)
+    props = {k: v for k, v in profile.jdbc_options().items() if k != "url"}
+    return default_conditions(spark.read.jdbc(profile.url, f"{profile.prefix}{name}", predicates=tests, properties=props), name, profile.type_system)
+
+
+def markers_query(profile: Profile, name: str, key: str, rows: int, where: str = "") -> str:
+    """SQL for a database: the first key of each ``rows`` rows in the order of ``key``, of those that ``where`` keeps."""
+    at, table = profile.quoted(key), f"{profile.prefix}{name}"
+    own = f"SELECT {at} FROM {table} WHERE {at} IS NOT NULL" + (f" AND ({where})" if where else "")
+    if profile.dialect == "derby":
+        ranked = f"SELECT {at}, ROW_NUMBER() OVER () AS rn FROM ({own} ORDER BY {at}) y"
+    else:
+        ranked = f"SELECT {at}, ROW_NUMBER() OVER (ORDER BY {at}) AS rn FROM ({own}) y"
+    nth = f"(rn - 1) % {rows} = 0" if profile.dialect == "sqlserver" else f"MOD(rn - 1, {rows}) = 0"
+    return f"SELECT DISTINCT {at} FROM ({ranked}) x WHERE {nth}"
+
+
+def markers_jdbc(spark: SparkSession, profile: Profile, name: str, key: str, rows: int, where: str = "") -> DataFrame:
+    """The markers of a JDBC table, ranked by the database: only they leave it."""
+    own = next(c for c in read_table(spark, profile, name).columns if c.lower() == key.lower())
+    return spark.read.format("jdbc").options(**profile.jdbc_options(), query=markers_query(profile, name, own, rows, where)).load().orderBy(own)
+
+
+def read_in_ranges(spark: SparkSession, profile: Profile, name: str, key: str, rows: int) -> DataFrame:
+    """A whole JDBC table, read once in key ranges of about ``rows`` rows that the database has found."""
+    # a key a range
+    lows = [str(r[0]) for r in markers_jdbc(spark, profile, name, key, rows).collect()]
+    return read_by_key_bounds(spark, profile, name, key, list(zip(lows, [*lows[1:], None])), first=True) if lows else read_table(spark, profile, name)
+
+
+def source_files(spark: SparkSession, profile: Profile, name: str) -> list[tuple[str, int]]:
+    """(name, bytes) of the data files of a table in a folder of its own, in the order of names."""
+    folder = Folder(spark, profile.path(name))
+    return folder.sizes() if folder.is_folder() else []
+
+
+def list_partitions(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """The values (text) that a folder's layout has for a partition column; null for the default one. No file is read."""
+    names = Folder(spark, path).folders()
+    values = [(None if (v := unquote(n.split("=", 1)[1])) == "__HIVE_DEFAULT_PARTITION__" else v,) for n in names if n.split("=", 1)[0].lower() == column.lower() and "=" in n]
+    return spark.createDataFrame(values, f"{column} string")
+
+
+def read_partitions(df: DataFrame, column: str, chosen: DataFrame) -> DataFrame:
+    """Rows of the physical partitions whose values ``chosen`` has; found at run time, the others' files are not read."""
+    return df.join(chosen.select(F.col(column).cast(df.schema[column].dataType).alias(column)).filter(F.col(column).isNotNull()).distinct(), column, "left_semi").select(*df.columns)
+
+
+def footer_reader(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster in which counts and extremes of Parquet tables come from file footers alone."""
+    own = spark.newSession()
+    for k, v in {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}.items():
+        own.conf.set(k, v)
+    return own
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
@@ -81,7 +191,7 @@ def read_catalogue(spark: SparkSession, profile: Profile) -> DataFrame:
     """(table_name, column_name) of all tables with the profile's prefix; only names come to the driver."""
     found: list[tuple[str, str]] = []
     if profile.is_jdbc:
-        link = spark._jvm.java.sql.DriverManager.getConnection(profile.url)
+        link = spark._jvm.java.sql.DriverManager.getConnection(profile.url, properties(spark, profile))
         try:
             rows = link.getMetaData().getColumns(None, None, None, None)
             while rows.next():
