@@ -10,11 +10,12 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
-DEFAULT_LISTS: dict[str, list[str]] = {"city": ["Aachen", "Bonn", "Celle", "Dresden", "Essen"], "street": ["Ahornweg", "Birkenallee", "Chausseestr."]}
+#: Values of a list that a rule picks from; they become part of the plan.
+MOST_VALUES = 10_000
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,18 @@ def _letters(h: Callable[..., Column], n: int) -> Column:
     return F.concat(*(F.substring(F.lit(LETTERS), below(h(i), 52).cast("int") + 1, F.lit(1)) for i in range(n)))
 
 
-def _pick(h: Callable[..., Column], values: list[str]) -> Column:
+def load_lists(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Lists to pick values from (``city``, ``street``), from a JSON file of arrays by name."""
+    row = spark.read.option("multiLine", True).json(path).first().asDict()
+    if long := [k for k, v in row.items() if len(v or []) > MOST_VALUES]:
+        raise ValueError(f"more than {MOST_VALUES} values in {long}")
+    return {k: list(v or []) for k, v in row.items()}
+
+
+def _pick(h: Callable[..., Column], name: str, lists: dict[str, list[str]] | None) -> Column:
+    values = (lists or {}).get(name)
+    if not values:
+        raise ValueError(f"a rule picks a {name}, and no list of these is given")
     return F.element_at(F.array(*map(F.lit, values)), (below(h(0), len(values)) + 1).cast("int"))
 
 
@@ -75,7 +87,7 @@ def split_template(text: str) -> list[str]:
 #: Name of a token's function, its pattern and the columns it makes; unknown functions make an empty text.
 TOKENS: list[tuple[str, Callable]] = [
     (r"GUID", lambda h, m, lists: _guid(h)),
-    (r"RANDOM\(\s*(city|street)\s*\)", lambda h, m, lists: _pick(h, lists[m[1]])),
+    (r"RANDOM\(\s*(city|street)\s*\)", lambda h, m, lists: _pick(h, m[1], lists)),
     (r"RANDOM\(\s*number\s*,\s*(\d+)\s*\)", lambda h, m, lists: _number(h, int(m[1]))),
     (r"RANDOM\(\s*string\s*,\s*(\d+)\s*\)", lambda h, m, lists: _letters(h, int(m[1]))),
 ]
@@ -97,7 +109,7 @@ def template_column(text: str, salt: str, table: str, column: str, pk: Column, l
             raise ValueError(f"{body}: no length")
         for pattern, make in TOKENS:
             if m := re.fullmatch(pattern, body):
-                parts.append(make(lambda *n, k=k: keyed(salt, table, column, pk, k, *n), m, lists or DEFAULT_LISTS))
+                parts.append(make(lambda *n, k=k: keyed(salt, table, column, pk, k, *n), m, lists))
                 break
     return F.concat(*parts) if parts else F.lit("")
 

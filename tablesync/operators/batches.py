@@ -29,9 +29,26 @@ def assign_batches(df: DataFrame, order_by: list[str], size: int) -> DataFrame:
     return global_rank(df, order_by).withColumn("batch_id", F.floor(F.col("rn") / size)).drop("rn")
 
 
+def key_ranks(df: DataFrame, key: str) -> DataFrame:
+    """(key, n, rn): rows of each key, and how many rows come before its first.
+
+    Keys are counted first, so a key with very many rows is one row from there on, and only keys and counts are sorted.
+    """
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    ranged = written(counts.repartitionByRange(key).withColumn("__part", F.spark_partition_id()), "keys")
+    # one row a range
+    totals = ranged.groupBy("__part").agg(F.sum("n").alias("__total"))
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__total").over(earlier(Window.orderBy("__part"))), F.lit(0)).alias("__before")
+    inside = F.coalesce(F.sum("n").over(earlier(Window.partitionBy("__part").orderBy(key))), F.lit(0)).alias("__n")
+    return ranged.select("__part", key, "n", inside).join(totals.select("__part", before), "__part").select(key, "n", (F.col("__n") + F.col("__before")).alias("rn"))
+
+
 def batch_markers(df: DataFrame, key: str, size: int) -> DataFrame:
     """(rn, key): the first key of each batch of ``size`` rows."""
-    return global_rank(df.select(key), [key]).filter(F.col("rn") % size == 0).select("rn", key)
+    first = F.ceil(F.col("rn") / size) * size
+    last = F.col("rn") + F.col("n") - 1
+    return key_ranks(df, key).filter(first <= last).select(F.explode(F.sequence(first, last, F.lit(size).cast("long"))).alias("rn"), key)
 
 
 def batch_plan(markers: DataFrame, key: str, size: int) -> DataFrame:
@@ -44,9 +61,9 @@ def batch_plan(markers: DataFrame, key: str, size: int) -> DataFrame:
 def key_range_batches(df: DataFrame, key: str, size: int) -> DataFrame:
     """``df`` with ``batch_id``, as the ranges between markers give it: of rows with one key all lie in the
     batch of the last, so a key is never split. Rows without a key are left out."""
-    ranked = global_rank(df.filter(F.col(key).isNotNull()), [key])
-    last = ranked.groupBy(key).agg(F.floor(F.max("rn") / size).alias("batch_id"))
-    return ranked.drop("rn").join(last, key)
+    ranks = key_ranks(df.filter(F.col(key).isNotNull()), key)
+    last = ranks.select(key, F.floor((F.col("rn") + F.col("n") - 1) / size).alias("batch_id"))
+    return df.join(last, key)
 
 
 def read_page(df: DataFrame, order_by: list[str], offset: int, n: int) -> DataFrame:

@@ -11,7 +11,7 @@ from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from tablesync.sources.files import Folder, Mark, has, marked
 from tablesync.sources.profile import Profile, properties, read_table, table_exists
@@ -105,9 +105,16 @@ def overwrite(df: DataFrame, profile: Profile, name: str, mark: Mark | None = No
     folder.drop(old)
 
 
-def touched_files(state_rows: DataFrame, keys: DataFrame) -> list[str]:
-    """Names of the files of a table with a row whose key is in ``keys``; only the key columns are read."""
-    own = state_rows.select(*keys.columns, F.col("_metadata.file_name").alias("__file"))
+def touched_files(target: DataFrame, keys: DataFrame) -> list[str]:
+    """Names of the files of a table with a row whose key is in ``keys``. Only the key columns are read, and of
+    these only row groups between the least and the greatest first key. A name a file comes to the driver."""
+    first = keys.schema[0]
+    own = target.select(*keys.columns, F.col("_metadata.file_name").alias("__file"))
+    if not isinstance(first.dataType, (FloatType, DoubleType)):
+        low, high = keys.agg(F.min(first.name), F.max(first.name)).first()
+        if low is None:
+            return []
+        own = own.filter(F.col(first.name).between(*(F.lit(x).cast(first.dataType) for x in (low, high))))
     return [r[0] for r in own.join(keys, keys.columns, "left_semi").select("__file").distinct().collect()]
 
 

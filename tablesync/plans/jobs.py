@@ -4,19 +4,22 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tablesync.functions.names import is_localized
+from tablesync.operators.batches import batch_markers
 from tablesync.operators.delta import delta, deletion_markers, localized_delta
 from tablesync.operators.merge import alter_jdbc, append, applied, apply_jdbc, delete_by_key, drop_table, merge_files, overwrite, tables_to_clear, unique_by, upsert
 from tablesync.plans.ledger import Ledger
 from tablesync.plans.schema import Switches, evolved, fitted, write_schema_changes
 from tablesync.sources.files import Folder
 from tablesync.sources.profile import (
-    Profile, default_conditions, drop_views, list_tables, markers_jdbc, read_by_key_bounds, read_catalogue, read_table, source_files, table_exists,
+    Profile, default_conditions, drop_views, list_tables, markers_jdbc, read_between, read_by_key_bounds, read_catalogue, read_table, source_files, table_exists,
 )
 from tablesync.sources.shared import written
 
@@ -42,18 +45,26 @@ def incremental_sync(target: DataFrame, changed: DataFrame, markers: DataFrame,
     return upsert(delete_by_key(target, markers, key), changed, [key], checked=checked)
 
 
-def run_tables(tables: list[str], copy: Callable[[str], None], fail_on_error: bool = False) -> list[tuple[str, str | None]]:
-    """(table, error) of each table; the first failure ends the run only if asked to."""
-    out: list[tuple[str, str | None]] = []
-    for t in tables:
+def run_tables(tables: list[str], copy: Callable[[str], None], fail_on_error: bool = False, tables_at_once: int = 1) -> list[tuple[str, str | None]]:
+    """(table, error) of each table; the first failure ends the run only if asked to.
+
+    Of many small tables several can be copied at a time, so that the cluster is not idle while one ends: each is
+    Spark jobs of its own, submitted from a thread of its own.
+    """
+
+    def one(table: str) -> tuple[str, str | None]:
         try:
-            copy(t)
-            out.append((t, None))
+            copy(table)
         except Exception as e:
             if fail_on_error:
                 raise
-            out.append((t, str(e)))
-    return out
+            return table, str(e)
+        return table, None
+
+    if tables_at_once == 1:
+        return [one(t) for t in tables]
+    with ThreadPoolExecutor(tables_at_once) as pool:
+        return list(pool.map(inheritable_thread_target(one), tables))
 
 
 class Counted:
@@ -99,7 +110,7 @@ def _recorded(ledger: Ledger | None, run: str, target: Profile, name: str, count
         raise
 
 
-def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list[str], truncate: bool = True, excluded: tuple[str, ...] = (), done: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, ledger: Ledger | None = None, run: str = "full", switches: Switches | None = None) -> list[tuple[str, str | None]]:
+def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list[str], truncate: bool = True, excluded: tuple[str, ...] = (), done: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, ledger: Ledger | None = None, run: str = "full", switches: Switches | None = None, tables_at_once: int = 1) -> list[tuple[str, str | None]]:
     """Copies tables from profile to profile and returns (table, error) of each.
 
     ``excluded``: tables that truncation spares; ``done``: those that an earlier, interrupted run has copied.
@@ -135,7 +146,7 @@ def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list
         count = Counted()
         _recorded(ledger, run, target, name, count, lambda: copied(name, count))
 
-    outcomes = run_tables([t for t in tables if t.lower() not in lower(done)], copy)
+    outcomes = run_tables([t for t in tables if t.lower() not in lower(done)], copy, tables_at_once=tables_at_once)
     if switches and switches.remove_tables:
         superfluous = [r[0] for r in tables_to_clear(list_tables(read_catalogue(spark, target)), spark.createDataFrame([(f"{target.prefix}{t}",) for t in tables], "table_name string")).collect()]
         outcomes += run_tables([t.removeprefix(target.prefix.lower()) for t in superfluous], lambda name: drop_table(spark, target, name))
@@ -144,14 +155,18 @@ def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list
 
 
 def plan_batches(spark: SparkSession, source: Profile, name: str, keys: list[str], rows: int, size: int) -> list[tuple[str | None, str | None]]:
-    """Bounds of a table's batches: of a folder, names of neighbouring files of ``size`` bytes; of a database, keys
-    ``rows`` apart, found by the database. One batch without bounds where a table cannot be parted."""
-    if spark.catalog.tableExists(f"v_{name}") or not (source.is_jdbc or source_files(spark, source, name)):
-        return [(None, None)]
-    if source.is_jdbc:
-        lows = [str(r[0]) for r in markers_jdbc(spark, source, name, keys[0], rows).collect()] if keys else []
-    else:
-        lows, left = [], 0
+    """Bounds of a table's batches: of a folder, names of neighbouring files of ``size`` bytes; of a database and of a
+    view, keys ``rows`` apart, which the database and Spark find. One batch without bounds where a table cannot be
+    parted. A bound a batch comes to the driver."""
+    is_view = spark.catalog.tableExists(f"v_{name}")
+    lows: list[str] = []
+    if is_view and keys:
+        marked = batch_markers(spark.table(f"v_{name}").filter(F.col(keys[0]).isNotNull()).select(keys[0]), keys[0], rows)
+        lows = [r[0] for r in marked.select(F.col(keys[0])).distinct().orderBy(keys[0]).select(F.col(keys[0]).cast("string")).collect()]
+    elif source.is_jdbc and not is_view and keys:
+        lows = [str(r[0]) for r in markers_jdbc(spark, source, name, keys[0], rows).collect()]
+    elif not is_view and not source.is_jdbc:
+        left = 0
         for file, n in source_files(spark, source, name):
             if left <= 0:
                 lows.append(file)
@@ -163,13 +178,15 @@ def plan_batches(spark: SparkSession, source: Profile, name: str, keys: list[str
 def _batch_rows(spark: SparkSession, source: Profile, name: str, keys: list[str], bounds: list[tuple[str | None, str | None]], first: bool) -> DataFrame:
     if bounds[0][0] is None:
         return read_table(spark, source, name, views=True)
+    if spark.catalog.tableExists(f"v_{name}"):
+        return read_between(spark.table(f"v_{name}"), keys[0], bounds, first)
     if source.is_jdbc:
         return read_by_key_bounds(spark, source, name, keys[0], bounds, first)
     files = [f for f, _ in source_files(spark, source, name) if any(low <= f and (high is None or f < high) for low, high in bounds)]
     return default_conditions(Folder(spark, source.path(name)).read(only=files), name, source.type_system)
 
 
-def run_resumable(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], ledger: Ledger, run: str, rows: int = 1_000_000, size: int = 1 << 30, at_once: int = 16, truncate: bool = True, excluded: tuple[str, ...] = (), rules: dict[str, Rules] | None = None) -> list[tuple[str, str | None]]:
+def run_resumable(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], ledger: Ledger, run: str, rows: int = 1_000_000, size: int = 1 << 30, at_once: int = 16, truncate: bool = True, excluded: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, tables_at_once: int = 1) -> list[tuple[str, str | None]]:
     """A full copy in batches, which goes on where an earlier call of the same ``run`` ended.
 
     A table's batches are registered with their bounds before the first is written, and keep them. ``at_once`` of them
@@ -180,6 +197,8 @@ def run_resumable(spark: SparkSession, source: Profile, target: Profile, tables:
 
     def copy(name: str) -> None:
         keys = tables[name]
+        if ledger.tasks(run).filter((F.col("pipelinename") == name) & (F.col("failure") == 0)).take(1):
+            return
         if not ledger.batches(run).filter(F.col("pipelinename") == name).take(1):
             ledger.register(run, name, plan_batches(spark, source, name, keys, rows, size))
         # a number and two bounds a batch
@@ -207,7 +226,7 @@ def run_resumable(spark: SparkSession, source: Profile, target: Profile, tables:
         total = ledger.written(run).filter(F.col("pipelinename") == name).agg(F.sum("rows_read"), F.sum("rows_written"), F.sum("seconds")).first()
         ledger.finish(run, name, f"{target.prefix}{name}", total[0], total[1], total[2] or time.monotonic() - began, truncated=truncate)
 
-    outcomes = run_tables(list(tables), copy)
+    outcomes = run_tables(list(tables), copy, tables_at_once=tables_at_once)
     for name, error in outcomes:
         if error:
             ledger.finish(run, name, f"{target.prefix}{name}", None, None, 0.0, error[:1000])
@@ -231,7 +250,7 @@ def apply_changes(target: Profile, name: str, keys: list[str], order_col: str, s
     return apply
 
 
-def run_incremental(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], mark: str | None, started: str, markers: DataFrame | None = None, ts_col: str = "modifiedts", as_time: Callable[[str], Column] = F.lit, ledger: Ledger | None = None) -> tuple[str, list[tuple[str, str | None]]]:
+def run_incremental(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], mark: str | None, started: str, markers: DataFrame | None = None, ts_col: str = "modifiedts", as_time: Callable[[str], Column] = F.lit, ledger: Ledger | None = None, tables_at_once: int = 1) -> tuple[str, list[tuple[str, str | None]]]:
     """An incremental run over tables with their keys: of each its deletions, then its changed rows, in one step;
     localised tables (``lp``) come last.
 
@@ -269,8 +288,8 @@ def run_incremental(spark: SparkSession, source: Profile, target: Profile, table
         count = Counted()
         _recorded(ledger, started, target, name, count, lambda: merged(name, count))
 
-    outcomes = run_tables(plain, merge)
-    outcomes += run_tables([t for t in tables if is_localized(t)], merge)
+    outcomes = run_tables(plain, merge, tables_at_once=tables_at_once)
+    outcomes += run_tables([t for t in tables if is_localized(t)], merge, tables_at_once=tables_at_once)
     drop_views(spark, list(tables))
     return next_mark(mark, started, outcomes), outcomes
 

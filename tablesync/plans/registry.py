@@ -18,7 +18,9 @@ from tablesync.functions import anonymize as an
 from tablesync.functions import coerce, masking, names
 from tablesync.operators import batches, delta, merge, project
 from tablesync.plans import catalog, jobs, ledger, schema
-from tablesync.streaming.capture import capture_deletions
+from tablesync.sources.profile import Profile, footer_reader, list_partitions, read_partitions, read_table
+from tablesync.sources.shared import new_folder
+from tablesync.streaming.capture import capture_deletions, run_available
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 SINCE = "1998-01-01 00:00:00"
@@ -166,7 +168,9 @@ def batch_markers_localized(t):
 
 @query("SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'events', count(*) FROM events")
 def row_counts(t):
-    return delta.row_counts({n: getattr(t, n) for n in ("orders", "lineitem", "customer", "events")})
+    """No data column is read: counts come from file footers."""
+    own = Tables(footer_reader(t.spark), t.sf_dir)
+    return delta.row_counts({n: getattr(own, n) for n in ("orders", "lineitem", "customer", "events")})
 
 
 @query(f"SELECT 'orders' AS table_name, count(*) AS row_count FROM orders WHERE o_orderdate > TIMESTAMP '{SINCE}' UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '{SINCE}'")
@@ -235,10 +239,10 @@ def coerce_char_smallint(t):
     return t.lineitem.select("l_orderkey", code.alias("code"), coerce.smallint_to_char(code).alias("back"))
 
 
-@query("SELECT c_custkey, c_mktsegment AS clean FROM customer")
+@query("SELECT doc_id, replace(text, 'e', '') AS clean FROM documents")
 def strip_nul(t):
-    dirty = F.concat(F.decode(F.unhex(F.lit("00")), "UTF-8"), "c_mktsegment", F.decode(F.unhex(F.lit("00")), "UTF-8"))
-    return t.customer.select("c_custkey", coerce.strip_nul(dirty).alias("clean"))
+    """Every ``e`` of whole texts is a NUL."""
+    return t.documents.select("doc_id", coerce.strip_nul(F.translate("text", "e", "\0")).alias("clean"))
 
 
 @query("SELECT c_custkey, CAST(CASE WHEN x IS NULL OR x = '' THEN NULL ELSE coalesce(TRY_CAST(x AS DOUBLE), ascii(x)) END AS BIGINT) AS n FROM dirty")
@@ -332,9 +336,6 @@ def full_sync_excluded(t):
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, 0.5 * o_totalprice AS o_totalprice FROM orders WHERE o_orderstatus <> 'P'")
 def truncate_load(t):
     """A full copy with rules, over a target with other rows, both written to Parquet and read back."""
-    from tablesync.sources.profile import Profile, read_table
-    from tablesync.sources.shared import new_folder
-
     there = Profile(new_folder(t.spark, "target"))
     wanted = lambda df: project.exclude_columns(df, ["o_orderdate", "o_orderpriority"]).filter("o_orderstatus <> 'P'").withColumn("o_totalprice", 0.5 * F.col("o_totalprice"))
     jobs.run_full(t.spark, Profile(f"{t.sf_dir}"), there, ["orders"], truncate=False, rules={"orders": lambda df: df.select("o_orderkey")})
@@ -342,6 +343,118 @@ def truncate_load(t):
     return read_table(t.spark, there, "orders")
 
 
+MERGED = f"""WITH src AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate > TIMESTAMP '{SINCE}')
+SELECT coalesce(s.o_orderkey, k.o_orderkey) AS o_orderkey, CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_custkey ELSE k.o_custkey END AS o_custkey,
+CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE k.o_orderstatus END AS o_orderstatus,
+CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_totalprice ELSE k.o_totalprice END AS o_totalprice, k.o_orderpriority FROM """
+
+
+def _target(t: Tables, name: str = "orders", files: int = 8) -> Profile:
+    """A written target with ``tgt``'s rows, in files of neighbouring keys."""
+    there = Profile(new_folder(t.spark, "target"))
+    merge.overwrite(t.tgt.repartitionByRange(files, "o_orderkey").sortWithinPartitions("o_orderkey"), there, name)
+    return there
+
+
+@query(MERGED + "tgt k FULL JOIN src s ON k.o_orderkey = s.o_orderkey")
+def merge_touched_files(t):
+    """As ``upsert``, on a written table of which only files with a changed key are written anew."""
+    there = _target(t)
+    changed = delta.delta(t.orders, ntz(SINCE), "o_orderdate").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    merge.merge_files(there, "orders", changed, ["o_orderkey"])
+    return read_table(t.spark, there, "orders")
+
+
+@query(MERGED + "(SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM mk m WHERE m.p_itempk = tgt.o_orderkey AND m.modifiedts > TIMESTAMP '2024-01-01 12:00:00')) k FULL JOIN src s ON k.o_orderkey = s.o_orderkey")
+def incremental_run(t):
+    """A whole run into a written target: deletions, then the delta, in one change of the table; done twice."""
+    there, here = _target(t), Profile(new_folder(t.spark, "source"))
+    t.orders.drop("o_orderpriority").withColumnRenamed("o_orderdate", "modifiedts").write.parquet(here.path("orders"))
+    markers = t.mk.filter(F.col("modifiedts") > ntz("2024-01-01 12:00:00"))
+    for _ in range(2):
+        _, out = jobs.run_incremental(t.spark, here, there, {"orders": ["o_orderkey"]}, SINCE, "2024-01-01 00:00:00", markers, as_time=ntz)
+        _raise(out)
+    return read_table(t.spark, there, "orders")
+
+
+def _raise(outcomes: list[tuple[str, str | None]]) -> None:
+    if errors := [e for _, e in outcomes if e]:
+        raise RuntimeError(errors[0])
+
+
+@query("SELECT * FROM orders")
+def resumed_run(t):
+    """A copy in batches that ends after the first two jobs, and a second call that writes the rest."""
+    here, there = Profile(new_folder(t.spark, "source")), Profile(new_folder(t.spark, "target"))
+    t.orders.repartitionByRange(12, "o_orderkey").write.parquet(here.path("orders"))
+    book, jobs_done = ledger.Ledger(t.spark, new_folder(t.spark, "ledger")), []
+
+    def ends(df: DataFrame) -> DataFrame:
+        jobs_done.append(df)
+        if len(jobs_done) == 3:
+            raise RuntimeError("the run ends here")
+        return df
+
+    run = lambda rule: jobs.run_resumable(t.spark, here, there, {"orders": ["o_orderkey"]}, book, "r1", size=1, at_once=3, rules={"orders": rule})
+    run(ends)
+    _raise(run(lambda df: df))
+    return read_table(t.spark, there, "orders")
+
+
+@query(
+    "SELECT 'orders' AS pipelinename, (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS target_rows, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS difference "
+    "UNION ALL SELECT 'part', (SELECT count(*) FROM part), (SELECT count(*) FROM part), 0"
+)
+def reconcile_run(t):
+    """Counts that a run took while it wrote; no table is read again."""
+    book = ledger.Ledger(t.spark, new_folder(t.spark, "ledger"))
+    _raise(jobs.run_full(t.spark, Profile(t.sf_dir), Profile(new_folder(t.spark, "target")), ["orders", "part"], rules={"orders": lambda df: df.filter("o_orderstatus <> 'P'")}, ledger=book, run="m1"))
+    return book.reconcile("m1")
+
+
+CHANGES = "SELECT user_id AS pk, event_id AS v, ts, event_type AS op FROM events"
+
+
+@query(f"SELECT pk, v FROM (SELECT pk, v, op, row_number() OVER (PARTITION BY pk ORDER BY ts DESC, v DESC) AS rn FROM ({CHANGES})) WHERE rn = 1 AND op <> 'error' UNION ALL SELECT p_partkey + 1000000, p_size FROM part")
+def streamed_changes(t):
+    """A stream of changes applied to a written table, each batch as if it came twice."""
+    there, at = Profile(new_folder(t.spark, "target")), new_folder(t.spark, "changes")
+    old = t.part.selectExpr("p_partkey + 1000000 AS pk", "CAST(p_size AS BIGINT) AS v")
+    merge.overwrite(old.union(t.events.filter("event_id % 3 = 0").selectExpr("user_id AS pk", "-1L AS v").distinct()), there, "item")
+    # of changes at one time the one with the greater number counts
+    t.events.selectExpr("user_id AS pk", "event_id AS v", "struct(ts, event_id) AS at", "event_type AS op").write.parquet(at)
+    apply = jobs.apply_changes(there, "item", ["pk"], "at", "changes", F.col("op") == "error")
+
+    def twice(df: DataFrame, number: int) -> None:
+        apply(df, number)
+        apply(df, number)
+
+    stream = t.spark.readStream.schema(t.spark.read.parquet(at).schema).parquet(at)
+    run_available(stream, twice, new_folder(t.spark, "mark")).awaitTermination()
+    return read_table(t.spark, there, "item")
+
+
+@query("SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem WHERE l_returnflag IN (SELECT min(l_returnflag) FROM lineitem UNION ALL SELECT max(l_returnflag) FROM lineitem)")
+def read_chosen_partitions(t):
+    """Partitions are found by the layout; those that are not chosen are left unread."""
+    at = new_folder(t.spark, "partitioned")
+    t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate", "l_returnflag").write.partitionBy("l_returnflag").parquet(at)
+    found = list_partitions(t.spark, at, "l_returnflag")
+    ends = found.agg(F.min("l_returnflag").alias("a"), F.max("l_returnflag").alias("b"))
+    chosen = ends.select(F.explode(F.array("a", "b")).alias("l_returnflag"))
+    return read_partitions(t.spark.read.parquet(at), "l_returnflag", chosen)
+
+
+@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_totalprice, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, NULL FROM tgt")
+def evolved_run(t):
+    """A full run whose target lacks a column of the source, has one that the source lacks, and keeps its rows."""
+    there, here = Profile(new_folder(t.spark, "target")), Profile(new_folder(t.spark, "source"))
+    merge.overwrite(t.tgt.select("O_ORDERKEY", "o_custkey", "o_totalprice", F.lit("x").alias("only_here")), there, "orders")
+    t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus").write.parquet(here.path("orders"))
+    _raise(jobs.run_full(t.spark, here, there, ["orders"], truncate=False, switches=schema.Switches(remove_columns=True)))
+    return read_table(t.spark, there, "orders").withColumnRenamed("O_ORDERKEY", "o_orderkey")
+
+
 @query("SELECT DISTINCT lower(table_name) AS table_name FROM tcat WHERE lower(table_name) NOT IN (SELECT replace(lower(table_name), 'src_', 'tgt_') FROM cat WHERE row_count > 25)")
 def tables_to_clear(t):
     """Names of tables differ in case, some come twice in different cases."""
@@ -634,6 +747,19 @@ def anonymize_shape(t):
     return new.groupBy("segment").agg(F.count("*").alias("n"), F.count_if(F.col("c_name").rlike("^u-[1-9][0-9]{5}-[A-Za-z]{4}$")).alias("renamed"), F.count_if(F.col("c_mktsegment").rlike(guid)).alias("appended"), F.count_if(F.col("c_acctbal").isNotNull()).alias("kept_balance"))
 
 
+_CITY = "CAST(('0x' || substr(sha256(concat_ws('|', 's1', 'customer', 'c_name', c_custkey, '0', '0')), 1, 12)) AS UBIGINT)"
+
+
+@query(f"WITH cities AS (SELECT list(n_name ORDER BY n_nationkey) AS l FROM nation) SELECT c_custkey, l[CAST({_CITY} % len(l) AS BIGINT) + 1] AS c_name FROM customer, cities")
+def anonymize_from_lists(t):
+    """A rule picks from a list that a file has."""
+    at = new_folder(t.spark, "lists")
+    cities = F.transform(F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))), lambda x: x["n_name"])
+    t.nation.agg(cities.alias("city")).coalesce(1).write.json(at)
+    rules = [an.Rule("c_name", "REPLACE", "{RANDOM(city)}")]
+    return an.anonymize(t.customer, rules, "customer", "c_custkey", "s1", an.load_lists(t.spark, at)).select("c_custkey", "c_name")
+
+
 def _h(k: int, i: int) -> str:
     return f"CAST(('0x' || substr(sha256(concat_ws('|', 's1', 'customer', 'c_name', c_custkey, '{k}', '{i}')), 1, 12)) AS UBIGINT)"
 

@@ -213,6 +213,24 @@ def list_tables(catalogue: DataFrame) -> DataFrame:
     return catalogue.select(F.lower("table_name").alias("table_name")).filter(~F.col("table_name").startswith(HIDDEN_PREFIX)).distinct()
 
 
+def list_views(spark: SparkSession, profile: Profile) -> DataFrame:
+    """(view_name) of a database's views with the profile's prefix; for folders, of the session's temp views."""
+    if profile.is_jdbc:
+        link = spark._jvm.java.sql.DriverManager.getConnection(profile.url, properties(spark, profile))
+        try:
+            kinds = spark.sparkContext._gateway.new_array(spark._jvm.java.lang.String, 1)
+            kinds[0] = "VIEW"
+            found, names = link.getMetaData().getTables(None, None, "%", kinds), []
+            while found.next():
+                names.append(found.getString("TABLE_NAME"))
+        finally:
+            link.close()
+    else:
+        names = [t.name for t in spark.catalog.listTables() if t.isTemporary]
+    own = [(n,) for n in names if n.lower().startswith(profile.prefix.lower()) and not n.lower().startswith(HIDDEN_PREFIX)]
+    return spark.createDataFrame(own, "view_name string")
+
+
 def list_columns(catalogue: DataFrame) -> DataFrame:
     """Distinct (table_name, column_name), both in lower case."""
     return catalogue.select(F.lower("table_name").alias("table_name"), F.lower("column_name").alias("column_name")).distinct()
@@ -221,3 +239,13 @@ def list_columns(catalogue: DataFrame) -> DataFrame:
 def typed_bound(value: str, key_type: str) -> Column:
     """A stored boundary (text) as a value of the key's type."""
     return F.lit(value).cast(key_type)
+
+
+def read_between(df: DataFrame, key: str, bounds: list[tuple[str, str | None]], first: bool = False) -> DataFrame:
+    """Rows between stored bounds (text) of a key; the ``first`` bounds take null keys."""
+    own = next(f for f in df.schema if f.name.lower() == key.lower())
+    test = F.col(own.name).isNull() if first else F.lit(False)
+    for low, high in bounds:
+        inside = F.col(own.name) >= typed_bound(low, own.dataType)
+        test = test | (inside if high is None else inside & (F.col(own.name) < typed_bound(high, own.dataType)))
+    return df.filter(test)

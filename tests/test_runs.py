@@ -1,6 +1,7 @@
 """Runs that write: nothing is lost, applied twice or seen in part."""
 
 import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -129,6 +130,20 @@ def test_merge_of_files_rewrites_only_touched_ones(spark, tmp_path):
     assert rows(spark.read.parquet(there.path("item"))) == rows(want)
 
 
+def test_touched_files_of_keys_of_all_kinds(spark, tmp_path):
+    there = Profile(str(tmp_path / "t"))
+    kinds = "day date, at timestamp, here timestamp_ntz, dec decimal(20,3), name string, real double"
+    one = lambda i: (datetime.date(2024, 1, 1) + datetime.timedelta(days=i), datetime.datetime(2024, 1, 1, i), datetime.datetime(2024, 1, 1, i, 30), Decimal(i) / 8, f"é{i:02}", float("nan") if i == 3 else i / 3)
+    put(spark, there, "item", [one(i) for i in range(20)], kinds, files=5)
+    whole = read_table(spark, there, "item")
+    for c in whole.columns:
+        keys = whole.filter("day IN ('2024-01-04', '2024-01-05')").select(c)
+        assert 1 <= len(merge.touched_files(whole, keys)) <= 2 and merge.touched_files(whole, keys.limit(0)) == []
+        assert merge.merge_files(there, "item", keys.withColumn("name", F.lit("new")) if c != "name" else keys, [c])
+        whole = read_table(spark, there, "item")
+    assert whole.count() == 20
+
+
 def test_a_crash_keeps_the_old_table_and_a_second_writer_fails(spark, tmp_path, monkeypatch):
     there = Profile(str(tmp_path / "t"))
     put(spark, there, "item", [(i, i, 0) for i in range(20)], KIND, files=4)
@@ -313,3 +328,67 @@ def test_partitions_are_found_and_pruned(spark, tmp_path):
     other.write.parquet(str(tmp_path / "o"))
     plan = read_partitions(whole, "part", spark.read.parquet(str(tmp_path / "o")).filter("n > 2"))
     assert "dynamicpruning" in plan._jdf.queryExecution().toString() and plan.count() == 10
+
+
+def test_listing_of_a_database(spark, db):
+    from tablesync.sources.profile import list_tables, list_views, read_catalogue
+
+    put(spark, db, "item", [(1, 2, 3)], KIND)
+    with merge.transaction(spark, db) as link:
+        merge.run(link, "CREATE VIEW v_item AS SELECT * FROM item")
+        merge.run(link, "CREATE TABLE migrationtoolkit_x (a INT)")
+    assert rows(list_views(spark, db)) == [("V_ITEM",)]
+    names = {r[0] for r in list_tables(read_catalogue(spark, db)).collect()}
+    assert {"item", "v_item"} <= names and "migrationtoolkit_x" not in names
+    assert {tuple(r) for r in read_catalogue(spark, db).collect()} >= {("ITEM", "pk"), ("ITEM", "v")}
+    spark.range(1).createOrReplaceTempView("v_seen")
+    assert ("v_seen",) in rows(list_views(spark, Profile("/nowhere")))
+    spark.catalog.dropTempView("v_seen")
+
+
+def test_counts_come_from_footers(spark, tmp_path):
+    from tablesync.sources.profile import footer_reader
+
+    spark.range(1000).select("id", (F.col("id") % 3).alias("part")).repartition(4).write.partitionBy("part").parquet(str(tmp_path / "t"))
+    own = footer_reader(spark)
+    whole = own.read.parquet(str(tmp_path / "t")).agg(F.count("*"), F.min("id"), F.max("id"))
+    parts = own.read.parquet(str(tmp_path / "t")).groupBy("part").agg(F.count("*"))
+    for df in (whole, parts):
+        assert "PushedAggregation: [COUNT(*)" in df._jdf.queryExecution().toString()
+    assert rows(whole) == [(1000, 0, 999)] and rows(parts) == [(0, 334), (1, 333), (2, 333)]
+    assert "PushedAggregation: [COUNT" not in spark.read.parquet(str(tmp_path / "t")).agg(F.count("*"))._jdf.queryExecution().toString()
+
+
+def test_lists_of_values_come_from_a_file(spark, tmp_path):
+    from tablesync.functions import anonymize as an
+
+    (tmp_path / "lists.json").write_text('{"city": ["Aa", "Bb", "Cc"],\n "street": ["Weg"]}')
+    lists = an.load_lists(spark, str(tmp_path / "lists.json"))
+    df = spark.range(200).select(F.col("id").alias("pk"), F.lit("x").alias("town"), F.lit("y").alias("way"))
+    rules = [an.Rule("town", "REPLACE", "{RANDOM(city)}"), an.Rule("way", "APPEND", " {RANDOM( street )}")]
+    new = an.anonymize(df, rules, "t", "pk", "s", lists)
+    assert {r[0] for r in new.select("town").distinct().collect()} == {"Aa", "Bb", "Cc"} and rows(new.select("way").distinct()) == [("y Weg",)]
+    assert rows(new) == rows(an.anonymize(df, rules, "t", "pk", "s", lists))
+    with pytest.raises(ValueError, match="no list"):
+        an.anonymize(df, rules, "t", "pk", "s")
+
+
+def test_views_are_copied_in_batches_between_typed_bounds(spark, tmp_path):
+    here, there, ledger = Profile(str(tmp_path / "s")), Profile(str(tmp_path / "t")), Ledger(spark, str(tmp_path / "l"))
+    data = [(datetime.date(2024, 1, 1) + datetime.timedelta(days=i % 37), i) for i in range(120)] + [(None, -1)]
+    spark.createDataFrame(data, "day date, v int").createOrReplaceTempView("v_item")
+    out = jobs.run_resumable(spark, here, there, {"item": ["day"]}, ledger, "r", rows=15, at_once=2)
+    assert out == [("item", None)] and got(spark, there, "item") == sorted(data, key=repr)
+    bounds = [tuple(r) for r in ledger.batches("r").orderBy("batchid").select("lowerboundary", "upperboundary").collect()]
+    assert len(bounds) == 8 and bounds[0][0] == "2024-01-01" and bounds[-1][1] is None
+    spark.catalog.dropTempView("v_item")
+
+
+def test_many_tables_at_a_time(spark, tmp_path):
+    here, there, ledger = Profile(str(tmp_path / "s")), Profile(str(tmp_path / "t")), Ledger(spark, str(tmp_path / "l"))
+    names = [f"t{i}" for i in range(6)]
+    for i, n in enumerate(names):
+        put(spark, here, n, [(k, k, k) for k in range(i)], KIND)
+    out = jobs.run_full(spark, here, there, [*names, "lost"], ledger=ledger, run="m", tables_at_once=3)
+    assert [t for t, e in out if e] == ["lost"] and [t for t, _ in out] == [*names, "lost"]
+    assert rows(ledger.reconcile("m").filter("pipelinename <> 'lost'").select("pipelinename", "target_rows")) == [(n, i) for i, n in enumerate(names)]
