@@ -14,6 +14,7 @@ an id like any other. Other columns are left alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from itertools import product
 from re import _parser as parser
@@ -50,6 +51,8 @@ MORE = (
 )
 RULES = BASE + MORE
 MOST_EXACT = 64
+#: Elements or code points that are worked through from their start at a time.
+STRIDE = 1024
 
 
 def trigram_query(regex: str) -> list[frozenset[str]]:
@@ -117,20 +120,48 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return both.filter("have = need").groupBy("key").agg(F.collect_set("rule").alias("rules"))
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once however often a function inside names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _before(values: Column, fold: Callable[[Column, Column], Column]) -> Column:
+    """For an array of whole numbers of 0 or more, the fold of those before each place (0 at the first).
+
+    An array that grows by one is copied each time, so parts of ``STRIDE`` are folded by themselves, and then their
+    totals: the work grows nearly with the length.
+    """
+    none = F.array().cast("array<int>")
+
+    def running(x: Column) -> Column:
+        start = F.struct(F.lit(0).alias("sum"), none.alias("out"))
+        return F.aggregate(x, start, lambda acc, v: F.struct(fold(acc["sum"], v).alias("sum"), F.concat(acc["out"], F.array(acc["sum"])).alias("out")))
+
+    def within(own: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(own), F.lit(STRIDE)), lambda i: i < F.size(own))
+        parts = F.transform(starts, lambda i: running(F.slice(own, i + 1, F.lit(STRIDE))))
+        return _bound(parts, lambda p: _bound(running(F.transform(p, lambda x: x["sum"]))["out"], lambda base: F.flatten(F.zip_with(p, base, lambda x, y: F.transform(x["out"], lambda v: fold(v, y))))))
+
+    return _bound(values, within)
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """Sorted structs (start, order, end, kind) of a rule's matches in ``text``."""
     pattern = rf"(?s)\G(.*?)({rule.regex})"  # \G: no new start after the last match
-    part = lambda g: F.regexp_extract_all(text, F.lit(pattern), F.lit(g))
-    zipped = F.arrays_zip(part(1).alias("gap"), part(2).alias("hit"), part(2 + rule.group).alias("own"))
+    part = lambda g: F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(g)), F.length)
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")))
-        return F.struct(end.alias("pos"), F.when(F.length(x["own"]) >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def placed(found: Column) -> Column:
+        before = _before(F.transform(found, lambda x: x["gap"] + x["hit"]), lambda a, b: a + b)
+
+        def span(x: Column, at: Column) -> Column:
+            start = at + x["gap"]
+            return F.struct(start.alias("start"), F.lit(order).alias("order"), (start + x["hit"]).alias("end"), F.lit(rule.kind).alias("kind"), x["own"].alias("own"))
+
+        kept = F.filter(F.zip_with(found, before, span), lambda x: x["own"] >= rule.least)
+        return F.transform(kept, lambda x: F.struct(x["start"].alias("start"), x["order"].alias("order"), x["end"].alias("end"), x["kind"].alias("kind")))
 
-    found = F.aggregate(zipped, F.struct(F.lit(0).alias("pos"), none.alias("out")), step, lambda acc: acc["out"])
+    found = _bound(F.arrays_zip(part(1).alias("gap"), part(2).alias("hit"), part(2 + rule.group).alias("own")), placed)
     return F.when(F.rlike(text, F.lit(rule.regex)), found).otherwise(none)
 
 
@@ -159,16 +190,30 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     """
 
     at = place(docs, text)
+    wide = F.regexp_extract_all(F.col(at), F.lit(rf"(?s).{{1,{STRIDE}}}"), F.lit(0))
 
-    def step(acc: Column, x: Column) -> Column:
-        begins = x["start"] >= acc["pos"]
-        upto = F.concat(acc["out"], F.substring(F.col(at), acc["pos"] + 1, x["start"] - acc["pos"]), F.lit("["), x["kind"], F.lit("]"))
-        return F.struct(F.greatest(acc["pos"], x["end"]).alias("pos"), F.when(begins, upto).otherwise(acc["out"]).alias("out"))
+    def clean(spans: Column) -> Column:
+        ends = _before(F.transform(spans, lambda x: x["end"]), F.greatest)
+
+        def pieces(cut: Column) -> Column:
+            def part(start: Column, end: Column) -> Column:
+                """Code points from ``start`` to ``end``, without a walk from the text's start."""
+                first, last = F.floor(start / STRIDE).cast("int"), F.floor((end - 1) / STRIDE).cast("int")
+                inside = F.substring(cut[first], start % STRIDE + 1, end - start)
+                over = F.concat(F.substring(cut[first], start % STRIDE + 1, F.lit(STRIDE)), F.array_join(F.slice(cut, first + 2, last - first - 1), ""), F.substring(cut[last], F.lit(1), end - last * STRIDE))
+                return F.when(start >= end, F.lit("")).when(first == last, inside).otherwise(over)
+
+            def piece(x: Column, done: Column) -> Column:
+                return F.when(x["start"] >= done, F.concat(part(done, x["start"]), F.lit("["), x["kind"], F.lit("]"))).otherwise(F.lit(""))
+
+            most = F.array_max(F.transform(spans, lambda x: x["end"]))
+            rest = F.when(most < F.length(at), part(most, F.length(at))).otherwise(F.lit(""))
+            return F.concat(F.array_join(F.zip_with(spans, ends, piece), ""), rest)
+
+        return _bound(wide, pieces)
 
-    start = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-    clean = F.aggregate(F.col("__spans"), start, step, lambda a: F.concat(a["out"], F.substring(F.col(at), a["pos"] + 1, F.length(at))))
     found = scan(numbered(docs), rules, at, "__spans")
-    return found.withColumn(at, F.when(F.size("__spans") > 0, clean).otherwise(F.col(at))).select(*named(docs))
+    return found.withColumn(at, F.when(F.size("__spans") > 0, _bound(F.col("__spans"), clean)).otherwise(F.col(at))).select(*named(docs))
 
 
 def _joined(spans: Column) -> Column:
@@ -183,4 +228,24 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op6_secret_scan": op6_secret_scan}
-ORACLES: dict[str, str] = {}
+
+
+def _sql() -> str:
+    """Each rule's matches as (gap, match) pairs from the text's start; places are running sums of their lengths."""
+    quoted = lambda x: x.replace("'", "''")
+    each = []
+    for n, r in enumerate(RULES):
+        part = lambda g, r=r: f"regexp_extract_all(t, '(?s)(.*?)({quoted(r.regex)})', {g})"
+        each.append(f"SELECT r, {n} AS o, '{r.kind}' AS kind, {r.least} AS least, unnest({part(1)}) AS gap, unnest({part(2)}) AS hit, unnest({part(2 + r.group)}) AS own, unnest(range(len({part(0)}))) AS i FROM d")
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(each)}),
+p AS (SELECT *, CAST(sum(length(gap) + length(hit)) OVER (PARTITION BY r, o ORDER BY i) AS BIGINT) AS stop FROM m),
+s AS (SELECT r, o, kind, stop - length(hit) AS start, stop, kind || ':' || (stop - length(hit)) || ':' || stop AS span FROM p WHERE length(own) >= least),
+g AS (SELECT r, count(*) FILTER (WHERE o = 0) AS a, count(*) FILTER (WHERE o = 1) AS b, count(*) FILTER (WHERE o = 2) AS c,
+             string_agg(span, ',' ORDER BY start, o) FILTER (WHERE o < {len(BASE)}) AS base, string_agg(span, ',' ORDER BY start, o) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)
+"""
+
+
+ORACLES = {"op6_secret_scan": _sql()}
