@@ -110,7 +110,11 @@ def _recorded(ledger: Ledger | None, run: str, target: Profile, name: str, count
         raise
 
 
-def run_full(spark: SparkSession, source: Profile, target: Profile, tables: list[str], truncate: bool = True, excluded: tuple[str, ...] = (), done: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, ledger: Ledger | None = None, run: str = "full", switches: Switches | None = None, tables_at_once: int = 1) -> list[tuple[str, str | None]]:
+def run_full(
+    spark: SparkSession, source: Profile, target: Profile, tables: list[str], truncate: bool = True, excluded: tuple[str, ...] = (),
+    done: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, ledger: Ledger | None = None, run: str = "full",
+    switches: Switches | None = None, tables_at_once: int = 1,
+) -> list[tuple[str, str | None]]:
     """Copies tables from profile to profile and returns (table, error) of each.
 
     ``excluded``: tables that truncation spares; ``done``: those that an earlier, interrupted run has copied.
@@ -186,7 +190,11 @@ def _batch_rows(spark: SparkSession, source: Profile, name: str, keys: list[str]
     return default_conditions(Folder(spark, source.path(name)).read(only=files), name, source.type_system)
 
 
-def run_resumable(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], ledger: Ledger, run: str, rows: int = 1_000_000, size: int = 1 << 30, at_once: int = 16, truncate: bool = True, excluded: tuple[str, ...] = (), rules: dict[str, Rules] | None = None, tables_at_once: int = 1) -> list[tuple[str, str | None]]:
+def run_resumable(
+    spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], ledger: Ledger, run: str,
+    rows: int = 1_000_000, size: int = 1 << 30, at_once: int = 16, truncate: bool = True, excluded: tuple[str, ...] = (),
+    rules: dict[str, Rules] | None = None, tables_at_once: int = 1,
+) -> list[tuple[str, str | None]]:
     """A full copy in batches, which goes on where an earlier call of the same ``run`` ended.
 
     A table's batches are registered with their bounds before the first is written, and keep them. ``at_once`` of them
@@ -250,7 +258,11 @@ def apply_changes(target: Profile, name: str, keys: list[str], order_col: str, s
     return apply
 
 
-def run_incremental(spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], mark: str | None, started: str, markers: DataFrame | None = None, ts_col: str = "modifiedts", as_time: Callable[[str], Column] = F.lit, ledger: Ledger | None = None, tables_at_once: int = 1) -> tuple[str, list[tuple[str, str | None]]]:
+def run_incremental(
+    spark: SparkSession, source: Profile, target: Profile, tables: dict[str, list[str]], mark: str | None, started: str,
+    markers: DataFrame | None = None, ts_col: str = "modifiedts", as_time: Callable[[str], Column] = F.lit,
+    ledger: Ledger | None = None, tables_at_once: int = 1,
+) -> tuple[str, list[tuple[str, str | None]]]:
     """An incremental run over tables with their keys: of each its deletions, then its changed rows, in one step;
     localised tables (``lp``) come last.
 

@@ -26,23 +26,53 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 SINCE = "1998-01-01 00:00:00"
 
 DERIVED = {
-    "tgt": "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS o_totalprice, o_orderpriority FROM orders WHERE o_orderkey % 10 <> 3",
+    "tgt": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN CAST(0 AS DOUBLE) ELSE o_totalprice END AS o_totalprice, "
+        "o_orderpriority FROM orders WHERE o_orderkey % 10 <> 3"
+    ),
     "mk": "SELECT event_id AS p_itempk, 'orders' AS p_table, ts AS modifiedts FROM events WHERE event_type = 'error'",
     "lp": "SELECT p_partkey AS itempk, lang AS langpk, p_name AS p_title, p_retailprice AS p_price FROM part, (SELECT DISTINCT lang FROM documents) l",
     "lptgt": "SELECT p_partkey AS itempk, lang AS langpk, 'old' AS p_title, p_size AS p_size FROM part, (SELECT DISTINCT lang FROM documents) l WHERE p_partkey % 3 <> 0",
-    "tasks": "SELECT user_id, user_id % 100 AS migrationid, concat('pipe', user_id) AS pipelinename, max(ts) AS lastupdate, max(CASE WHEN event_type = 'error' AND value > 80 THEN 1 ELSE 0 END) AS failure, count(*) AS sourcerowcount, CASE WHEN user_id % 9 = 0 THEN NULL ELSE count(*) END AS duration FROM events GROUP BY user_id",
+    "tasks": (
+        "SELECT user_id, user_id % 100 AS migrationid, concat('pipe', user_id) AS pipelinename, max(ts) AS lastupdate, max(CASE WHEN event_type = 'error' AND "
+        "value > 80 THEN 1 ELSE 0 END) AS failure, count(*) AS sourcerowcount, CASE WHEN user_id % 9 = 0 THEN NULL ELSE count(*) END AS duration FROM events "
+        "GROUP BY user_id"
+    ),
     "runs": "SELECT user_id % 100 AS migrationid, min(ts) AS startat FROM events GROUP BY user_id % 100",
     "bat": "SELECT event_type, user_id, event_id % 1000 + 1 AS rows, event_id % 7 + 1 AS seconds FROM events",
-    "cat": "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'src_composedtypes1' WHEN p_partkey % 50 = 2 THEN 'SRC_Props1' WHEN p_partkey % 50 = 3 THEN 'src_props7' WHEN p_partkey % 50 = 4 THEN 'src_mapTypessn' WHEN p_partkey % 50 = 6 THEN 'src_propsExtra' WHEN p_partkey % 4 = 0 THEN concat('src_tab', p_partkey, 'lp') ELSE concat('src_Tab', p_partkey) END AS table_name, p_size AS row_count FROM part",
-    "tcat": "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'tgt_composedtypes2' WHEN p_partkey % 50 = 2 THEN 'tgt_props2' WHEN p_partkey % 4 = 0 THEN concat('tgt_TAB', p_partkey, 'LP') ELSE concat('tgt_tab', p_partkey) END AS table_name FROM part WHERE p_partkey % 3 <> 0",
+    "cat": (
+        "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'src_composedtypes1' WHEN p_partkey % 50 = 2 THEN 'SRC_Props1' WHEN p_partkey % 50 = 3 THEN 'src_props7' "
+        "WHEN p_partkey % 50 = 4 THEN 'src_mapTypessn' WHEN p_partkey % 50 = 6 THEN 'src_propsExtra' WHEN p_partkey % 4 = 0 THEN concat('src_tab', p_partkey, "
+        "'lp') ELSE concat('src_Tab', p_partkey) END AS table_name, p_size AS row_count FROM part"
+    ),
+    "tcat": (
+        "SELECT CASE WHEN p_partkey % 50 = 1 THEN 'tgt_composedtypes2' WHEN p_partkey % 50 = 2 THEN 'tgt_props2' WHEN p_partkey % 4 = 0 THEN concat('tgt_TAB', "
+        "p_partkey, 'LP') ELSE concat('tgt_tab', p_partkey) END AS table_name FROM part WHERE p_partkey % 3 <> 0"
+    ),
     "cols": "SELECT concat('Tab', p_partkey % 97) AS table_name, concat('c', p_size) AS column_name FROM part",
     "tcols": "SELECT concat('tab', p_partkey % 97) AS table_name, concat('C', p_size) AS column_name FROM part WHERE p_partkey % 97 <> 5 AND p_partkey % 3 <> 0",
-    "idx": "SELECT DISTINCT concat('tab', l_orderkey % 5000) AS table_name, concat('ix', l_linenumber) AS index_name, concat('c', l_partkey % 9) AS column_name, l_partkey % 9 AS position FROM lineitem",
-    "dep": "SELECT p_partkey AS Typecode, CASE WHEN p_partkey % 40 = 1 THEN 'composedtypes1' WHEN p_partkey % 40 = 2 THEN 'props1' ELSE concat('tab', p_partkey) END AS TableName, p_brand AS Name, CASE WHEN p_partkey % 2 = 0 THEN 'SYS2' ELSE 'SYS1' END AS TypeSystemName, CASE WHEN p_partkey % 5 = 0 THEN concat('aud', p_partkey) END AS AuditTableName, CASE WHEN p_partkey % 3 = 0 THEN 'Props1' ELSE concat('pr', p_partkey) END AS PropsTableName FROM part",
+    "idx": (
+        "SELECT DISTINCT concat('tab', l_orderkey % 5000) AS table_name, concat('ix', l_linenumber) AS index_name, concat('c', l_partkey % 9) AS column_name, "
+        "l_partkey % 9 AS position FROM lineitem"
+    ),
+    "dep": (
+        "SELECT p_partkey AS Typecode, CASE WHEN p_partkey % 40 = 1 THEN 'composedtypes1' WHEN p_partkey % 40 = 2 THEN 'props1' ELSE concat('tab', p_partkey) "
+        "END AS TableName, p_brand AS Name, CASE WHEN p_partkey % 2 = 0 THEN 'SYS2' ELSE 'SYS1' END AS TypeSystemName, CASE WHEN p_partkey % 5 = 0 THEN "
+        "concat('aud', p_partkey) END AS AuditTableName, CASE WHEN p_partkey % 3 = 0 THEN 'Props1' ELSE concat('pr', p_partkey) END AS PropsTableName FROM part"
+    ),
     "systems": "SELECT concat('SYS', s_suppkey) AS name, CASE WHEN s_suppkey = 1 THEN 'current' ELSE 'retired' END AS state, s_name AS comment FROM supplier",
-    "conf": "SELECT CASE WHEN c_custkey % 5 = 0 THEN 'db.secret' ELSE c_name END AS k, CASE WHEN c_custkey % 2 = 0 THEN concat('url=x;password=', c_custkey, ';user=a;password=b;') ELSE c_mktsegment END AS v FROM customer",
-    "dirty": "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_custkey % 4 = 1 THEN CAST(c_custkey AS VARCHAR(20)) WHEN c_custkey % 4 = 2 THEN NULL ELSE c_mktsegment END AS x FROM customer",
-    "staged": "SELECT concat(CASE WHEN p_partkey % 3 = 0 THEN 'run_' WHEN p_partkey % 3 = 1 THEN concat('stg', p_partkey % 7, '_') ELSE 'mig_' END, CASE WHEN p_partkey % 4 = 1 THEN 'YDeployments' ELSE concat('tab', p_partkey) END) AS table_name FROM part",
+    "conf": (
+        "SELECT CASE WHEN c_custkey % 5 = 0 THEN 'db.secret' ELSE c_name END AS k, CASE WHEN c_custkey % 2 = 0 THEN concat('url=x;password=', c_custkey, "
+        "';user=a;password=b;') ELSE c_mktsegment END AS v FROM customer"
+    ),
+    "dirty": (
+        "SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN '' WHEN c_custkey % 4 = 1 THEN CAST(c_custkey AS VARCHAR(20)) WHEN c_custkey % 4 = 2 THEN NULL "
+        "ELSE c_mktsegment END AS x FROM customer"
+    ),
+    "staged": (
+        "SELECT concat(CASE WHEN p_partkey % 3 = 0 THEN 'run_' WHEN p_partkey % 3 = 1 THEN concat('stg', p_partkey % 7, '_') ELSE 'mig_' END, CASE WHEN "
+        "p_partkey % 4 = 1 THEN 'YDeployments' ELSE concat('tab', p_partkey) END) AS table_name FROM part"
+    ),
     "chg": "SELECT event_id AS item_pk, user_id % 20 AS typecode, CASE WHEN event_type = 'error' THEN 'REMOVE' ELSE 'SAVE' END AS change, ts FROM events",
     "tmap": "SELECT n_nationkey AS typecode, lower(n_name) AS table_name FROM nation WHERE n_nationkey % 2 = 0",
     "plan": "SELECT CAST(floor(o_orderkey / 100) AS BIGINT) AS batchid, min(o_orderkey) AS lowerboundary FROM orders GROUP BY CAST(floor(o_orderkey / 100) AS BIGINT)",
@@ -110,13 +140,19 @@ def localized_delta(t):
     return delta.localized_delta(t.lp, t.part.filter("p_partkey % 7 = 0"), "itempk", "p_partkey")
 
 
-@query("SELECT CAST(floor(rn / 1000) AS BIGINT) AS batch_id, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) GROUP BY 1")
+@query(
+    "SELECT CAST(floor(rn / 1000) AS BIGINT) AS batch_id, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT o_orderkey, "
+    "row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders) GROUP BY 1"
+)
 def key_range_batches(t):
     own = batches.key_range_batches(t.orders.select("o_orderkey"), "o_orderkey", 1000)
     return own.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
-@query("SELECT CAST(floor((rn - 1) / 500) AS BIGINT) AS batch_id, count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM (SELECT l_orderkey, count(*) OVER (ORDER BY l_orderkey) AS rn FROM lineitem) GROUP BY 1")
+@query(
+    "SELECT CAST(floor((rn - 1) / 500) AS BIGINT) AS batch_id, count(*) AS n, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM (SELECT l_orderkey, "
+    "count(*) OVER (ORDER BY l_orderkey) AS rn FROM lineitem) GROUP BY 1"
+)
 def key_range_batches_ties(t):
     own = batches.key_range_batches(t.lineitem.select("l_orderkey"), "l_orderkey", 500)
     return own.groupBy("batch_id").agg(F.count("*").alias("n"), F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi"))
@@ -130,7 +166,10 @@ def batch_boundaries(t):
     return batches.batch_plan(batches.batch_markers(t.orders, "o_orderkey", 1000), "o_orderkey", 1000)
 
 
-@query("SELECT CAST(floor(rn / 200) AS BIGINT) AS batch_id, count(*) AS n, min(c_custkey) AS lo FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS rn FROM customer) GROUP BY 1")
+@query(
+    "SELECT CAST(floor(rn / 200) AS BIGINT) AS batch_id, count(*) AS n, min(c_custkey) AS lo FROM (SELECT c_custkey, row_number() OVER (ORDER BY "
+    "c_custkey) - 1 AS rn FROM customer) GROUP BY 1"
+)
 def offset_batches(t):
     return batches.assign_batches(t.customer.select("c_custkey"), ["c_custkey"], 200).groupBy("batch_id").agg(F.count("*").alias("n"), F.min("c_custkey").alias("lo"))
 
@@ -145,7 +184,10 @@ def batch_markers(t):
     return batches.batch_markers(t.orders, "o_orderkey", 1000)
 
 
-@query(f"SELECT CAST(rn AS BIGINT) AS rn, o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders WHERE o_orderdate > TIMESTAMP '{SINCE}') WHERE rn % 1000 = 0")
+@query(
+    f"SELECT CAST(rn AS BIGINT) AS rn, o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS rn FROM orders WHERE o_orderdate "
+    f"> TIMESTAMP '{SINCE}') WHERE rn % 1000 = 0"
+)
 def batch_markers_delta(t):
     return batches.batch_markers(delta.delta(t.orders, ntz(SINCE), "o_orderdate"), "o_orderkey", 1000)
 
@@ -166,14 +208,20 @@ def batch_markers_localized(t):
     return batches.batch_markers(delta.localized_delta(t.lp, t.part.filter("p_partkey % 7 = 0"), "itempk", "p_partkey"), "itempk", 100)
 
 
-@query("SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', count(*) FROM customer UNION ALL SELECT 'events', count(*) FROM events")
+@query(
+    "SELECT 'orders' AS table_name, count(*) AS row_count FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'customer', "
+    "count(*) FROM customer UNION ALL SELECT 'events', count(*) FROM events"
+)
 def row_counts(t):
     """No data column is read: counts come from file footers."""
     own = Tables(footer_reader(t.spark), t.sf_dir)
     return delta.row_counts({n: getattr(own, n) for n in ("orders", "lineitem", "customer", "events")})
 
 
-@query(f"SELECT 'orders' AS table_name, count(*) AS row_count FROM orders WHERE o_orderdate > TIMESTAMP '{SINCE}' UNION ALL SELECT 'lineitem', count(*) FROM lineitem WHERE l_shipdate > TIMESTAMP '{SINCE}'")
+@query(
+    f"SELECT 'orders' AS table_name, count(*) AS row_count FROM orders WHERE o_orderdate > TIMESTAMP '{SINCE}' UNION ALL SELECT 'lineitem', count(*) FROM "
+    f"lineitem WHERE l_shipdate > TIMESTAMP '{SINCE}'"
+)
 def delta_counts(t):
     return delta.row_counts({"orders": delta.delta(t.orders, ntz(SINCE), "o_orderdate"), "lineitem": delta.delta(t.lineitem, ntz(SINCE), "l_shipdate")})
 
@@ -194,8 +242,10 @@ def partition_counts(t):
 
 
 @query(
-    "WITH s AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1), g AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM tgt GROUP BY 1) "
-    "SELECT coalesce(s.o_orderstatus, g.o_orderstatus) AS o_orderstatus, coalesce(s.n, 0) AS source_rows, coalesce(g.n, 0) AS target_rows, coalesce(s.n, 0) - coalesce(g.n, 0) AS difference "
+    "WITH s AS (SELECT nullif(o_orderstatus, 'P') AS o_orderstatus, count(*) AS n FROM orders GROUP BY 1), g AS (SELECT nullif(o_orderstatus, 'P') AS "
+    "o_orderstatus, count(*) AS n FROM tgt GROUP BY 1) "
+    "SELECT coalesce(s.o_orderstatus, g.o_orderstatus) AS o_orderstatus, coalesce(s.n, 0) AS source_rows, coalesce(g.n, 0) AS target_rows, coalesce(s.n, "
+    "0) - coalesce(g.n, 0) AS difference "
     "FROM s FULL JOIN g ON s.o_orderstatus IS NOT DISTINCT FROM g.o_orderstatus"
 )
 def reconcile_counts(t):
@@ -227,7 +277,10 @@ def override_columns(t):
     return project.override(t.supplier, {"S_Name": "x", "s_nationkey": 7})
 
 
-@query("SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, 3 AS c_nationkey, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN 'anon' ELSE c_mktsegment END AS c_mktsegment FROM customer")
+@query(
+    "SELECT c_custkey, CAST(NULL AS VARCHAR) AS c_name, 3 AS c_nationkey, c_acctbal, CASE WHEN c_custkey % 2 = 0 THEN 'anon' ELSE c_mktsegment END AS "
+    "c_mktsegment FROM customer"
+)
 def column_precedence(t):
     made = F.when(F.col("c_custkey") % 2 == 0, F.lit("anon"))
     return project.apply_column_rules(t.customer, ["c_name"], {"c_name": "lost", "c_nationkey": 3}, {"c_mktsegment": made, "c_nationkey": F.lit(9), "c_name": made})
@@ -255,14 +308,20 @@ def empty_to_null(t):
     return t.dirty.select("c_custkey", coerce.empty_to_null(F.col("x")).alias("x"))
 
 
-@query("SELECT s_suppkey, concat('S-', s_suppkey) AS s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name LIKE 'A%'")
+@query(
+    "SELECT s_suppkey, concat('S-', s_suppkey) AS s_name, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey "
+    "= r_regionkey WHERE r_name LIKE 'A%'"
+)
 def view_inner_join(t):
     for n in ("supplier", "nation", "region"):
         getattr(t, n).createOrReplaceTempView(n)
     return project.build_view(t.spark, "suppliers_of_region", ["s_suppkey", "s_name", "n_name", "r_name"], {"s_name": "concat('S-', s_suppkey)"}, source="supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey WHERE r_name LIKE 'A%'")
 
 
-@query("SELECT c.* FROM customer c LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 12) i ON c.c_nationkey = i.n_nationkey WHERE i.n_name <> 'FRANCE' OR i.n_name IS NULL OR c.c_custkey = 1")
+@query(
+    "SELECT c.* FROM customer c LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey < 12) i ON c.c_nationkey = i.n_nationkey WHERE "
+    "i.n_name <> 'FRANCE' OR i.n_name IS NULL OR c.c_custkey = 1"
+)
 def view_left_join_typeinfo(t):
     info = t.nation.filter("n_nationkey < 12").select("n_nationkey", "n_name")
     keep = (F.col("n_name") != "FRANCE") | F.col("n_name").isNull() | (F.col("c_custkey") == 1)
@@ -402,7 +461,8 @@ def resumed_run(t):
 
 
 @query(
-    "SELECT 'orders' AS pipelinename, (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS target_rows, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS difference "
+    "SELECT 'orders' AS pipelinename, (SELECT count(*) FROM orders) AS source_rows, (SELECT count(*) FROM orders WHERE o_orderstatus <> 'P') AS "
+    "target_rows, (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS difference "
     "UNION ALL SELECT 'part', (SELECT count(*) FROM part), (SELECT count(*) FROM part), 0"
 )
 def reconcile_run(t):
@@ -415,7 +475,10 @@ def reconcile_run(t):
 CHANGES = "SELECT user_id AS pk, event_id AS v, ts, event_type AS op FROM events"
 
 
-@query(f"SELECT pk, v FROM (SELECT pk, v, op, row_number() OVER (PARTITION BY pk ORDER BY ts DESC, v DESC) AS rn FROM ({CHANGES})) WHERE rn = 1 AND op <> 'error' UNION ALL SELECT p_partkey + 1000000, p_size FROM part")
+@query(
+    f"SELECT pk, v FROM (SELECT pk, v, op, row_number() OVER (PARTITION BY pk ORDER BY ts DESC, v DESC) AS rn FROM ({CHANGES})) WHERE rn = 1 AND op <> "
+    f"'error' UNION ALL SELECT p_partkey + 1000000, p_size FROM part"
+)
 def streamed_changes(t):
     """A stream of changes applied to a written table, each batch as if it came twice."""
     there, at = Profile(new_folder(t.spark, "target")), new_folder(t.spark, "changes")
@@ -434,7 +497,10 @@ def streamed_changes(t):
     return read_table(t.spark, there, "item")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem WHERE l_returnflag IN (SELECT min(l_returnflag) FROM lineitem UNION ALL SELECT max(l_returnflag) FROM lineitem)")
+@query(
+    "SELECT l_orderkey, l_linenumber, l_shipdate, l_returnflag FROM lineitem WHERE l_returnflag IN (SELECT min(l_returnflag) FROM lineitem UNION ALL "
+    "SELECT max(l_returnflag) FROM lineitem)"
+)
 def read_chosen_partitions(t):
     """Partitions are found by the layout; those that are not chosen are left unread."""
     at = new_folder(t.spark, "partitioned")
@@ -445,7 +511,10 @@ def read_chosen_partitions(t):
     return read_partitions(t.spark.read.parquet(at), "l_returnflag", chosen)
 
 
-@query("SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_totalprice, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, NULL FROM tgt")
+@query(
+    "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_totalprice, o_orderstatus FROM orders UNION ALL SELECT "
+    "o_orderkey, o_custkey, o_totalprice, NULL FROM tgt"
+)
 def evolved_run(t):
     """A full run whose target lacks a column of the source, has one that the source lacks, and keeps its rows."""
     there, here = Profile(new_folder(t.spark, "target")), Profile(new_folder(t.spark, "source"))
@@ -455,7 +524,10 @@ def evolved_run(t):
     return read_table(t.spark, there, "orders").withColumnRenamed("O_ORDERKEY", "o_orderkey")
 
 
-@query("SELECT DISTINCT lower(table_name) AS table_name FROM tcat WHERE lower(table_name) NOT IN (SELECT replace(lower(table_name), 'src_', 'tgt_') FROM cat WHERE row_count > 25)")
+@query(
+    "SELECT DISTINCT lower(table_name) AS table_name FROM tcat WHERE lower(table_name) NOT IN (SELECT replace(lower(table_name), 'src_', 'tgt_') FROM cat "
+    "WHERE row_count > 25)"
+)
 def tables_to_clear(t):
     """Names of tables differ in case, some come twice in different cases."""
     included = t.cat.filter("row_count > 25").select(F.replace(F.lower("table_name"), F.lit("src_"), F.lit("tgt_")).alias("table_name"))
@@ -475,7 +547,10 @@ def deletion_tables(t):
 # ledger
 
 
-ROLL = "SELECT migrationid, max(lastupdate) AS last_update, count(*) AS total, count(duration) AS completed, count(*) FILTER (failure = 1) AS failed FROM tasks GROUP BY migrationid"
+ROLL = (
+    "SELECT migrationid, max(lastupdate) AS last_update, count(*) AS total, count(duration) AS completed, count(*) FILTER (failure = 1) AS failed FROM "
+    "tasks GROUP BY migrationid"
+)
 
 
 @query(ROLL)
@@ -483,7 +558,10 @@ def status_rollup(t):
     return ledger.rollup_status(t.tasks)
 
 
-@query(f"SELECT *, CASE WHEN completed >= total THEN last_update END AS end_at, CASE WHEN completed >= total THEN 'PROCESSED' ELSE 'RUNNING' END AS status, completed >= total AS is_completed, failed > 0 AS is_failed FROM ({ROLL})")
+@query(
+    f"SELECT *, CASE WHEN completed >= total THEN last_update END AS end_at, CASE WHEN completed >= total THEN 'PROCESSED' ELSE 'RUNNING' END AS status, "
+    f"completed >= total AS is_completed, failed > 0 AS is_failed FROM ({ROLL})"
+)
 def migration_status(t):
     return ledger.migration_status(ledger.rollup_status(t.tasks))
 
@@ -503,12 +581,18 @@ def run_status(t):
     return ledger.run_status(t.runs, t.tasks.filter("user_id % 100 < 60"))
 
 
-@query("SELECT event_type, round(CAST(sum(rows) AS DOUBLE) / sum(seconds), 6) AS average, round(min(CAST(rows AS DOUBLE) / seconds), 6) AS slowest, round(max(CAST(rows AS DOUBLE) / seconds), 6) AS fastest FROM bat GROUP BY event_type")
+@query(
+    "SELECT event_type, round(CAST(sum(rows) AS DOUBLE) / sum(seconds), 6) AS average, round(min(CAST(rows AS DOUBLE) / seconds), 6) AS slowest, "
+    "round(max(CAST(rows AS DOUBLE) / seconds), 6) AS fastest FROM bat GROUP BY event_type"
+)
 def throughput(t):
     return ledger.throughput(t.bat, "event_type").select("event_type", *(F.round(c, 6).alias(c) for c in ("average", "slowest", "fastest")))
 
 
-@query("SELECT event_type, round(avg(a), 6) AS mean_throughput FROM (SELECT event_type, user_id, CAST(sum(rows) AS DOUBLE) / sum(seconds) AS a FROM bat GROUP BY 1, 2) GROUP BY 1")
+@query(
+    "SELECT event_type, round(avg(a), 6) AS mean_throughput FROM (SELECT event_type, user_id, CAST(sum(rows) AS DOUBLE) / sum(seconds) AS a FROM bat GROUP "
+    "BY 1, 2) GROUP BY 1"
+)
 def throughput_by_category(t):
     return ledger.throughput_by_category(t.bat, "user_id", "event_type").withColumn("mean_throughput", F.round("mean_throughput", 6))
 
@@ -546,7 +630,10 @@ def schema_diff_tables(t):
     return schema.missing_tables(t.cols, t.tcols)
 
 
-MISSING = "SELECT DISTINCT lower(table_name) AS table_name, lower(column_name) AS column_name FROM cols c WHERE lower(table_name) IN (SELECT lower(table_name) FROM tcols) AND NOT EXISTS (SELECT 1 FROM tcols d WHERE lower(d.table_name) = lower(c.table_name) AND lower(d.column_name) = lower(c.column_name))"
+MISSING = (
+    "SELECT DISTINCT lower(table_name) AS table_name, lower(column_name) AS column_name FROM cols c WHERE lower(table_name) IN (SELECT lower(table_name) "
+    "FROM tcols) AND NOT EXISTS (SELECT 1 FROM tcols d WHERE lower(d.table_name) = lower(c.table_name) AND lower(d.column_name) = lower(c.column_name))"
+)
 
 
 @query(MISSING)
@@ -575,7 +662,10 @@ def list_tables(t):
     return listed(t.cat)
 
 
-@query("SELECT * FROM cat WHERE lower(table_name) NOT IN ('src_props1', 'src_composedtypes1') AND (lower(table_name) LIKE 'src_tab1%' OR lower(table_name) = 'src_props7')")
+@query(
+    "SELECT * FROM cat WHERE lower(table_name) NOT IN ('src_props1', 'src_composedtypes1') AND (lower(table_name) LIKE 'src_tab1%' OR lower(table_name) = "
+    "'src_props7')"
+)
 def table_filters(t):
     wanted = t.cat.select(F.upper("table_name").alias("table_name")).filter("table_name LIKE 'SRC_TAB1%' OR table_name IN ('SRC_PROPS7', 'SRC_PROPS1')")
     return catalog.filter_tables(t.cat, include=wanted, exclude=["src_PROPS1", "src_composedtypes1"])
@@ -606,9 +696,11 @@ def schema_diff_both_ways(t):
     return schema.table_difference(catalog.candidates(t.cat, "src_", "1"), catalog.candidates(t.tcat, "tgt_", "2"))
 
 
-@query(f"SELECT DISTINCT common_name FROM ({_common('src_', '1', 'cat')})")
+@query(f"SELECT common_name FROM ({_common('tgt_', '2', 'tcat')}) UNION SELECT common_name FROM ({_common('src_', '1', 'cat')}) WHERE common_name LIKE 'tab%'")
 def align_tables(t):
-    return schema.align_tables(catalog.candidates(t.cat, "src_", "1"), catalog.candidates(t.tcat, "tgt_", "2"))
+    """Tables that only one side has, of each side; those that are missing are added, superfluous ones stay."""
+    left = catalog.candidates(t.cat, "src_", "1").filter("common_name LIKE 'tab%'")
+    return schema.align_tables(left, catalog.candidates(t.tcat, "tgt_", "2"), remove=False)
 
 
 @query(
@@ -618,7 +710,10 @@ def filter_candidates(t):
     return catalog.filter_candidates(catalog.candidates(t.cat, "src_", "1"), "src_", "1").select("full_name")
 
 
-@query("SELECT DISTINCT table_name, CASE WHEN lower(table_name) = 'src_composedtypes1' THEN 'tgt_composedtypes2' WHEN lower(table_name) = 'src_props1' THEN 'tgt_Props2' ELSE concat('tgt_', substr(table_name, 5)) END AS target_name FROM cat")
+@query(
+    "SELECT DISTINCT table_name, CASE WHEN lower(table_name) = 'src_composedtypes1' THEN 'tgt_composedtypes2' WHEN lower(table_name) = 'src_props1' THEN "
+    "'tgt_Props2' ELSE concat('tgt_', substr(table_name, 5)) END AS target_name FROM cat"
+)
 def translate_names(t):
     full = F.col("table_name")
     return t.cat.select("table_name", names.translate_name(names.base_name(full, "src_", "1"), names.additional_suffix(full), "tgt_", "2").alias("target_name")).distinct()
@@ -640,12 +735,18 @@ def smallest_unique_key(t):
     return catalog.smallest_unique_key(t.idx, t.idx.select("table_name", "index_name", unique).distinct())
 
 
-@query("SELECT table_name, row_count, CAST(CASE WHEN lower(table_name) = 'src_props1' THEN 0 WHEN lower(table_name) = 'src_composedtypes1' THEN 2 ELSE 1 END AS INTEGER) AS sort_group FROM cat")
+@query(
+    "SELECT table_name, row_count, CAST(CASE WHEN lower(table_name) = 'src_props1' THEN 0 WHEN lower(table_name) = 'src_composedtypes1' THEN 2 ELSE 1 END "
+    "AS INTEGER) AS sort_group FROM cat"
+)
 def order_items(t):
     return catalog.order_items(t.cat, ["src_props1"], ["SRC_composedtypes1"])
 
 
-@query("SELECT CASE WHEN lower(table_name) LIKE 'src_tab1%' THEN 'SRC_TAB1' WHEN lower(table_name) LIKE 'src_p%' THEN 'src_p' ELSE '' END AS prefix, count(*) AS n_tables FROM cat GROUP BY 1")
+@query(
+    "SELECT CASE WHEN lower(table_name) LIKE 'src_tab1%' THEN 'SRC_TAB1' WHEN lower(table_name) LIKE 'src_p%' THEN 'src_p' ELSE '' END AS prefix, count(*) "
+    "AS n_tables FROM cat GROUP BY 1"
+)
 def prefix_summary(t):
     return catalog.prefix_summary(t.cat, ["SRC_TAB1", "src_p"])
 
@@ -653,7 +754,8 @@ def prefix_summary(t):
 @query(
     "WITH s AS (SELECT DISTINCT replace(lower(table_name), 'src_', 'tgt_') AS n FROM cat), "
     "g AS (SELECT DISTINCT concat(CASE WHEN lower(table_name) LIKE '%5' THEN 'mig_' ELSE '' END, lower(table_name)) AS m FROM tcat), "
-    "b AS (SELECT n, CAST(count(m) AS BIGINT) AS k, CASE WHEN bool_or(m LIKE 'mig_%') THEN 'staged' WHEN count(m) = 0 THEN 'missing' ELSE 'direct' END AS copied FROM s LEFT JOIN g ON replace(m, 'mig_', '') = n GROUP BY 1) "
+    "b AS (SELECT n, CAST(count(m) AS BIGINT) AS k, CASE WHEN bool_or(m LIKE 'mig_%') THEN 'staged' WHEN count(m) = 0 THEN 'missing' ELSE 'direct' END AS "
+    "copied FROM s LEFT JOIN g ON replace(m, 'mig_', '') = n GROUP BY 1) "
     "SELECT copied, count(*) AS n_source, CAST(sum(k) AS BIGINT) AS n_target FROM b GROUP BY 1"
 )
 def migration_summary(t):
@@ -685,12 +787,19 @@ def override_type_system(t):
     return catalog.override_type_system(t.dep, "SYS1", "NEW")
 
 
-@query("SELECT * REPLACE (CASE WHEN TypeSystemName = 'SYS1' AND TableName IN ('composedtypes1', 'props1') THEN concat(left(TableName, length(TableName) - 1), '2') ELSE TableName END AS TableName, CASE WHEN TypeSystemName = 'SYS1' AND PropsTableName = 'Props1' THEN 'Props2' ELSE PropsTableName END AS PropsTableName) FROM dep")
+@query(
+    "SELECT * REPLACE (CASE WHEN TypeSystemName = 'SYS1' AND TableName IN ('composedtypes1', 'props1') THEN concat(left(TableName, length(TableName) - 1), "
+    "'2') ELSE TableName END AS TableName, CASE WHEN TypeSystemName = 'SYS1' AND PropsTableName = 'Props1' THEN 'Props2' ELSE PropsTableName END AS "
+    "PropsTableName) FROM dep"
+)
 def rewrite_deployments(t):
     return catalog.rewrite_deployments(t.dep, "1", "2", "SYS1")
 
 
-@query("SELECT name, CASE WHEN name = 'SYS2' THEN 'current' ELSE 'retired' END AS state, CASE WHEN name = 'SYS2' THEN 'migrated' ELSE comment END AS comment FROM systems")
+@query(
+    "SELECT name, CASE WHEN name = 'SYS2' THEN 'current' ELSE 'retired' END AS state, CASE WHEN name = 'SYS2' THEN 'migrated' ELSE comment END AS comment "
+    "FROM systems"
+)
 def set_active(t):
     return catalog.set_active(t.systems, "SYS2", "migrated")
 
@@ -710,7 +819,10 @@ def type_info(t):
     return catalog.type_info(t.part.select(F.col("p_brand").alias("InternalCode"), F.col("p_partkey").alias("PK")), ["Brand#11", "Brand#23"])
 
 
-STAGING = "SELECT DISTINCT replace(lower(table_name), 'ydeployments', '') AS prefix FROM staged WHERE lower(table_name) LIKE '%ydeployments' AND lower(table_name) NOT IN ('run_ydeployments', 'mig_ydeployments')"
+STAGING = (
+    "SELECT DISTINCT replace(lower(table_name), 'ydeployments', '') AS prefix FROM staged WHERE lower(table_name) LIKE '%ydeployments' AND "
+    "lower(table_name) NOT IN ('run_ydeployments', 'mig_ydeployments')"
+)
 
 
 @query(STAGING)
@@ -740,7 +852,10 @@ def mask_config(t):
 RULES = [an.Rule("C_NAME", "REPLACE", "u-{RANDOM(number,6)}-{RANDOM(string,4)}"), an.Rule("c_mktsegment", "APPEND", "-{GUID}", exclude=("BUILDING",), exclude_row=("MACHINERY",)), an.Rule("c_acctbal", "DELETE")]
 
 
-@query("SELECT c_mktsegment AS segment, count(*) AS n, count(*) FILTER (c_mktsegment <> 'MACHINERY') AS renamed, count(*) FILTER (c_mktsegment NOT IN ('MACHINERY', 'BUILDING')) AS appended, count(*) FILTER (c_mktsegment = 'MACHINERY') AS kept_balance FROM customer GROUP BY 1")
+@query(
+    "SELECT c_mktsegment AS segment, count(*) AS n, count(*) FILTER (c_mktsegment <> 'MACHINERY') AS renamed, count(*) FILTER (c_mktsegment NOT IN "
+    "('MACHINERY', 'BUILDING')) AS appended, count(*) FILTER (c_mktsegment = 'MACHINERY') AS kept_balance FROM customer GROUP BY 1"
+)
 def anonymize_shape(t):
     new = an.anonymize(t.customer.withColumn("segment", F.col("c_mktsegment")), RULES, "customer", "c_custkey", "s1")
     guid = "^.*-[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
@@ -750,7 +865,10 @@ def anonymize_shape(t):
 _CITY = "CAST(('0x' || substr(sha256(concat_ws('|', 's1', 'customer', 'c_name', c_custkey, '0', '0')), 1, 12)) AS UBIGINT)"
 
 
-@query(f"WITH cities AS (SELECT list(n_name ORDER BY n_nationkey) AS l FROM nation) SELECT c_custkey, l[CAST({_CITY} % len(l) AS BIGINT) + 1] AS c_name FROM customer, cities")
+@query(
+    f"WITH cities AS (SELECT list(n_name ORDER BY n_nationkey) AS l FROM nation) SELECT c_custkey, l[CAST({_CITY} % len(l) AS BIGINT) + 1] AS c_name FROM "
+    f"customer, cities"
+)
 def anonymize_from_lists(t):
     """A rule picks from a list that a file has."""
     at = new_folder(t.spark, "lists")
