@@ -2,19 +2,19 @@
 
 Every position with ``window`` words ahead begins a suffix. Suffixes that share a prefix go to one group; the
 prefix is as long as its frequency asks for: 1 word, or 2, 4, 8, 16 or ``window`` where shorter ones begin more
-than ``CAP`` suffixes, as told by counts over all documents. So a group holds whole subtrees of the suffix tree
-and fits a task. It sorts its suffixes; a run that shares ``window`` words is an internal node of at least that
+than ``CAP`` suffixes. Longer prefixes are counted, over all documents, only below those that are too frequent, so the
+list of frequent ones has at most one entry for each ``CAP`` suffixes and length, and a length is counted only while
+there are any. A group therefore holds whole subtrees of the suffix tree and fits a task. It sorts its suffixes; a run that shares ``window`` words is an internal node of at least that
 depth, a repeat. The suffix that starts first keeps its words, the words under all others go. Neighbouring
 nodes of one text, taken together, give the maximal repeats (``repeats``).
 
-Counts are kept in ``1 << COUNTER_BITS`` hashed counters a length: a collision makes a prefix longer than needed
-and changes nothing else, as equal suffixes always have equal prefixes. Nodes above the depth asked for decide
-nothing and are not drawn. Suffixes are compared inside their group, by fingerprints of all their ``window``
-words, of 64 bits; groups follow from others, drawn apart. So of n suffixes in g groups, about n**2 / (2**65 g)
+Nodes above the depth asked for decide nothing and are not drawn. Suffixes are compared inside their group, by
+fingerprints of all their ``window`` words, of 64 bits; groups follow from others, drawn apart. So of n suffixes in g groups, about n**2 / (2**65 g)
 pairs of unlike ones are taken for equal: with about a million in a group, one pair in 4e13 suffixes (100 TB).
 
-A block of documents sorts its own suffixes first and sends the first of each node only; the others are later
-ones already. So a passage adds one suffix a block to its group, however often it occurs.
+A block of documents sorts its own suffixes first and sends the first of each node only to its group; the others are
+later ones already, and go straight to where their documents' repeats are gathered. So a passage adds one suffix a
+block to its group, however often it occurs.
 
 Nulls and empties: null or empty text has no words, a null id comes before all others. Rows that repeat both
 id and text are one document, and each gets its result. Other columns are left alone.
@@ -37,7 +37,6 @@ BLOCK = 8 << 20
 GROUP = 12 << 20
 CAP = 1 << 18
 LENGTHS = (1, 2, 4, 8, 16)
-COUNTER_BITS = 14
 NULL_ID = -(1 << 63)
 SECOND = np.uint64(0x6A09E667F3BCC909)
 
@@ -88,31 +87,43 @@ def _blocks(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[Suffixes
         yield Suffixes(ids, keys, texts, window)
 
 
-def _counter(prefix: np.ndarray) -> np.ndarray:
-    return (prefix >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+class Heavy:
+    """For each of ``LENGTHS`` that was counted, the sorted fingerprints of the prefixes that are too frequent."""
 
+    def __init__(self, levels: list[np.ndarray] | None = None):
+        self.levels = levels or []
 
-def _count(window: int):
-    """(counter, n): suffixes by length and hashed counter of their prefix."""
+    def has(self, n: int, prefix: np.ndarray) -> np.ndarray:
+        if n >= len(self.levels) or not len(self.levels[n]):
+            return np.zeros(len(prefix), bool)
+        own = self.levels[n]
+        return own[np.minimum(np.searchsorted(own, prefix), len(own) - 1)] == prefix
+
+
+def _count(window: int, heavy: Heavy):
+    """(prefix, n): suffixes of a block by the first prefix length that ``heavy`` does not know yet, of those whose
+    shorter prefixes are all heavy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(LENGTHS), 1 << COUNTER_BITS), np.int64)
         for s in _blocks(batches, window):
-            for n, prefix in enumerate(s.prefixes()):
-                total[n] += np.bincount(_counter(prefix), minlength=1 << COUNTER_BITS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total.reshape(-1)[at])], names=["counter", "n"])
+            left = np.arange(len(s.at))
+            for n, own in enumerate(s.prefixes()):
+                if n == len(heavy.levels):
+                    prefix, many = np.unique(own[left], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(many.astype(np.int64))], names=["prefix", "n"])
+                    break
+                left = left[heavy.has(n, own[left])]
 
     return run
 
 
-def groups_of(s: Suffixes, whole: np.ndarray, heavy: np.ndarray, groups: int) -> np.ndarray:
+def groups_of(s: Suffixes, whole: np.ndarray, heavy: Heavy, groups: int) -> np.ndarray:
     """Each suffix's group, by the shortest of its prefixes that is not heavy, else all its words."""
     prefix, left = whole.copy(), np.arange(len(whole))
     for n, own in enumerate(s.prefixes()):
-        fits = ~heavy[n][_counter(own[left])]
-        prefix[left[fits]] = own[left[fits]]
-        left = left[~fits]
+        more = heavy.has(n, own[left])
+        prefix[left[~more]] = own[left[~more]]
+        left = left[more]
         if not len(left):
             break
     return ((mix(prefix) & np.uint64(0xFFFFFFFF)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
@@ -138,8 +149,9 @@ def _read_places(b: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.repeat(ids, size), np.repeat(keys, size), total - np.repeat(total[begin] - step[begin], size)
 
 
-def _suffixes(window: int, groups: int, heavy: np.ndarray):
-    """For each block and group: the fingerprints of its first suffixes, and the later ones (no fingerprints)."""
+def _suffixes(window: int, groups: int, heavy: Heavy):
+    """For each block and group: the fingerprints of its first suffixes; and, in groups of their own by document, the
+    later ones, without fingerprints."""
     schema = pa.schema([("grp", pa.int32()), ("first", pa.binary()), ("places", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,8 +163,9 @@ def _suffixes(window: int, groups: int, heavy: np.ndarray):
             by = np.lexsort((h, group))
             first = np.ones(len(by), bool)
             first[by[1:]] = (h[by][1:] != h[by][:-1]) | (group[by][1:] != group[by][:-1])
-            by = np.lexsort((~first, group))
-            cut = runs(group[by] * 2 + first[by])
+            group[~first] = groups + (s.keys[s.doc[~first]].view(np.uint64) % np.uint64(groups)).astype(np.int64)
+            by = np.argsort(group, kind="stable")
+            cut = runs(group[by])
             for i, j in zip(cut, [*cut[1:], len(by)]):
                 at = by[i:j]
                 prints = h[at].tobytes() if first[at[0]] else None
@@ -226,10 +239,14 @@ def repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str
     ranges; ``ranges`` packs int64 starts, then ends."""
     groups = group_count(docs, text, GROUP)
     keyed = docs.select(F.col(doc_id).cast("long").alias("id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
-    counts = keyed.mapInArrow(_count(window), "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).filter(F.col("n") > CAP).toArrow()
-    heavy = np.zeros(len(LENGTHS) << COUNTER_BITS, bool)
-    heavy[counts.column("counter").to_numpy()] = True
-    sent = keyed.mapInArrow(_suffixes(window, groups, heavy.reshape(len(LENGTHS), -1)), "grp int, first binary, places binary")
+    heavy = Heavy()
+    while len(heavy.levels) < sum(x < window for x in LENGTHS):
+        counts = keyed.mapInArrow(_count(window, heavy), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
+        found = np.array(counts.filter(F.col("n") > CAP).select("prefix").toArrow().column(0).to_numpy(), np.int64)
+        heavy.levels.append(np.sort(found.view(np.uint64)))
+        if not len(found):
+            break
+    sent = keyed.mapInArrow(_suffixes(window, groups, heavy), "grp int, first binary, places binary")
     found = sent.groupBy("grp").applyInArrow(_nodes(groups), "part int, row binary, pos binary")
     return found.groupBy("part").applyInArrow(_by_document(window), "row_key long, ranges binary")
 

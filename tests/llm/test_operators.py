@@ -402,16 +402,38 @@ def test_substring_dedup_sends_a_hot_passage_once_a_block():
 
     passage = " ".join(f"p{i}" for i in range(50))
     batch = pa.RecordBatch.from_pydict({"id": list(range(3000)), "key": list(range(3000)), "text": [passage] * 3000})
-    heavy = np.zeros((len(substring_dedup.LENGTHS), 1 << substring_dedup.COUNTER_BITS), bool)
+    heavy = substring_dedup.Heavy()
     sent = [r for b in substring_dedup._suffixes(20, 4, heavy)(iter([batch])) for r in b.to_pylist()]
-    assert sum(len(r["first"]) // 8 for r in sent if r["first"]) == 31
-    places = [substring_dedup._read_places(r["places"]) for r in sent]
-    assert sum(len(p[0]) for p in places) == 31 * 3000 and {(int(a), int(c)) for p in places for a, _, c in zip(*p)} == {(d, j) for d in range(3000) for j in range(31)}
+    places = lambda rows: [x for r in rows for x in zip(*substring_dedup._read_places(r["places"]))]
+    of_groups, of_documents = [r for r in sent if r["grp"] < 4], [r for r in sent if r["grp"] >= 4]
+    assert sum(len(r["first"]) // 8 for r in of_groups) == len(places(of_groups)) == 31 and not any(r["first"] for r in of_documents)
+    assert len(places(of_documents)) == 31 * 2999 and all(r["grp"] == 4 + k % 4 for r in of_documents for _, k, _ in places([r]))
+    assert {(int(a), int(c)) for a, _, c in places(sent)} == {(d, j) for d in range(3000) for j in range(31)}
     # where every shorter prefix is heavy, all words decide; where none is, the first one does
     s = next(substring_dedup._blocks(iter([batch.slice(0, 1)]), 20))
+    every = substring_dedup.Heavy([np.sort(x) for x in s.prefixes()])
     h = np.arange(31, dtype=np.uint64) << np.uint64(40)
-    one, all_ = substring_dedup.groups_of(s, h, heavy, 1000), substring_dedup.groups_of(s, h, ~heavy, 1000)
-    assert (one == substring_dedup.groups_of(s, h[::-1].copy(), heavy, 1000)).all() and (all_ == substring_dedup.groups_of(s, h[::-1].copy(), ~heavy, 1000)[::-1]).all()
+    one, all_ = substring_dedup.groups_of(s, h, heavy, 1000), substring_dedup.groups_of(s, h, every, 1000)
+    assert (one == substring_dedup.groups_of(s, h[::-1].copy(), heavy, 1000)).all() and (all_ == substring_dedup.groups_of(s, h[::-1].copy(), every, 1000)[::-1]).all()
+
+
+def test_substring_dedup_counts_longer_prefixes_only_below_heavy_ones():
+    import pyarrow as pa
+
+    text = " ".join(["a"] * 60 + [f"w{i}" for i in range(60)])
+    batch = pa.RecordBatch.from_pydict({"id": [1], "key": [1], "text": [text]})
+    s = next(substring_dedup._blocks(iter([batch]), 20))
+    levels = []
+    for prefixes in s.prefixes():
+        counted = pa.Table.from_batches(substring_dedup._count(20, substring_dedup.Heavy(levels))(iter([batch])))
+        key, n = counted.column("prefix").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+        # of 101 suffixes, those that begin with runs of ``a``
+        assert n.sum() == (101 if not levels else sum(substring_dedup.Heavy(levels).has(len(levels) - 1, list(s.prefixes())[len(levels) - 1])))
+        assert len(n) == len({*prefixes.tolist()} if not levels else {*key.tolist()})
+        levels.append(np.sort(key[n > 30]))
+    assert [len(x) for x in levels] == [1, 1, 1, 1, 1]
+    lengths = np.unique(substring_dedup.groups_of(s, np.arange(len(s.at), dtype=np.uint64), substring_dedup.Heavy(levels), 1 << 20))
+    assert len(lengths) > 60
 
 
 def test_pipeline_against_brute_force(spark):
