@@ -34,8 +34,8 @@ AT_ONCE = 1 << 13
 BATCH = 6 << 20
 END_ID = 2
 MOST = 4096
-#: Bits of a place for a document's pieces (a text has less than 2 GB), and for a file's rows.
-PIECES, ROWS = 20, 24
+#: Bits of a place for a document's pieces (a text has less than 2 GB), and for a file's rows; 23 are left for files.
+PIECES, ROWS = 20, 20
 
 
 class _Encoder:
@@ -137,10 +137,14 @@ def _pieces(path: str, most: int, end: int, with_ids: bool, keep: int, batch: in
 
 
 def written_place(docs: DataFrame) -> Column | None:
-    """A row's place in the order in which Spark wrote the table: part number and row; None for other tables."""
+    """A row's place in the order in which Spark wrote the table: part number and row; None for other tables.
+
+    More than 2**23 files, or 2**20 rows in one, raise."""
     parts = [re.search(r"/part-(\d+)-[^/]*$", f) for f in docs.inputFiles()]
-    if not parts or None in parts or len({int(m[1]) for m in parts}) < len(parts) or max(int(m[1]) for m in parts) >> 63 - PIECES - ROWS:
+    if not parts or None in parts or len({int(m[1]) for m in parts}) < len(parts):
         return None
+    if max(int(m[1]) for m in parts) >> 63 - PIECES - ROWS:
+        raise ValueError(f"more than 2**{63 - PIECES - ROWS} files")
     meta = docs.metadataColumn("_metadata")
     row = F.when(meta["row_index"] < 1 << ROWS, meta["row_index"]).otherwise(F.raise_error(F.lit(f"more than 2**{ROWS} rows in a file")))
     try:

@@ -436,6 +436,15 @@ def test_substring_dedup_counts_longer_prefixes_only_below_heavy_ones():
     assert len(lengths) > 60
 
 
+def test_pipeline_keeps_documents_where_nothing_is_learned(spark, docs):
+    import corpus_pipeline as p
+
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    kept = p.language_id(spark, bare, SF)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i, t in TEXTS if re.search(r"[^\W\d_]", t or ""))
+    assert p.language_id(spark, docs.limit(0), SF).count() == 0
+
+
 def test_pipeline_against_brute_force(spark):
     import corpus_pipeline as p
 
