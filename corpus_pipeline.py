@@ -2,7 +2,8 @@
 
 Every stage works on all rows that its predecessor kept. No SQL can express the whole (a learned language
 model, a tokenizer), so ``ORACLE_SQL`` is None; the tests hold the documents that ``run`` keeps against a brute-force
-version, and each stage's operator against one of its own.
+version, and the operators against such versions of their own (language ID against its accuracy, and Viterbi against
+all paths).
 """
 
 from __future__ import annotations
@@ -23,8 +24,12 @@ TEMPERATURE = 0.85
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents with letters and a main language; the model is learned from all labelled rows."""
-    known = label(numbered(docs), fit(docs), place(docs, "text"))
+    """Keeps documents with letters and a main language; the model is learned from all labelled rows. Where there are
+    none, no language can be told and all documents with letters stay."""
+    model = fit(docs)
+    if not model.languages:
+        return numbered(docs).filter(F.col(place(docs, "text")).rlike(r"\p{L}")).select(*named(docs))
+    known = label(numbered(docs), model, place(docs, "text"))
     return known.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SHARE)).select(*named(docs))
 
 
