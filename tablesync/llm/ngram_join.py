@@ -12,8 +12,9 @@ counters; they only order a set's grams (ties by gram), so collisions cost time,
 Documents with equal sets are one node. Within a list, a first round tests each node with one leader only; pairs
 that these links join are never formed, so a tight group of near copies costs about its size, not its square.
 Clusters that still hold several components are then searched whole, in blocks of a bounded number of grams: each
-node asks the block's inverted lists (``Lists.search``), merging its short ones, probing its long ones, for
-nodes of other components. A block returns no more links than join its components. No pair is capped.
+node outside the largest component asks the block's inverted lists (``Lists.search``), merging its short ones, probing
+its long ones, for nodes of other components. A block returns no more links than join its components. No pair is
+capped. Sets so small that only equal ones reach the Jaccard are nodes without lists.
 
 A gram is a 64-bit fingerprint, and so is a set (with its size): sets of n documents are mistaken for equal
 with a probability of about n**2 / 2**65.
@@ -25,7 +26,7 @@ Repeated rows each get their row. Other columns are left alone.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -112,7 +113,8 @@ def _short_lists(n: int, num: int, den: int, buckets: int, freq_of):
             k = len(keys)
             yield pa.RecordBatch.from_arrays([none(k, pa.int32()), pa.array(keys, pa.int64()), pa.array(node), pa.array(size.astype(np.int64)), *(none(k, pa.binary()) for _ in range(4))], schema=schema)
             _, once = np.unique(node, return_index=True)
-            once = np.sort(once[size[once] > 0])
+            # beside copies of itself, a set's nearest possible partner has one gram more
+            once = np.sort(once[(size[once] > 0) & (den * size[once] >= num * (size[once] + 1))])
             if not len(once):
                 continue
             kept = np.zeros(k, bool)
@@ -214,11 +216,12 @@ class Lists:
         of[by] = number
         self.of = np.split(of, np.cumsum(self.size)[:-1])
 
-    def search(self, i: int, num: int, den: int, wanted: np.ndarray) -> np.ndarray:
-        """Of the sets ``wanted`` (a mask), those that reach the Jaccard with set ``i``, by DivideSkip.
+    def search(self, i: int, num: int, den: int, wanted: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """Of the other sets that are ``wanted``, those that reach the Jaccard with set ``i``, by DivideSkip.
 
         Set i shares T grams with each. Its short lists are merged and their occurrences counted; sets that
-        reach T less the number of long lists are looked up in these by binary search.
+        reach T less the number of long lists are looked up in these by binary search. The work is that of the short
+        lists' lengths, whatever the number of sets.
         """
         size, lists = int(self.size[i]), self.of[i]
         t = -(-num * size // den)
@@ -226,9 +229,11 @@ class Lists:
         short, long = lists[: 2 * (size - t) + 1], lists[2 * (size - t) + 1 :]
         many = self.length[short]
         at = np.repeat(self.start[short] - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        count = np.bincount(self.sets[at], minlength=self.n)
-        found = np.flatnonzero((count >= max(t - len(long), 1)) & wanted & (den * np.minimum(self.size, size) >= num * np.maximum(self.size, size)))
-        hit = count[found]
+        found, hit = np.unique(self.sets[at], return_counts=True)
+        fits = (hit >= max(t - len(long), 1)) & (found != i) & (den * np.minimum(self.size[found], size) >= num * np.maximum(self.size[found], size))
+        found, hit = found[fits], hit[fits]
+        own = wanted(found)
+        found, hit = found[own], hit[own]
         if len(long) and len(found):
             probe = long[:, None] * self.n + found[None]
             hit = hit + (self.keys[np.minimum(np.searchsorted(self.keys, probe), len(self.keys) - 1)] == probe).sum(0)
@@ -239,19 +244,22 @@ def _search(num: int, den: int):
     """Between two parts of a cluster (or in one): links that join components, which at most join all its nodes."""
 
     def run(table: pa.Table) -> pa.Table:
-        node, comp, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
-        comp, same = comp.copy(), table.column("low")[0].as_py() == table.column("high")[0].as_py()
+        node, label, part = (table.column(c).to_numpy() for c in ("node", "component", "part"))
+        same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
         lists = Lists([np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("grams")])
+        _, comp = np.unique(label, return_inverse=True)
+        inside = np.split(np.argsort(comp, kind="stable"), np.cumsum(np.bincount(comp))[:-1])
+        # a link of two components has an end outside the largest one, from which it is found
+        largest = max(range(len(inside)), key=lambda c: len(inside[c]))
         a, b = [], []
-        for i in range(len(node)):
-            wanted = comp != comp[i]
-            if not same:
-                wanted &= part != part[i]
-            for j in lists.search(i, num, den, wanted) if wanted.any() else ():
+        for i in np.flatnonzero(comp != largest).tolist():
+            for j in lists.search(i, num, den, lambda x: (comp[x] != comp[i]) & (same | (part[x] != part[i]))):
                 if comp[j] != comp[i]:
                     a.append(node[i])
                     b.append(node[j])
-                    comp[comp == comp[j]] = comp[i]
+                    less, more = sorted((comp[i], comp[j]), key=lambda c: len(inside[c]))
+                    comp[inside[less]] = more
+                    inside[more] = np.concatenate((inside[more], inside[less]))
         a, b = np.array(a, np.int64), np.array(b, np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
