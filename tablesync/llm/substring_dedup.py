@@ -100,9 +100,13 @@ class Heavy:
         return own[np.minimum(np.searchsorted(own, prefix), len(own) - 1)] == prefix
 
 
-def _count(window: int, heavy: Heavy):
-    """(prefix, n): suffixes of a block by the first prefix length that ``heavy`` does not know yet, of those whose
-    shorter prefixes are all heavy."""
+def _group(prefix: np.ndarray, groups: int) -> np.ndarray:
+    return ((mix(prefix) & np.uint64(0xFFFFFFFF)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+
+
+def _count(window: int, groups: int, heavy: Heavy):
+    """For each block and group: numbers of suffixes by the first prefix length that ``heavy`` does not know yet, of
+    those whose shorter prefixes are all heavy."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s in _blocks(batches, window):
@@ -110,13 +114,33 @@ def _count(window: int, heavy: Heavy):
             for n, own in enumerate(s.prefixes()):
                 if n == len(heavy.levels):
                     prefix, many = np.unique(own[left], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(many.astype(np.int64))], names=["prefix", "n"])
+                    group = _group(prefix, groups)
+                    by = np.argsort(group, kind="stable")
+                    cut = runs(group[by])
+                    each = [by[i:j] for i, j in zip(cut, [*cut[1:], len(by)])]
+                    packed = [[prefix[at].tobytes() for at in each], [pa.compress(pack(many[at].astype(np.int64)), "zstd", asbytes=True) for at in each]]
+                    cols = [pa.array(group[by][cut].astype(np.int32)), *(pa.array(x, pa.binary()) for x in packed)]
+                    yield pa.RecordBatch.from_arrays(cols, names=["grp", "prefix", "n"])
                     break
                 left = left[heavy.has(n, own[left])]
 
     return run
 
 
+def _frequent(cap: int):
+    """The prefixes of a group that begin more than ``cap`` suffixes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        prefix = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("prefix")]
+        n = [unpack(pa.decompress(x.as_buffer(), 8 * len(p), "zstd", asbytes=True), np.int64) for p, x in zip(prefix, table.column("n"))]
+        prefix, n = np.concatenate(prefix), np.concatenate(n)
+        by = np.argsort(prefix)
+        cut = runs(prefix[by])
+        return pa.table({"prefix": pa.array(prefix[by][cut][np.add.reduceat(n[by], cut) > cap].view(np.int64))})
+
+    return run
+
+
 def groups_of(s: Suffixes, whole: np.ndarray, heavy: Heavy, groups: int) -> np.ndarray:
     """Each suffix's group, by the shortest of its prefixes that is not heavy, else all its words."""
     prefix, left = whole.copy(), np.arange(len(whole))
@@ -126,7 +150,7 @@ def groups_of(s: Suffixes, whole: np.ndarray, heavy: Heavy, groups: int) -> np.n
         left = left[more]
         if not len(left):
             break
-    return ((mix(prefix) & np.uint64(0xFFFFFFFF)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
+    return _group(prefix, groups)
 
 
 def _places(s: Suffixes, at: np.ndarray) -> bytes:
@@ -241,8 +265,8 @@ def repeats(docs: DataFrame, window: int = 20, doc_id: str = "doc_id", text: str
     keyed = docs.select(F.col(doc_id).cast("long").alias("id"), row_key(doc_id, text).alias("row_key"), F.col(text).alias("text"))
     heavy = Heavy()
     while len(heavy.levels) < sum(x < window for x in LENGTHS):
-        counts = keyed.mapInArrow(_count(window, heavy), "prefix long, n long").groupBy("prefix").agg(F.sum("n").alias("n"))
-        found = np.array(counts.filter(F.col("n") > CAP).select("prefix").toArrow().column(0).to_numpy(), np.int64)
+        counts = keyed.mapInArrow(_count(window, groups, heavy), "grp int, prefix binary, n binary")
+        found = np.array(counts.groupBy("grp").applyInArrow(_frequent(CAP), "prefix long").toArrow().column(0).to_numpy(), np.int64)
         heavy.levels.append(np.sort(found.view(np.uint64)))
         if not len(found):
             break

@@ -420,13 +420,18 @@ def test_substring_dedup_sends_a_hot_passage_once_a_block():
 def test_substring_dedup_counts_longer_prefixes_only_below_heavy_ones():
     import pyarrow as pa
 
+    from tablesync.llm.common import unpack
+
     text = " ".join(["a"] * 60 + [f"w{i}" for i in range(60)])
     batch = pa.RecordBatch.from_pydict({"id": [1], "key": [1], "text": [text]})
     s = next(substring_dedup._blocks(iter([batch]), 20))
     levels = []
     for prefixes in s.prefixes():
-        counted = pa.Table.from_batches(substring_dedup._count(20, substring_dedup.Heavy(levels))(iter([batch])))
-        key, n = counted.column("prefix").to_numpy().view(np.uint64), counted.column("n").to_numpy()
+        counted = [r for b in substring_dedup._count(20, 3, substring_dedup.Heavy(levels))(iter([batch])) for r in b.to_pylist()]
+        key = np.concatenate([np.frombuffer(r["prefix"], np.uint64) for r in counted])
+        n = np.concatenate([unpack(pa.decompress(r["n"], len(r["prefix"]), "zstd", asbytes=True), np.int64) for r in counted])
+        table = pa.Table.from_pylist(counted)
+        assert sorted(substring_dedup._frequent(30)(table).column(0).to_numpy().view(np.uint64)) == sorted(key[n > 30])
         # of 101 suffixes, those that begin with runs of ``a``
         assert n.sum() == (101 if not levels else sum(substring_dedup.Heavy(levels).has(len(levels) - 1, list(s.prefixes())[len(levels) - 1])))
         assert len(n) == len({*prefixes.tolist()} if not levels else {*key.tolist()})
