@@ -80,20 +80,53 @@ def _tables_posterior(n, alpha, discount):
     return weight
 
 
-@pytest.mark.parametrize("n,alpha,discount", [(2, 0.3, 0.5), (5, 1.7, 0.2), (12, 0.05, 0.8), (200, 0.01, 0.8)])
-def test_reseating_keeps_the_exact_posterior(n, alpha, discount):
-    rng = np.random.default_rng(n)
-    seats = pitman_yor.Seats(np.full(3000, n))
-    seen, states = Counter(), 0
-    for k in range(60 * n if n < 20 else 1500):
-        seats.reseat(rng, np.full(3000, alpha), discount)
-        assert k or (np.add.reduceat(seats.sizes, np.cumsum(seats.t) - seats.t) == n).all()
-        if k >= (20 * n if n < 20 else 500) and k % 10 == 0:
-            seen.update(seats.t.tolist())
-            states += 3000
+@pytest.mark.parametrize("n,alpha,discount", [(2, 0.3, 0.5), (5, 1.7, 0.2), (12, 0.05, 0.8), (200, 0.01, 0.8), (900, 30, 0.7), (900, 1e-9, 0.3)])
+def test_draws_of_tables_have_the_exact_posterior(n, alpha, discount):
+    many = 60000
+    t = pitman_yor.Tables(np.full(many, n)).draw(np.full(many, alpha), discount, pitman_yor.uniform(np.arange(many, dtype=np.uint64), 5))
     expect = _tables_posterior(n, alpha, discount)
-    assert abs(sum(t * c for t, c in seen.items()) / states - sum(t * p for t, p in expect.items())) < 0.02
-    assert all(abs(seen[t] / states - p) < 0.02 for t, p in expect.items())
+    mean = sum(k * p for k, p in expect.items())
+    sd = math.sqrt(sum((k - mean) ** 2 * p for k, p in expect.items()))
+    assert t.min() >= 1 and t.max() <= n and abs(t.mean() - mean) < 5 * sd / math.sqrt(many) + 1e-6
+    assert all(abs((t == k).mean() - p) < 0.01 for k, p in expect.items())
+
+
+@pytest.mark.parametrize("n", [1500, 10_000])
+@pytest.mark.parametrize("discount", [0.2, 0.5, 0.8, 0.95])
+def test_draws_of_very_many_customers(n, discount):
+    """Beyond ``EXACT``: against the recursion for this very number of customers."""
+    row = np.full(n + 1, -np.inf)
+    row[1] = 0.0
+    for i in range(1, n):
+        row[1:] = np.logaddexp(row[:-1], np.log(np.maximum(i - discount * np.arange(1, n + 1), 1e-300)) + row[1:])
+    for alpha in (0.01, 5.0, 50.0, 400.0, 2000.0, 20000.0):
+        log = row[1:] + np.arange(1, n + 1) * math.log(alpha)
+        p = np.exp(log - log.max())
+        p /= p.sum()
+        mean = (p * np.arange(1, n + 1)).sum()
+        u = (np.arange(2000) + 0.5) / 2000
+        t = pitman_yor.Tables(np.full(2000, n)).draw(np.full(2000, alpha), discount, u)
+        sd = math.sqrt((p * (np.arange(1, n + 1) - mean) ** 2).sum())
+        assert abs(t.mean() - mean) < 0.02 * mean and abs(t.std() - sd) < 0.05 * sd + 0.05, (alpha, t.mean(), mean, t.std(), sd)
+
+
+def test_draws_by_key():
+    key = np.arange(200_000, dtype=np.uint64)
+    u = pitman_yor.uniform(key, 3)
+    assert 0 < u.min() and u.max() < 1 and abs(u.mean() - 0.5) < 0.005 and abs(np.corrcoef(u, pitman_yor.uniform(key, 4))[0, 1]) < 0.01
+    for shape in (0.05, 0.7, 3.0, 500.0):
+        x = pitman_yor.gamma(np.full(len(key), shape), key, 1)
+        assert abs(x.mean() - shape) < 6 * math.sqrt(shape / len(key)) and abs(x.var() - shape) < 0.05 * shape + 0.003
+    assert (pitman_yor.gamma(np.full(9, 2.0), key[100:109], 1) == pitman_yor.gamma(np.full(len(key), 2.0), key, 1)[100:109]).all()
+
+
+def test_scores_do_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"a b c a w{i % 5} d a b " * (i % 9)) for i in range(60)], "doc_id long, text string")
+    own = []
+    for many in (1, 7):
+        monkeypatch.setattr(pitman_yor, "group_count", lambda *_, many=many: many)
+        own.append({r["row_key"]: r["score"] for r in pitman_yor.score(df, "doc_id < 50").collect()})
+    assert all(math.isclose(own[0][k], own[1][k], rel_tol=1e-9) for k in own[0])
 
 
 def test_lgamma():
@@ -126,7 +159,7 @@ def test_pitman_yor_score_against_plain_loops(spark, monkeypatch):
     # words of the texts to score stand in the bucket too, in the order of their fingerprints, with no customers
     every = sorted([*prints.values(), int(pitman_yor.Words([b"unknown"]).hashes(lower=True)[0])])
     name = {v: k for k, v in prints.items()}
-    drawn = np.random.default_rng((22, 0, 0)).gamma(np.maximum([customers[name.get(h)] - root for h in every], 1e-9))
+    drawn = pitman_yor.gamma(np.maximum([customers[name.get(h)] - root for h in every], 1e-9), np.array(every, np.uint64), 0)
     mass = {name[h]: m for h, m in zip(every, drawn) if h in name}
     g = pitman_yor.State(0, by({context[u]: k for u, k in c.items()}), by({context[u]: k for u, k in tables.items()}), sum(mass.values()), len(prints), (root, leaf))
     for i, t in learn + new:
