@@ -35,7 +35,7 @@ from tablesync.llm.common import group_count, materialise, pack, runs, short_bat
 from tablesync.llm.spans import Spans
 from tablesync.llm.words import mix
 
-BLOCK = 12 << 20
+BLOCK = 8 << 20
 #: Suffixes that a group may hold, and that a prefix may begin before it is lengthened.
 BUDGET = 1 << 20
 UNKNOWN = "und"

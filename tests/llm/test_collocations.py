@@ -56,7 +56,7 @@ def frame(spark, docs):
     return spark.createDataFrame([(x, t, "clash", 1) for x, t in docs], "lang string, text string, word string, k int").repartition(3)
 
 
-@pytest.mark.parametrize("budget,block,most,least", [(1 << 20, 12 << 20, 3, 10), (400, 4000, 3, 10), (50, 3000, 3, 12), (30, 5000, 5, 4), (400, 5000, 2, 10)])
+@pytest.mark.parametrize("budget,block,most,least", [(1 << 20, 8 << 20, 3, 10), (400, 4000, 3, 10), (50, 3000, 3, 12), (30, 5000, 5, 4), (400, 5000, 2, 10)])
 def test_equals_plain_counts(spark, monkeypatch, budget, block, most, least):
     """With small budgets prefixes of every length occur, and nodes above them take their counts from the lengthening."""
     monkeypatch.setattr(collocations, "BUDGET", budget)
