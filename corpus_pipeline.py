@@ -2,8 +2,7 @@
 
 Every stage works on all rows that its predecessor kept. No SQL can express the whole (a learned language
 model, a tokenizer), so ``ORACLE_SQL`` is None; the tests hold the documents that ``run`` keeps against a brute-force
-version, and the operators against such versions of their own (language ID against its accuracy, and Viterbi against
-all paths).
+version, and the operators against such versions of their own.
 """
 
 from __future__ import annotations
