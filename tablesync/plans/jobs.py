@@ -16,7 +16,7 @@ from tablesync.operators.batches import batch_markers
 from tablesync.operators.delta import delta, deletion_markers, localized_delta
 from tablesync.operators.merge import alter_jdbc, append, applied, apply_jdbc, delete_by_key, drop_table, merge_files, overwrite, tables_to_clear, unique_by, upsert
 from tablesync.plans.ledger import Ledger
-from tablesync.plans.schema import Switches, evolved, fitted, write_schema_changes
+from tablesync.plans.schema import Switches, evolved, fitted
 from tablesync.sources.files import Folder
 from tablesync.sources.profile import (
     Profile, default_conditions, drop_views, list_tables, markers_jdbc, read_between, read_by_key_bounds, read_catalogue, read_table, source_files, table_exists,
@@ -142,8 +142,7 @@ def run_full(
         else:
             append(count.target(rows), target, name, kind=kind)
         if changes and ledger:
-            made = [(run, name, *c) for c in changes]
-            write_schema_changes(spark.createDataFrame(made, "migrationid string, table_name string, column_name string, type string, change string"), ledger.schema_changes())
+            ledger.note_changes(run, name, changes)
         return cleared
 
     def copy(name: str) -> None:

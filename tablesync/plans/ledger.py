@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablesync.plans.schema import write_schema_changes
 from tablesync.sources.files import Folder
 
 
@@ -79,6 +81,7 @@ TASKS = (
     "truncated boolean, duration string, durationinseconds double, avgreaderrowthroughput double, avgwriterrowthroughput double, lastupdate timestamp"
 )
 BATCHES = "migrationid string, pipelinename string, batchid long, lowerboundary string, upperboundary string"
+CHANGES = "migrationid string, table_name string, column_name string, type string, change string"
 WRITTEN = "migrationid string, pipelinename string, batchid long, rows_read long, rows_written long, seconds double, lastupdate timestamp"
 
 
@@ -96,10 +99,13 @@ class Ledger:
 
     def _rows(self, name: str, schema: str) -> DataFrame:
         at = f"{self.path}/{name}"
-        return self.spark.read.schema(schema).parquet(at) if Folder(self.spark, at).exists() else self.spark.createDataFrame([], schema)
+        if not Folder(self.spark, at).exists():
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(at)
 
     def _add(self, name: str, schema: str, rows: list[tuple]) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
+        # a folder each, as tables that are copied at the same time may add rows at the same time
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{self.path}/{name}/{uuid.uuid4().hex}")
 
     def tasks(self, run: str | None = None) -> DataFrame:
         own = self._rows("tasks", TASKS)
@@ -134,5 +140,13 @@ class Ledger:
         """(pipelinename, source_rows, target_rows, difference) as counted while the run wrote."""
         return self.tasks(run).select("pipelinename", F.col("sourcerowcount").alias("source_rows"), F.col("targetrowcount").alias("target_rows"), (F.col("sourcerowcount") - F.col("targetrowcount")).alias("difference"))
 
-    def schema_changes(self) -> str:
-        return f"{self.path}/schema_changes"
+    def note_changes(self, run: str, table: str, changes: list[tuple[str, str, str]]) -> None:
+        """Changes of a table's schema: (column, type, added or removed)."""
+        made = self.spark.createDataFrame([(run, table, *c) for c in changes], CHANGES)
+        write_schema_changes(made, f"{self.path}/schema_changes/{uuid.uuid4().hex}")
+
+    def schema_changes(self) -> DataFrame:
+        at = f"{self.path}/schema_changes"
+        if not Folder(self.spark, at).exists():
+            return self.spark.createDataFrame([], CHANGES)
+        return self.spark.read.schema(CHANGES).option("recursiveFileLookup", True).json(at)

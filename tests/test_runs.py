@@ -291,7 +291,7 @@ def test_schema_evolves_in_a_full_run(spark, db, tmp_path):
     assert read_table(spark, there, "item").columns == ["PK", "name", "old", "more"] and got(spark, there, "item") == [(1, "a", None, 2.5), (1, "a", None, None)]
     assert not any(copy(there, Switches(remove_columns=True)).values())
     assert got(spark, there, "item") == [(1, "a", 2.5)] and read_table(spark, there, "item").columns == ["PK", "name", "more"]
-    changes = spark.read.json(ledger.schema_changes())
+    changes = ledger.schema_changes()
     assert rows(changes.select("column_name", "type", "change")) == [("more", "double", "added"), ("old", "bigint", "removed")]
     assert not any(copy(db, Switches(remove_columns=True)).values())
     assert got(spark, db, "item", "PK", "name", "more") == [(1, "a", 2.5)] and len(read_table(spark, db, "item").columns) == 3
