@@ -69,6 +69,8 @@ class Folder:
         return {n for n in self._names() if not n.startswith(("_", "."))}
 
     def versions(self) -> list[int]:
+        if not self.is_folder():
+            return []
         return sorted(int(n.removesuffix(".json")) for n in self._names(FOLDER) if n.removesuffix(".json").isdigit())
 
     def state(self) -> State:
