@@ -238,9 +238,7 @@ def staging_statement(profile: Profile, staging: str, target: str, columns: list
         return f"SELECT {names} INTO {staging} FROM {target} WHERE 1 = 0"
     if profile.dialect == "derby":
         return f"CREATE TABLE {staging} AS SELECT {names} FROM {target} WITH NO DATA"
-    if profile.dialect == "sap":
-        return f"CREATE TABLE {staging} AS (SELECT {names} FROM {target}) WITH NO DATA"
-    return f"CREATE TABLE {staging} AS SELECT {names} FROM {target} WHERE 1 = 0"
+    return f"CREATE TABLE {staging} AS (SELECT {names} FROM {target} WHERE 1 = 0)"
 
 
 def delete_statement(profile: Profile, target: str, staging: str, keys: list[str]) -> str:
